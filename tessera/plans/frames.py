@@ -118,3 +118,27 @@ SELECT o_orderkey, label, model, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END
   SELECT o_orderkey, label, 's_price' AS model, s_price AS score FROM ({SCORED_ORDERS_SQL})
   UNION ALL SELECT o_orderkey, label, 's_noise', s_noise FROM ({SCORED_ORDERS_SQL})
   UNION ALL SELECT o_orderkey, label, 's_mix', s_mix FROM ({SCORED_ORDERS_SQL}))"""
+
+
+# ------------------------------------------------------------- regression predictions
+REG_MODELS = ["r_scale", "r_shift", "r_flat"]
+
+
+def regression_preds(spark, sf_dir) -> DataFrame:
+    """(o_orderkey, y, model, prediction): y = price in 100k units and
+    three deterministic 'regressors' of different quality."""
+    o = table(spark, sf_dir, "orders")
+    y = F.col("o_totalprice") / 100000.0
+    preds = {"r_scale": F.round(y * (0.8 + 0.4 * uniform("o_orderkey", "ra")), 6),
+             "r_shift": F.round(y + (uniform("o_orderkey", "rb") - 0.5), 6),
+             "r_flat": F.lit(2.5)}
+    stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), p.alias("prediction")) for m, p in preds.items()]))
+    return o.select("o_orderkey", y.alias("y"), stacked.alias("_m")).select("o_orderkey", "y", "_m.model", "_m.prediction")
+
+
+REG_PREDS_SQL = f"""
+SELECT o_orderkey, o_totalprice / 100000.0 AS y, 'r_scale' AS model,
+       round(o_totalprice / 100000.0 * (0.8 + 0.4 * {uniform_sql('o_orderkey', 'ra')}), 6) AS prediction FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice / 100000.0, 'r_shift',
+       round(o_totalprice / 100000.0 + ({uniform_sql('o_orderkey', 'rb')} - 0.5), 6) FROM orders
+UNION ALL SELECT o_orderkey, o_totalprice / 100000.0, 'r_flat', 2.5 FROM orders"""
