@@ -142,3 +142,34 @@ SELECT o_orderkey, o_totalprice / 100000.0 AS y, 'r_scale' AS model,
 UNION ALL SELECT o_orderkey, o_totalprice / 100000.0, 'r_shift',
        round(o_totalprice / 100000.0 + ({uniform_sql('o_orderkey', 'rb')} - 0.5), 6) FROM orders
 UNION ALL SELECT o_orderkey, o_totalprice / 100000.0, 'r_flat', 2.5 FROM orders"""
+
+
+# ------------------------------------------------------------- modelling table
+def model_frame(spark, sf_dir) -> DataFrame:
+    """Heart-disease-sized modelling table from lineitem (600k rows at
+    sf0.1): unique string key, four numeric features and a planted binary
+    label (linear signal + logistic noise from the key's hash), plus a
+    regression target."""
+    li = table(spark, sf_dir, "lineitem")
+    rid = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+    u = (F.conv(F.substring(hash_hex(rid, "noise"), 1, 6), 16, 10).cast("double") + 0.5) / 16777216.0
+    noise = F.log(u / (1 - u))
+    q, disc, tax = F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 100
+    price = F.col("l_extendedprice") / 10000.0
+    signal = 0.12 * (q - 25.5) - 0.5 * (disc - 5) + 0.45 * (tax - 4)
+    return li.select(rid.alias("rid"), q.alias("q"), disc.alias("disc"), tax.alias("tax"), price.alias("price"),
+                     (signal + noise > 0).cast("int").alias("label"),
+                     (2 * q / 50 - 3 * disc / 10 + 0.5 * price + 0.3 * noise).alias("y_reg"))
+
+
+MODEL_FEATURES = ["q", "disc", "tax", "price"]
+
+MODEL_FRAME_SQL = """
+SELECT rid, q, disc, tax, price, CASE WHEN signal + noise > 0 THEN 1 ELSE 0 END AS label,
+       2 * q / 50 - 3 * disc / 10 + 0.5 * price + 0.3 * noise AS y_reg FROM (
+  SELECT rid, q, disc, tax, price, 0.12 * (q - 25.5) - 0.5 * (disc - 5) + 0.45 * (tax - 4) AS signal,
+         ln(u / (1 - u)) AS noise FROM (
+    SELECT rid, l_quantity AS q, l_discount * 100 AS disc, l_tax * 100 AS tax, l_extendedprice / 10000.0 AS price,
+           ((('0x' || substr(md5('noise:' || rid), 1, 6))::INTEGER) + 0.5) / 16777216.0 AS u FROM (
+      SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
+                CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS rid FROM lineitem)))"""
