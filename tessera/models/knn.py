@@ -86,6 +86,8 @@ def knn_predict(neighbors: DataFrame, query_key: str, k_values, weights: str = "
     (query_key, k, prediction, probability of class 1 when binary).
     ``weights='distance'``: vote weight 1/d; when some of the k neighbours
     are at distance 0 only those vote. Class ties -> smallest class."""
+    if query_key == "k":
+        raise ValueError("the query key may not be named 'k' (the k column of the sweep)")
     ks = sorted(set(int(k) for k in k_values))
     n = neighbors.withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks]))).where(F.col("rank") <= F.col("k"))
     if weights == "distance":

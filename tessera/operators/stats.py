@@ -90,7 +90,7 @@ def box_stats(df: DataFrame, value: str, keys) -> DataFrame:
     keys = _as_list(keys)
     q = group_quantiles(df, value, [0.25, 0.5, 0.75], groups=keys, names=["q1", "median", "q3"])
     d = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    d = d.join(q, on=keys, how="inner")
+    d = d.join(q, on=keys, how="inner") if keys else d.crossJoin(F.broadcast(q))  # ungrouped: one row
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (F.col("_x") >= lo_f) & (F.col("_x") <= hi_f)
