@@ -144,21 +144,23 @@ def fill_group_median(df: DataFrame, col: str, group, fallback: bool = True,
     """NULL -> median of the row's group; if the group has no value (or
     the key is NULL) -> the global median when ``fallback``.
 
-    Group medians are a table of #groups rows joined on the key; AQE
-    broadcasts it when small and splits a hot key's partition otherwise."""
+    Group and global medians come out of one quantile pipeline; the group
+    table (#groups rows) is joined on the key -- AQE broadcasts it when
+    small and splits a hot key's partition otherwise; the global median is
+    one row (broadcast)."""
     group = _as_list(group)
     src = fit_on if fit_on is not None else df
-    med = group_quantiles(src, col, [0.5], groups=group, approx=approx, names=["_gmed"])
+    med = group_quantiles(src, col, [0.5], groups=group, approx=approx, names=["_gmed"], with_global=fallback)
+    if fallback:
+        glob = med.where(F.col("_level") == 1).select(F.col("_gmed").alias("_glob"))
+        med = med.where(F.col("_level") == 0).drop("_level")
+    # the NULL-key group is never joined: pandas leaves it to the fallback
     out = df.join(med, on=group, how="left")
     filled = F.coalesce(F.col(col), F.col("_gmed"))
     if fallback:
-        glob = median_of(src, [col], approx=approx).select(F.col(col).alias("_glob"))
-        out = out.crossJoin(F.broadcast(glob))
+        out = out.crossJoin(F.broadcast(glob))  # one row
         filled = F.coalesce(filled, F.col("_glob"))
-        out = out.withColumn(col, filled.cast(df.schema[col].dataType)).drop("_glob")
-    else:
-        out = out.withColumn(col, filled.cast(df.schema[col].dataType))
-    return out.drop("_gmed").select(*df.columns)
+    return out.withColumn(col, filled.cast(df.schema[col].dataType)).select(*df.columns)
 
 
 def group_transform(df: DataFrame, col: str, group, agg: str = "mean", out: str | None = None) -> DataFrame:

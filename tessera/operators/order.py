@@ -77,16 +77,32 @@ def range_bucket(value: Column, bounds: list) -> Column:
     return build(0, len(bounds)) if bounds else F.lit(0)
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (group keys may be
+    NULL); the right side's key columns are dropped."""
+    keys = list(keys)
+    if not keys:
+        return left.crossJoin(right)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
                 tiebreak=(), descending: bool = False, buckets: int = 64,
-                suffix: str = "_cum") -> DataFrame:
+                suffix: str = "_cum", totals: bool = False) -> DataFrame:
     """Inclusive running sums of ``values`` ordered by numeric ``order``
-    (then ``tiebreak``) inside each ``partition`` group.
+    (then ``tiebreak``) inside each ``partition`` group; with ``totals`` also
+    the group total ``<v>_tot``.
 
     Meant for pre-aggregated inputs (one row per distinct order value), so a
     hot order value is already one row. Ranges come from per-group
     approximate quantiles of ``order``; a hot group therefore spreads over
-    ``buckets`` ranges instead of landing in one task.
+    ``buckets`` ranges instead of landing in one task. Group keys may be
+    NULL (null-safe joins).
     """
     partition = [partition] if isinstance(partition, str) else list(partition)
     tiebreak = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
@@ -96,15 +112,19 @@ def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
     bounds = d.groupBy(*partition).agg(
         F.percentile_approx("_ok", fracs, 10000).alias("_bounds"))
     if partition:
-        d = d.join(bounds, on=partition, how="inner")
+        d = join_null_safe(d, bounds, partition)
     else:
         d = d.crossJoin(F.broadcast(bounds))  # one row: a proven size bound
     d = d.withColumn("_rb", F.size(F.filter("_bounds", lambda b: b < F.col("_ok")))).drop("_bounds")
     seg = d.groupBy(*partition, "_rb").agg(*[F.sum(v).alias(f"_seg_{v}") for v in values])
     before = Window.partitionBy(*partition).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*partition)
     off = seg.select(*partition, "_rb", *[
-        F.coalesce(F.sum(f"_seg_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values])
-    d = d.join(off, on=[*partition, "_rb"], how="inner")
+        F.coalesce(F.sum(f"_seg_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values],
+        *[F.sum(f"_seg_{v}").over(whole).alias(f"{v}_tot") for v in values])
+    if not totals:
+        off = off.drop(*[f"{v}_tot" for v in values])
+    d = join_null_safe(d, off, [*partition, "_rb"])
     ordering = [F.col("_ok")] + [F.col(t).desc() if descending else F.col(t) for t in tiebreak]
     inner = Window.partitionBy(*partition, "_rb").orderBy(*ordering).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .order import running_sum
+from ..session import cut_lineage
+from .order import join_null_safe, running_sum
 
 
 def _qname(q: float) -> str:
@@ -27,25 +28,43 @@ def _qname(q: float) -> str:
 
 
 def group_quantiles(df: DataFrame, column: str, probs: list[float], groups=(),
-                    approx: bool = False, names: list[str] | None = None) -> DataFrame:
+                    approx: bool = False, names: list[str] | None = None,
+                    with_global: bool = False) -> DataFrame:
     """One row per group with one column per probability (NULLs ignored;
-    a group whose values are all NULL gets NULL)."""
+    a group whose values are all NULL gets NULL). ``with_global`` adds a
+    column ``_level`` (0 = group row, 1 = the single all-rows row) and
+    computes both levels in the same pipeline: the global value counts are
+    a roll-up of the (small) per-group count table, not a second scan."""
     groups = [groups] if isinstance(groups, str) else list(groups)
     names = names or [_qname(q) for q in probs]
     if approx:
-        return df.groupBy(*groups).agg(*[
-            F.percentile_approx(column, q, 10000).cast("double").alias(n)
-            for q, n in zip(probs, names)])
-    v = df.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))) \
-        .select(*groups, F.col(column).cast("double").alias("_v"))
-    counts = v.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sum(counts, "_v", ["_c"], partition=groups)
-    totals = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
-    cum = cum.join(totals, on=groups, how="inner") if groups else cum.crossJoin(F.broadcast(totals))
+        out = df.groupBy(*groups).agg(*[
+            F.percentile_approx(column, q, 10000).cast("double").alias(n) for q, n in zip(probs, names)])
+        if with_global:
+            glob = df.agg(*[F.percentile_approx(column, q, 10000).cast("double").alias(n)
+                            for q, n in zip(probs, names)])
+            out = out.withColumn("_level", F.lit(0)).unionByName(glob.withColumn("_level", F.lit(1)),
+                                                                allowMissingColumns=True)
+        return out
+    x = F.col(column).cast("double")
+    # NULL/NaN values are counted under _v = NULL so that every group key
+    # survives in the count table (an all-NULL group still gets a row)
+    v = df.select(*groups, F.when(~F.isnan(x), x).alias("_v"))
+    all_counts = cut_lineage(v.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    counts = all_counts.where(F.col("_v").isNotNull())
+    part = list(groups)
+    if with_global:
+        rolled = counts.groupBy("_v").agg(F.sum("_c").alias("_c"))
+        counts = counts.withColumn("_level", F.lit(0)).unionByName(
+            rolled.withColumn("_level", F.lit(1)), allowMissingColumns=True)
+        part = ["_level", *groups]
+    # the (group, value) count table is read several times below; it was
+    # materialised once above (reliable checkpoint), not re-derived per use
+    cum = running_sum(counts, "_v", ["_c"], partition=part, totals=True)
     # 0-based rank r is covered by a value row when cum-c <= r < cum
     aggs = []
     for i, q in enumerate(probs):
-        pos = (F.col("_n") - 1) * F.lit(float(q))
+        pos = (F.col("_c_tot") - 1) * F.lit(float(q))
         lo, hi = F.floor(pos), F.ceil(pos)
         start = F.col("_c_cum") - F.col("_c")
         cover_lo = (start <= lo) & (lo < F.col("_c_cum"))
@@ -53,19 +72,22 @@ def group_quantiles(df: DataFrame, column: str, probs: list[float], groups=(),
         aggs += [F.max(F.when(cover_lo, F.col("_v"))).alias(f"_lo{i}"),
                  F.max(F.when(cover_hi, F.col("_v"))).alias(f"_hi{i}"),
                  F.max(pos - lo).alias(f"_fr{i}")]
-    picked = cum.groupBy(*groups).agg(*aggs)
-    out = picked.select(*groups, *[
+    picked = cum.groupBy(*part).agg(*aggs)
+    out = picked.select(*part, *[
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(n)
         for i, n in enumerate(names)])
     if groups:
         # groups whose values are all NULL still appear, with NULL quantiles
-        keys = df.select(*groups).distinct()
-        out = keys.join(out, on=groups, how="left")
+        keys = all_counts.select(*groups).distinct()
+        if with_global:
+            keys = keys.withColumn("_level", F.lit(0)).unionByName(
+                df.sparkSession.range(1).select(F.lit(1).alias("_level")), allowMissingColumns=True)
+        out = join_null_safe(keys, out, part, how="left")
     else:
         # a global quantile over an all-NULL column is one NULL row
         out = df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names]) \
-            .unionByName(out).agg(*[F.max(n).alias(n) for n in names])
-    return out
+            .unionByName(out.select(*names)).agg(*[F.max(n).alias(n) for n in names])
+    return cut_lineage(out)  # the fitted table: small, read by every apply
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], approx: bool = False) -> DataFrame:

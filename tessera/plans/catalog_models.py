@@ -156,6 +156,16 @@ def model_zoo_heldout(spark, d):
     return _result_view(search.evaluate_models(models, train.drop("fold"), test, cut=False))
 
 
+@query("logistic_heldout")
+def logistic_heldout(spark, d):
+    """L1 + L13 + V1-V3: one balanced logistic regression fitted on 80% of
+    the modelling table (standard-scaled on train), scored on 20%."""
+    train, test = _prepared(spark, d)
+    return _result_view(search.evaluate_models(
+        {"LogisticRegression": lambda df: linear.fit_logistic(df, C=1.0, balanced=True)},
+        train.drop("fold"), test, cut=False))
+
+
 @query("gbt_heldout")
 def gbt_heldout(spark, d):
     """L7 with the reference's boosted configuration (100 trees, depth 6,
