@@ -1,0 +1,2 @@
+"""No streaming operators: the reference has no streams, watermarks, time
+windows or stateful operators, so nothing is built here (see README)."""
