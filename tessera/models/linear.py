@@ -18,13 +18,23 @@ from pyspark.sql import functions as F
 from ..operators.encode import assemble
 
 
-def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """``class_weight='balanced'``: w_c = n / (k * n_c), one row per class
-    joined back (AQE broadcasts it)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out))
-    return df.join(w, on=label, how="left")
+def class_counts(df: DataFrame, label: str) -> dict:
+    """Rows per class: one small aggregate, k rows (a label column has few
+    classes by definition)."""
+    return {r[0]: r[1] for r in df.groupBy(label).agg(F.count(F.lit(1))).collect()}
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "weight", counts: dict | None = None) -> DataFrame:
+    """``class_weight='balanced'``: w_c = n / (k * n_c), as a CASE
+    expression over the k class counts (no join)."""
+    counts = counts or class_counts(df, label)
+    n, k = sum(counts.values()), len(counts)
+    expr = None
+    for c, nc in counts.items():
+        cond = F.col(label).isNull() if c is None else (F.col(label) == F.lit(c))
+        w = F.lit(n / (k * nc))
+        expr = F.when(cond, w) if expr is None else expr.when(cond, w)
+    return df.withColumn(out, expr)
 
 
 def _size_and_weight(df: DataFrame, weight_col: str | None) -> float:
@@ -37,8 +47,11 @@ def fit_logistic(df: DataFrame, features: str = "features", label: str = "label"
                  fit_intercept: bool = True):
     """L1: sklearn-style logistic regression (C, l1/l2, balanced)."""
     if balanced and weight_col is None:
-        df, weight_col = balanced_weights(df, label), "weight"
-    sw = _size_and_weight(df, weight_col)
+        counts = class_counts(df, label)
+        df, weight_col = balanced_weights(df, label, counts=counts), "weight"
+        sw = float(sum(counts.values()))  # balanced weights sum to n
+    else:
+        sw = _size_and_weight(df, weight_col)
     lr = LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter,
                             regParam=1.0 / (C * sw), elasticNetParam=1.0 if penalty == "l1" else 0.0,
                             standardization=False, fitIntercept=fit_intercept,
