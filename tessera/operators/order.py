@@ -47,8 +47,17 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
     """
     strata = [strata] if isinstance(strata, str) else list(strata)
     h = hash_hex(key, seed)
-    d = df.withColumn("_h", h).withColumn(
-        "_hb", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int"))
+    # the md5 order as numbers: bucket = first `digits` hex digits, then the
+    # remaining digits as two longs (<= 15 hex digits each, so no overflow);
+    # (bucket, _h1, _h2) orders exactly like the 32-char hex text, and longs
+    # sort much faster than strings
+    rest = 32 - digits
+    n1 = min(15, rest)
+    d = df.withColumn("_h", h).select(
+        "*", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int").alias("_hb"),
+        F.conv(F.substring("_h", digits + 1, n1), 16, 10).cast("long").alias("_h1"),
+        F.conv(F.substring("_h", digits + 1 + n1, rest - n1), 16, 10).cast("decimal(20,0)").alias("_h2")
+    ).drop("_h")
     cnt = d.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_hn"))
     before = Window.partitionBy(*strata).orderBy("_hb").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -58,9 +67,9 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
                      F.sum("_hn").over(whole).alias("_n_stratum"))
     joined = d.join(off, on=[*strata, "_hb"], how="inner") if strata else \
         d.join(off, on=["_hb"], how="inner")
-    inner = Window.partitionBy(*strata, "_hb").orderBy("_h", key)
+    inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
     return joined.withColumn(out, (F.col("_hoff") + F.row_number().over(inner)).cast("long")) \
-        .drop("_h", "_hb", "_hoff")
+        .drop("_h1", "_h2", "_hb", "_hoff")
 
 
 def range_bucket(value: Column, bounds: list) -> Column:
