@@ -13,6 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .order import global_position
 from .quantiles import quantiles
 
@@ -21,14 +22,44 @@ def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def vocabularies(df: DataFrame, cols, max_size: int = 10000) -> dict:
+    """Sorted distinct non-null values of every column, from ONE query over
+    the stacked (column, value) pairs. The result becomes output column
+    names (one-hot), so it is bounded: more than ``max_size`` values in a
+    column raises instead of silently producing a huge schema."""
+    cols = _as_list(cols)
+    pairs = _stacked(df, cols).distinct()
+    sizes = {r[0]: r[1] for r in pairs.groupBy("_col").agg(F.count(F.lit(1))).collect()}  # one row per column
+    big = [c for c, n in sizes.items() if n > max_size]
+    if big:
+        raise ValueError(f"{big}: more than {max_size} categories; use label_encode")
+    out = {c: [] for c in cols}
+    for r in pairs.collect():  # bounded: <= max_size values per column
+        out[r["_col"]].append(r["_val"])
+    for c in cols:
+        t = df.schema[c].dataType
+        out[c] = sorted(_back(v, t) for v in out[c])
+    return out
+
+
+def _stacked(df: DataFrame, cols) -> DataFrame:
+    """(``_col``, ``_val`` as text) for every non-null cell of ``cols``."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val")) for c in cols])).alias("_s")) \
+        .select("_s._col", "_s._val").where(F.col("_val").isNotNull())
+
+
+def _back(v, dtype):
+    from pyspark.sql import types as T
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return int(v)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return float(v)
+    return v
+
+
 def vocabulary(df: DataFrame, col: str, max_size: int = 10000) -> list:
-    """Sorted distinct non-null values. The result becomes output column
-    names (one-hot), so it is bounded: more than ``max_size`` values raises
-    instead of silently producing a huge schema."""
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_size + 1).collect()
-    if len(vals) > max_size:
-        raise ValueError(f"{col}: more than {max_size} categories; use label_encode")
-    return sorted(r[0] for r in vals)
+    return vocabularies(df, [col], max_size)[col]
 
 
 def one_hot(df: DataFrame, cols, prefix: dict | str | None = None, fit_on: DataFrame | None = None,
@@ -37,21 +68,42 @@ def one_hot(df: DataFrame, cols, prefix: dict | str | None = None, fit_on: DataF
     ``<prefix><sep><value>``; NULL and unseen values -> all zeros."""
     cols = _as_list(cols)
     src = fit_on if fit_on is not None else df
+    vocab = vocabularies(src, cols)
     new = {}
     for c in cols:
         p = prefix.get(c, c) if isinstance(prefix, dict) else (prefix or c)
-        for v in vocabulary(src, c):
+        for v in vocab[c]:
             new[f"{p}{sep}{v}"] = F.when(F.col(c) == F.lit(v), F.lit(1)).otherwise(F.lit(0))
     out = df.withColumns(new)
     return out.drop(*cols) if drop else out
 
 
-def fit_codes(fit_on: DataFrame, col: str) -> DataFrame:
-    """Vocabulary table (value, code) with codes 0..n-1 in ascending value
-    order. Distinct values are numbered by ``global_position`` (range
-    partitions + broadcast offsets), never through one task or the driver."""
-    vocab = fit_on.select(F.col(col).alias("_val")).where(F.col("_val").isNotNull()).distinct()
-    return global_position(vocab, "_val", out="_code")
+def fit_codes(fit_on: DataFrame, cols, null_as: str | None = None) -> DataFrame:
+    """Vocabulary table (``_col``, ``_val``, ``_code``) for all ``cols`` at
+    once, codes 0..n-1 in ascending value order per column. Distinct
+    (column, value) pairs are numbered by ``global_position`` (range
+    partitions + broadcast offsets), then shifted by each column's first
+    position -- never through one task or the driver. The table is
+    checkpointed: every column's apply-join reads it."""
+    cols = _as_list(cols)
+    src = fit_on
+    if null_as is not None:
+        src = fit_on.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(null_as)) for c in cols})
+    # keep the native order of numeric columns: order by the typed value
+    typed = src.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).cast("string").alias("_val"),
+                 (F.col(c).cast("double") if _is_numeric(src, c) else F.lit(None).cast("double")).alias("_num"))
+        for c in cols])).alias("_s")).select("_s.*").where(F.col("_val").isNotNull()).distinct()
+    pos = global_position(typed, ["_col", "_num", "_val"], out="_pos")
+    first = pos.groupBy("_col").agg(F.min("_pos").alias("_first"))  # one row per column
+    codes = pos.join(F.broadcast(first), on="_col").select(
+        "_col", "_val", (F.col("_pos") - F.col("_first")).cast("int").alias("_code"))
+    return cut_lineage(codes)
+
+
+def _is_numeric(df: DataFrame, c: str) -> bool:
+    from .columns import NUMERIC_TYPES
+    return isinstance(df.schema[c].dataType, NUMERIC_TYPES)
 
 
 def label_encode(df: DataFrame, cols, fit_on: DataFrame | None = None, null_as: str | None = None,
@@ -59,19 +111,21 @@ def label_encode(df: DataFrame, cols, fit_on: DataFrame | None = None, null_as:
     """Category -> code (``int``) in sorted order of the vocabulary of
     ``fit_on`` (e.g. train unioned with test, as the reference does).
     ``null_as='nan'`` encodes NULL like ``astype(str)`` does before fitting.
-    Values absent from the vocabulary -> NULL (or raise-free keep)."""
+    Values absent from the vocabulary -> NULL (or -1 with ``keep_unseen``).
+    One fit pipeline for all columns; one lookup join per column against
+    the small checkpointed code table (AQE broadcasts it)."""
     cols = _as_list(cols)
     src = fit_on if fit_on is not None else df
+    codes = fit_codes(src, cols, null_as)
     out = df
     for c in cols:
-        s_src = src.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(null_as))) if null_as else src
-        codes = fit_codes(s_src, c).withColumnRenamed("_val", f"_v_{c}")
-        key = F.coalesce(F.col(c).cast("string"), F.lit(null_as)) if null_as else F.col(c)
-        out = out.withColumn(f"_k_{c}", key)
-        out = out.join(codes, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left")
-        out = out.withColumn(c, F.col("_code").cast("int") if not keep_unseen else
-                             F.coalesce(F.col("_code").cast("int"), F.lit(-1))) \
-            .drop("_code", f"_k_{c}", f"_v_{c}")
+        cc = codes.where(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code"))
+        key = F.col(c).cast("string")
+        if null_as is not None:
+            key = F.coalesce(key, F.lit(null_as))
+        out = out.withColumn(f"_k_{c}", key).join(cc, F.col(f"_k_{c}") == F.col(f"_v_{c}"), "left")
+        code = F.col("_code") if not keep_unseen else F.coalesce(F.col("_code"), F.lit(-1))
+        out = out.withColumn(c, code.cast("int")).drop("_code", f"_k_{c}", f"_v_{c}")
     return out.select(*df.columns)
 
 

@@ -126,3 +126,11 @@ def test_table_info_and_flatten(spark):
     m = spark.createDataFrame([({"C": "1", "penalty": "l2"},)], "p map<string,string>")
     flat = columns.flatten_params(m, "p", prefix="param_")
     assert sorted(flat.columns) == ["param_C", "param_penalty"]
+
+
+def test_label_encode_many_columns_numeric_order(spark):
+    df = spark.createDataFrame([(1, 10, "b"), (2, 9, "a"), (3, 100, "b")], "k int, n int, s string")
+    out = {r.k: (r.n, r.s) for r in encode.label_encode(df, ["n", "s"]).collect()}
+    assert out == {1: (1, 1), 2: (0, 0), 3: (2, 1)}
+    voc = encode.vocabularies(df, ["n", "s"])
+    assert voc == {"n": [9, 10, 100], "s": ["a", "b"]}
