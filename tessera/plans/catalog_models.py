@@ -105,10 +105,10 @@ def logistic_grid_search(spark, d):
 
 @query("random_search_forest")
 def random_search_forest(spark, d):
-    """V11 + L6: 4 random candidates of a forest grid, 3 folds."""
+    """V11 + L6: 3 random candidates of a forest grid, 3 folds."""
     train, test = _prepared(spark, d, folds=3)
-    grid = {"n_estimators": [20, 50], "max_depth": [4, 8, 12], "min_samples_leaf": [1, 5]}
-    cands = search.random_candidates(grid, 4, SEED)
+    grid = {"n_estimators": [10, 30], "max_depth": [4, 8], "min_samples_leaf": [1, 5]}
+    cands = search.random_candidates(grid, 3, SEED)
 
     def fit(df, **p):
         return trees.fit_forest(df, balanced=True, **p)
@@ -227,9 +227,9 @@ def _reg_models(cols):
         "Ridge": lambda df: linear.fit_ridge(df, label="y_reg", alpha=10.0),
         "Lasso": lambda df: linear.fit_lasso(df, label="y_reg", alpha=0.0005),
         "ElasticNet": lambda df: linear.fit_elastic_net(df, label="y_reg", alpha=0.0005, l1_ratio=0.9),
-        "GBRegressor": lambda df: trees.fit_gbt(df, label="y_reg", regression=True, n_estimators=30, max_depth=4,
+        "GBRegressor": lambda df: trees.fit_gbt(df, label="y_reg", regression=True, n_estimators=20, max_depth=4,
                                                 learning_rate=0.1),
-        "RFRegressor": lambda df: trees.fit_forest(df, label="y_reg", regression=True, n_estimators=30, max_depth=8),
+        "RFRegressor": lambda df: trees.fit_forest(df, label="y_reg", regression=True, n_estimators=20, max_depth=8),
     }
 
 

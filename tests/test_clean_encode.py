@@ -134,3 +134,22 @@ def test_label_encode_many_columns_numeric_order(spark):
     assert out == {1: (1, 1), 2: (0, 0), 3: (2, 1)}
     voc = encode.vocabularies(df, ["n", "s"])
     assert voc == {"n": [9, 10, 100], "s": ["a", "b"]}
+
+
+def test_hot_user_forward_fill_and_group_median(spark):
+    # one user holds most rows: results equal the pandas answer
+    rng = np.random.default_rng(9)
+    n = 2000
+    pdf = pd.DataFrame({"u": np.where(rng.random(n) < 0.7, 0, rng.integers(1, 20, n)),
+                        "t": rng.permutation(n), "v": rng.normal(size=n)})
+    pdf.loc[rng.random(n) < 0.6, "v"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
+    got = clean.forward_fill(df, ["v"], ["t"], partition_by=["u"], buckets=16).toPandas().sort_values(["u", "t"])
+    exp = pdf.sort_values(["u", "t"]).copy()
+    exp["v"] = exp.groupby("u")["v"].ffill()
+    assert np.allclose(got.v.fillna(-999).to_numpy(), exp.v.fillna(-999).to_numpy())
+    med = clean.fill_group_median(df, "v", "u").toPandas().sort_values(["u", "t"])
+    e2 = pdf.sort_values(["u", "t"]).copy()
+    e2["v"] = e2.groupby("u")["v"].transform(lambda x: x.fillna(x.median()))
+    e2["v"] = e2["v"].fillna(pdf["v"].median())
+    assert np.allclose(med.v.to_numpy(), e2.v.to_numpy())
