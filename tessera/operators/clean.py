@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import nonfinite_to_null
 from .columns import NUMERIC_TYPES
+from .order import bucket_in_sorted_array
 from .quantiles import group_quantiles, median_of
 
 
@@ -192,7 +193,7 @@ def forward_fill(df: DataFrame, cols, order_by, partition_by=(), buckets: int =
     fracs = [i / buckets for i in range(1, buckets)]
     bounds = d.groupBy(*parts).agg(F.percentile_approx("_ok", fracs, 10000).alias("_bounds"))
     d = d.join(bounds, on=parts, how="left") if parts else d.crossJoin(F.broadcast(bounds))
-    d = d.withColumn("_seg", F.size(F.filter("_bounds", lambda b: b < F.col("_ok")))).drop("_bounds")
+    d = d.withColumn("_seg", bucket_in_sorted_array(F.col("_ok"), F.col("_bounds"), buckets - 1)).drop("_bounds")
     local = Window.partitionBy(*parts, "_seg").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(local) for c in cols})
     seg_last = d.groupBy(*parts, "_seg").agg(*[

@@ -100,6 +100,19 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner")
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def bucket_in_sorted_array(value: Column, bounds: Column, n: int) -> Column:
+    """Number of elements of the ascending array ``bounds`` (length ``n``)
+    strictly below ``value``: a balanced tree of ``bounds[i] < value``
+    comparisons (log2(n) per row) that stays in whole-stage codegen, unlike
+    a ``filter`` lambda."""
+    def build(lo, hi):  # answer in [lo, hi]
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2  # is bounds[mid] below value? then answer > mid
+        return F.when(bounds.getItem(mid) < value, build(mid + 1, hi)).otherwise(build(lo, mid))
+    return build(0, n)
+
+
 def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
                 tiebreak=(), descending: bool = False, buckets: int = 64,
                 suffix: str = "_cum", totals: bool = False) -> DataFrame:
@@ -124,7 +137,7 @@ def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
         d = join_null_safe(d, bounds, partition)
     else:
         d = d.crossJoin(F.broadcast(bounds))  # one row: a proven size bound
-    d = d.withColumn("_rb", F.size(F.filter("_bounds", lambda b: b < F.col("_ok")))).drop("_bounds")
+    d = d.withColumn("_rb", bucket_in_sorted_array(F.col("_ok"), F.col("_bounds"), buckets - 1)).drop("_bounds")
     seg = d.groupBy(*partition, "_rb").agg(*[F.sum(v).alias(f"_seg_{v}") for v in values])
     before = Window.partitionBy(*partition).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition)
