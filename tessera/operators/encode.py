@@ -177,3 +177,46 @@ def pipeline(stages) -> Pipeline:
     """A ``pyspark.ml`` Pipeline (scaler + model fitted together, so
     cross-validation refits the scaler inside every fold)."""
     return Pipeline(stages=list(stages))
+
+
+class ScaledModel:
+    """A model fitted on scaled features together with the scaling fitted on
+    the same rows (E6): ``transform`` scales with the stored statistics,
+    assembles and predicts."""
+
+    def __init__(self, model, stats: DataFrame, cols, how: str, features: str):
+        self.model, self.stats, self.cols, self.how, self.features = model, stats, list(cols), how, features
+
+    def _prep(self, df: DataFrame) -> DataFrame:
+        base = df.drop(self.features) if self.features in df.columns else df
+        scaled = (standard_scale(base, self.cols, stats=self.stats) if self.how == "standard"
+                  else _robust_apply(base, self.cols, self.stats))
+        return assemble(scaled, self.cols, self.features)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self._prep(df))
+
+
+def _robust_apply(df: DataFrame, cols, stats: DataFrame) -> DataFrame:
+    out = df.crossJoin(F.broadcast(stats))  # one row
+    scaled = {}
+    for c in cols:
+        iqr = F.col(f"{c}__q0_75") - F.col(f"{c}__q0_25")
+        scaled[c] = (F.col(c) - F.col(f"{c}__q0_5")) / F.when((iqr == 0) | iqr.isNull(), F.lit(1.0)).otherwise(iqr)
+    return out.withColumns(scaled).select(*df.columns)
+
+
+def with_scaling(fit, cols, how: str = "standard", features: str = "features"):
+    """Wrap ``fit(df, **params)`` so that the scaler is fitted on the
+    rows the model is fitted on (inside every CV fold), like a
+    scaler + model pipeline. ``how``: 'standard' (population std) or
+    'robust' (exact quartiles)."""
+    cols = _as_list(cols)
+
+    def wrapped(df: DataFrame, **params):
+        base = df.drop(features) if features in df.columns else df
+        stats = cut_lineage(fit_standard(base, cols) if how == "standard" else fit_robust(base, cols))  # one row
+        prepared = ScaledModel(None, stats, cols, how, features)._prep(base)
+        return ScaledModel(fit(prepared, **params), stats, cols, how, features)
+
+    return wrapped

@@ -148,3 +148,16 @@ def test_entry_smoke(spark):
     out = E.entry(spark)
     assert out.count() > 0 and out.columns == ["price_bin", "n", "rate", "ci_low", "ci_high"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_in_fold_scaling_and_json_results(spark, tmpdir_path):
+    from tessera.operators.sampling import assign_folds
+    df = assign_folds(_planted(spark, 400).drop("features"), 4, "id", "shuffled", 3)
+    fit = encode.with_scaling(lambda d: linear.fit_ridge(d, label="yr", alpha=1.0), ["x1", "x2"], "robust")
+    cv = search.cross_validate(fit, df, label="yr", task="regression")
+    assert cv.count() == 4 and all(r.rmse < 0.5 for r in cv.collect())
+    path = os.path.join(tmpdir_path, "results")
+    res = search.results_frame(spark, [{"model": "m", "params": {"C": "1"}, "status": "ok", "test_f1": 0.5}])
+    io.write_results(res, path)
+    back = spark.read.json(path).first()
+    assert back.model == "m" and back.params.C == "1" and back.test_f1 == 0.5
