@@ -185,16 +185,37 @@ def tune_threshold(df: DataFrame, label: str = "label", score: str = "score", th
                       F.when(F.col("f1") > 0, F.col("f1")).otherwise(F.lit(0.0)).alias("f1"))
 
 
+def refine_thresholds(df: DataFrame, best: DataFrame, offsets, label: str = "label", score: str = "score",
+                      by=("model",)) -> DataFrame:
+    """Evaluate best +- offsets for every group in one aggregate:
+    the per-group best threshold is joined (one row per group) and each
+    offset is a conditional count, so no grid rows are generated."""
+    by = list(by)
+    j = df.join(best.select(*by, F.col("threshold").alias("_best")), on=by)
+    s, y = F.col(score), F.col(label)
+    aggs = [F.count_if(y == 1).alias("_P")]
+    for i, o in enumerate(offsets):
+        t = F.round(F.col("_best") + F.lit(o), 2)
+        aggs += [F.count_if((s >= t) & (y == 1)).alias(f"_tp{i}"), F.count_if((s >= t) & (y == 0)).alias(f"_fp{i}")]
+    g = j.groupBy(*by, "_best").agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.round(F.col("_best") + F.lit(o), 2).alias("threshold"),
+                                        F.col(f"_tp{i}").alias("tp"), F.col(f"_fp{i}").alias("fp"))
+                               for i, o in enumerate(offsets)]))
+    out = g.select(*by, "_P", rows.alias("_r")).select(*by, "_r.threshold", "_r.tp", "_r.fp",
+                                                       (F.col("_P") - F.col("_r.tp")).alias("fn"))
+    return out.withColumn("f1", f1_expr())
+
+
 def validate_submission(pred: DataFrame, expected: DataFrame, key: str) -> DataFrame:
-    """Predictions keyed to the expected ids: counts, missing and extra
-    keys (anti joins both ways), duplicate keys."""
-    pk = pred.select(key)
-    ek = expected.select(key)
-    n_pred = pk.agg(F.count(F.lit(1)).alias("n_pred"), F.countDistinct(key).alias("_d"))
-    n_exp = ek.agg(F.count(F.lit(1)).alias("n_expected"))
-    missing = ek.join(pk, on=key, how="left_anti").agg(F.count(F.lit(1)).alias("missing"))
-    extra = pk.join(ek, on=key, how="left_anti").agg(F.count(F.lit(1)).alias("extra"))
-    row = n_pred.crossJoin(n_exp).crossJoin(missing).crossJoin(extra)  # 1-row frames
-    return row.select("n_pred", "n_expected", "missing", "extra",
-                      (F.col("n_pred") - F.col("_d")).alias("duplicates"),
-                      ((F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("n_pred") == F.col("_d"))).alias("valid"))
+    """Predictions keyed to the expected ids -- counts, missing and
+    extra keys, duplicate keys -- from one full outer join of the two key
+    count tables and one aggregate (each input is read once)."""
+    pk = pred.groupBy(key).agg(F.count(F.lit(1)).alias("_cp"))
+    ek = expected.groupBy(key).agg(F.count(F.lit(1)).alias("_ce"))
+    j = pk.join(ek, on=key, how="full_outer")
+    row = j.agg(F.coalesce(F.sum("_cp"), F.lit(0)).cast("long").alias("n_pred"),
+                F.coalesce(F.sum("_ce"), F.lit(0)).cast("long").alias("n_expected"),
+                F.count_if(F.col("_cp").isNull()).alias("missing"),
+                F.count_if(F.col("_ce").isNull()).alias("extra"),
+                F.coalesce(F.sum(F.col("_cp") - 1), F.lit(0)).cast("long").alias("duplicates"))
+    return row.withColumn("valid", (F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("duplicates") == 0))

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .order import hash_hex, hash_rank
 
 
@@ -123,7 +124,9 @@ def nested_split(df: DataFrame, first_size, second_size, seed, key: str, stratif
     """M5: stratified split twice. Stage 1 keeps ``first_size`` rows as the
     working set (the rest is 'holdout'); stage 2 takes ``second_size`` of the
     working set as 'train' and the remainder as 'valid'."""
-    s1 = train_test_split(df, first_size, seed, key, stratify, tag="_s1")
+    # stage 1 feeds three branches (working set, holdout, stage-2 quotas):
+    # materialise it once instead of re-ranking the source per branch
+    s1 = cut_lineage(train_test_split(df, first_size, seed, key, stratify, tag="_s1"))
     work = s1.where(F.col("_s1") == "test").drop("_s1")
     hold = s1.where(F.col("_s1") == "train").drop("_s1").withColumn(tag, F.lit("holdout"))
     s2 = train_test_split(work, second_size, f"{seed}/2", key, stratify, tag="_s2")

@@ -127,26 +127,6 @@ COARSE = [i / 20 for i in range(1, 20)]
 FINE_OFFSETS = [i / 100 for i in range(-4, 5)]
 
 
-def refine_grid(df, best, offsets, label="label", score="score", by=("model",)):
-    """Evaluate best +- offsets for every group in one aggregate:
-    the per-group best threshold is joined (one row per group) and each
-    offset is a conditional count, so no grid rows are generated."""
-    by = list(by)
-    j = df.join(best.select(*by, F.col("threshold").alias("_best")), on=by)
-    s, y = F.col(score), F.col(label)
-    aggs = [F.count_if(y == 1).alias("_P")]
-    for i, o in enumerate(offsets):
-        t = F.round(F.col("_best") + F.lit(o), 2)
-        aggs += [F.count_if((s >= t) & (y == 1)).alias(f"_tp{i}"), F.count_if((s >= t) & (y == 0)).alias(f"_fp{i}")]
-    g = j.groupBy(*by, "_best").agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.round(F.col("_best") + F.lit(o), 2).alias("threshold"),
-                                        F.col(f"_tp{i}").alias("tp"), F.col(f"_fp{i}").alias("fp"))
-                               for i, o in enumerate(offsets)]))
-    out = g.select(*by, "_P", rows.alias("_r")).select(*by, "_r.threshold", "_r.tp", "_r.fp",
-                                                       (F.col("_P") - F.col("_r.tp")).alias("fn"))
-    return out.withColumn("f1", evaluate.f1_expr())
-
-
 @query("refine_threshold_grid", f"""
 WITH s AS ({_sweep_sql(COARSE)}),
 b AS (SELECT model, threshold AS best FROM (SELECT model, threshold, {_f1_sql('s')} AS f1 FROM s)
@@ -160,7 +140,7 @@ SELECT model, threshold, tp, fp, fn, round({_f1_sql('c')}, 6) AS f1 FROM c""")
 def refine_threshold_grid(spark, d):
     ls = long_scores(spark, d)
     coarse = tune_threshold(ls, "label", "score", thresholds=COARSE, by=["model"])
-    return round_doubles(refine_grid(ls, coarse, FINE_OFFSETS))
+    return round_doubles(evaluate.refine_thresholds(ls, coarse, FINE_OFFSETS))
 
 
 # fixed values: the weight grid of the soft-vote search
@@ -288,7 +268,9 @@ SELECT (SELECT count(*) FROM p) AS n_pred, (SELECT count(*) FROM e) AS n_expecte
        (SELECT count(*) FROM e WHERE o_orderkey NOT IN (SELECT o_orderkey FROM p)) AS missing,
        (SELECT count(*) FROM p WHERE o_orderkey NOT IN (SELECT o_orderkey FROM e)) AS extra,
        (SELECT count(*) - count(DISTINCT o_orderkey) FROM p) AS duplicates,
-       (SELECT count(*) FROM e WHERE o_orderkey NOT IN (SELECT o_orderkey FROM p)) = 0 AS valid""")
+       (SELECT count(*) FROM e WHERE o_orderkey NOT IN (SELECT o_orderkey FROM p)) = 0
+       AND (SELECT count(*) FROM p WHERE o_orderkey NOT IN (SELECT o_orderkey FROM e)) = 0
+       AND (SELECT count(*) - count(DISTINCT o_orderkey) FROM p) = 0 AS valid""")
 def validate_submission(spark, d):
     s = scored_orders(spark, d).join(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_orderstatus"),
                                      on="o_orderkey")
