@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,6 @@ def feature_importance(model, names, k: int | None = 20, spark=None) -> DataFram
     rows = sorted(zip(names, imp), key=lambda r: (-r[1], r[0]))
     if k:
         rows = rows[:k]
-    spark = spark or __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(rows)],
                                  "feature string, importance double, position int")

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of released DataFrames are removed by Spark's cleaner
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -93,15 +93,18 @@ def save_model(model, path: str) -> None:
 
 def load_model(path: str):
     """Load a saved PipelineModel (or any stage saved by ``save_model``)."""
+    import importlib
+
+    from pyspark import SparkContext
     from pyspark.ml import PipelineModel
     from pyspark.ml.util import DefaultParamsReader
-    meta = DefaultParamsReader.loadMetadata(path, __import__("pyspark").SparkContext.getOrCreate())
+    meta = DefaultParamsReader.loadMetadata(path, SparkContext.getOrCreate())
     cls = meta["class"]
     if cls.endswith("PipelineModel"):
         return PipelineModel.load(path)
     module, name = cls.rsplit(".", 1)
     module = module.replace("org.apache.spark", "pyspark")
-    return getattr(__import__(module, fromlist=[name]), name).load(path)
+    return getattr(importlib.import_module(module), name).load(path)
 
 
 def summarise_run(results: DataFrame, metric: str, time_col: str = "time_min", name: str = "model",
