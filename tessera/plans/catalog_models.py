@@ -82,7 +82,7 @@ def _prepared(spark, d, folds=5):
 
 
 def _result_view(res):
-    return res.select("model", "status", F.to_json("params").alias("params"), "cv_mean",
+    return res.select("model", "status", F.to_json("params").alias("params"), F.round("cv_mean", 4).alias("cv_mean"),
                       F.round("test_accuracy", 4).alias("test_accuracy"), F.round("test_f1", 4).alias("test_f1"),
                       F.round("test_roc_auc", 4).alias("test_roc_auc"), F.round("test_rmse", 4).alias("test_rmse"))
 
