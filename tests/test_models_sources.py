@@ -161,3 +161,14 @@ def test_in_fold_scaling_and_json_results(spark, tmpdir_path):
     io.write_results(res, path)
     back = spark.read.json(path).first()
     assert back.model == "m" and back.params.C == "1" and back.test_f1 == 0.5
+
+
+def test_csv_na_nulls_and_spaced_names(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "h.csv")
+    with open(p, "w") as f:
+        f.write("Id,Alley,Heart Disease\n1,NA,Presence\n2,Grvl,Absence\n")
+    df = io.normalise_names(io.read_csv(spark, p, schema="Id long, Alley string, `Heart Disease` string",
+                                        null_value="NA"))
+    assert df.columns == ["Id", "Alley", "Heart_Disease"]
+    rows = df.orderBy("Id").collect()
+    assert rows[0].Alley is None and rows[1].Alley == "Grvl"
