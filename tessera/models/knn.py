@@ -59,12 +59,26 @@ def _local_topk(k: int, metric: str, p: float, chunk_cells: int = 4_000_000):
 
 
 def knn_neighbors(train: DataFrame, query: DataFrame, features, label: str, train_key: str, query_key: str,
-                  k: int, metric: str = "euclidean", p: float = 2.0, rows_per_block: int = 20000) -> DataFrame:
+                  k: int, metric: str = "euclidean", p: float = 2.0, rows_per_block: int | None = None,
+                  block_bytes: int = 256 << 20) -> DataFrame:
     """(query_key, neighbor key, neighbor label, distance, rank) for the k
-    nearest train rows of every query row (rank 1 = nearest; ties by key)."""
-    counts = train.agg(F.count(F.lit(1))).first()[0], query.agg(F.count(F.lit(1))).first()[0]
-    tb = max(1, math.ceil(counts[0] / rows_per_block))
-    qb = max(1, math.ceil(counts[1] / rows_per_block))
+    nearest train rows of every query row (rank 1 = nearest; ties by key).
+
+    Block counts: a train block holds at most ``block_bytes`` of vectors
+    (so each query row is copied once per train block -- few copies, the
+    communication cost of an exact answer); query blocks are sized the same
+    way and raised until there are enough cells to keep every core busy.
+    ``rows_per_block`` fixes both block sizes in rows instead."""
+    tstat = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(_vec(train, features))).alias("d")).first()
+    n_query = query.agg(F.count(F.lit(1))).first()[0]
+    if rows_per_block:
+        tb = max(1, math.ceil(tstat["n"] / rows_per_block))
+        qb = max(1, math.ceil(n_query / rows_per_block))
+    else:
+        row_bytes = 8 * max(1, tstat["d"] or 1)
+        tb = max(1, math.ceil(tstat["n"] * row_bytes / block_bytes))
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        qb = max(1, math.ceil(n_query * row_bytes / block_bytes), math.ceil(cores / tb))
     t = train.select(F.col(train_key).cast("long").alias("_tk"), F.col(label).cast("double").alias("_ty"),
                      _vec(train, features).alias("_tx")).withColumn("_tb", F.pmod(F.xxhash64("_tk"), F.lit(tb)))
     q = query.select(F.col(query_key).cast("long").alias("_qk"), _vec(query, features).alias("_qx")) \

@@ -34,7 +34,7 @@ def knn_embeddings_k_sweep(spark, d):
     emb = table(spark, d, "embeddings")
     is_train = hdigit("vec_id", "knn") < "c"
     train, test = emb.where(is_train), emb.where(~is_train)
-    nb = knn.knn_neighbors(train, test, "embedding", "label", "vec_id", "vec_id", k=15, rows_per_block=200)
+    nb = knn.knn_neighbors(train, test, "embedding", "label", "vec_id", "vec_id", k=15)
     return knn.knn_predict(nb, "vec_id", [1, 3, 5, 15]).select("vec_id", "k", "prediction")
 
 
