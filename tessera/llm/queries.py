@@ -39,3 +39,10 @@ def op9_decontamination(spark, sf_dir):
 def op8_setsketch_near_dedup(spark, sf_dir):
     from .setsketch import near_duplicates
     return near_duplicates(_t(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
+@query("op5_suffix_array_dedup")
+def op5_suffix_array_dedup(spark, sf_dir):
+    from .repeats import remove_repeats
+    d = remove_repeats(_t(spark, sf_dir, "documents"), width=400)
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
