@@ -46,3 +46,10 @@ def op5_suffix_array_dedup(spark, sf_dir):
     from .repeats import remove_repeats
     d = remove_repeats(_t(spark, sf_dir, "documents"), width=400)
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op10_source_mixing")
+def op10_source_mixing(spark, sf_dir):
+    from .mixing import copies
+    d = copies(_t(spark, sf_dir, "documents"))
+    return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
