@@ -109,7 +109,8 @@ def round_pairs(p: np.ndarray, size: np.ndarray, coin: np.ndarray):
 
 def _round_group(seed: int, last: bool):
     def run(pdf):
-        pdf = pdf.sort_values(["h", "row"], kind="stable").reset_index(drop=True)
+        # neighbours of like size close each other, so the entry left open at the end is a small one
+        pdf = pdf.sort_values(["size", "h", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         coin = _coin(pdf["h"].to_numpy(np.int64), seed)
         p, rest = round_pairs(pdf["p"].to_numpy(float), pdf["size"].to_numpy(float), coin)
         if last and rest >= 0:

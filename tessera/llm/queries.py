@@ -53,3 +53,19 @@ def op10_source_mixing(spark, sf_dir):
     from .mixing import copies
     d = copies(_t(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
+
+
+@query("op2_mtree_top_k")
+def op2_mtree_top_k(spark, sf_dir):
+    from .mtree import search
+    return search(_t(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+#: vocabulary of the token counts (a parameter of the operator)
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    from .wordpieces import token_counts
+    return token_counts(_t(spark, sf_dir, "documents"), VOCABULARY)
