@@ -69,3 +69,10 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 def op7_token_counts(spark, sf_dir):
     from .wordpieces import token_counts
     return token_counts(_t(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query("op4_html_extraction")
+def op4_html_extraction(spark, sf_dir):
+    from .html import extract
+    d = extract(_t(spark, sf_dir, "pages"))
+    return d.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
