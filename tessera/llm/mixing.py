@@ -147,10 +147,14 @@ def dependent_rounding(rows: DataFrame, seed: int = 11, group: int = GROUP) -> D
 
 
 def copies(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", source_col: str = "source",
-           weights=WEIGHTS, share: float = 1.5, max_copies: float = 2.0, seed: int = 11, group: int = GROUP) -> DataFrame:
-    """One row per document row: ``row``, ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``."""
+           row: str | None = None, weights=WEIGHTS, share: float = 1.5, max_copies: float = 2.0, seed: int = 11,
+           group: int = GROUP) -> DataFrame:
+    """One row per document row: ``row``, ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``.
+
+    ``row`` names a column of unique longs; without it rows are numbered here.
+    """
     base = materialise(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(f"`{doc_id}`").alias("_id"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col(f"`{doc_id}`").alias("_id"),
         F.col(f"`{source_col}`").alias("source"), size_column(text_col).alias("size")))
     per = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     t = materialise(targets(per, weights=weights, share=share, max_copies=max_copies)
@@ -167,3 +171,12 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", s
     out = j.join(r, "row", "left")
     return out.select("row", F.col("_id").alias(doc_id), "source", "size", "source_size", "target",
                       (F.col("whole") + F.coalesce("extra", F.lit(0.0))).cast("long").alias("copies"))
+
+
+def mix(docs: DataFrame, copy_col: str = "copy", **options) -> DataFrame:
+    """The documents as often as the mix takes them, with all their columns; ``copy_col`` counts from 1."""
+    names = docs.columns
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))     # numbered once, for both uses
+    n = copies(rows, row="_row", **options).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
+    out = rows.join(n, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return out.select(*[F.col(f"`{c}`") for c in names], F.col("_copy").alias(copy_col))

@@ -76,3 +76,20 @@ def op4_html_extraction(spark, sf_dir):
     from .html import extract
     d = extract(_t(spark, sf_dir, "pages"))
     return d.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    from .toxicity import predict
+    return predict(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+
+
+#: key of the registered query; a deployment passes its own secret
+PII_KEY = "registered-query-key"
+
+
+@query("op1_feistel_pseudonyms")
+def op1_feistel_pseudonyms(spark, sf_dir):
+    from .pii import pseudonymise
+    d = pseudonymise(_t(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return d.select("doc_id", "text", "n_values")
