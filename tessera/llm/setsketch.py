@@ -21,8 +21,8 @@ locality-sensitive.
    unresolved pair is left. Components are computed again.
 
 With m = 128, r = 4 a pair of similarity 0.85 shares no band with probability
-6e-11 (0.80: 5e-8); the estimate's standard error there is 0.032, and pairs
-are dropped unverified only ``slack`` (0.2) below the threshold.
+6e-11 (0.80: 5e-8); the estimate's standard error there is 0.032 (0.035), and
+pairs are dropped unverified only ``errors`` (4.5) of them below the threshold.
 
 Defined results: null or empty texts have the empty set, link with nothing and
 are kept; texts of fewer than k words have their whole word sequence as the
@@ -162,7 +162,10 @@ def _estimate_batch(floor: float):
             if not batch.num_rows:
                 continue
             get = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, M)
-            e = estimate(get("r1"), get("r2"), batch.column("n1").to_numpy(), batch.column("n2").to_numpy())
+            r1, r2 = get("r1"), get("r2")
+            e = np.zeros(len(r1))
+            may = np.flatnonzero((r1 == r2).sum(1) >= (floor - 0.03) * M)
+            e[may] = estimate(r1[may], r2[may], batch.column("n1").to_numpy()[may], batch.column("n2").to_numpy()[may])
             ok = pa.array(e >= floor)
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(ok), batch.column("v").filter(ok)], names=["u", "v"])
     return run
@@ -195,41 +198,69 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs, doc_id, text_col, k, num
 
 
 def _cross_blocks(floor: float, take: int):
-    """Per (bucket, block pair): the ``take`` best estimated partners of each member in every other component."""
-    import pandas as pd
-
-    def run(key, cell):
-        out = []
-        left, right = cell[cell["blk"] == key[1]], cell[cell["blk"] == key[2]]
-        if len(left) and len(right):
-            get = lambda d: np.frombuffer(b"".join(d["regs"]), np.uint16).reshape(-1, M)
-            lr, rr = get(left), get(right)
-            ln, rn = left["n"].to_numpy(float), right["n"].to_numpy(float)
-            lc, rc = left["component"].to_numpy(), right["component"].to_numpy()
-            li, ri = left["node"].to_numpy(), right["node"].to_numpy()
-            for i in range(len(left)):
-                other = np.flatnonzero((rc != lc[i]) & (np.minimum(rn, ln[i]) >= floor * np.maximum(rn, ln[i])))
-                if not len(other):
-                    continue
-                e = estimate(np.broadcast_to(lr[i], (len(other), M)), rr[other], np.full(len(other), ln[i]), rn[other])
-                good = other[e >= floor]
-                e = e[e >= floor]
-                order = np.argsort(-e, kind="stable")
-                seen: dict = {}
-                for p in order:
-                    c = rc[good[p]]
-                    seen[c] = seen.get(c, 0) + 1
-                    if seen[c] <= take:
-                        out.append((li[i], ri[good[p]], lc[i], c, False))
-                    elif seen[c] == take + 1:
-                        out.append((li[i], ri[good[p]], lc[i], c, True))
-        return pd.DataFrame(out, columns=["u", "v", "cu", "cv", "more"]).astype(
-            {"u": "int64", "v": "int64", "cu": "int64", "cv": "int64", "more": "bool"})
+    """mapInArrow over rows sorted by (band, i, j): promising pairs between components of each pair of blocks.
+
+    Of each member at most ``take`` partners (best estimates first) per other
+    component are returned; ``more`` marks members that have further ones.
+    """
+    import pyarrow as pa
+
+    def pairs(cell, out):
+        blk = cell["blk"]
+        same = cell["i"][0] == cell["j"][0]
+        left = np.arange(len(blk)) if same else np.flatnonzero(blk == cell["i"][0])
+        right = left if same else np.flatnonzero(blk == cell["j"][0])
+        n, comp, node, regs = cell["n"].astype(float), cell["component"], cell["node"], cell["regs"]
+        for at, a in enumerate(left):
+            r = right[at + 1:] if same else right
+            r = r[comp[r] != comp[a]]
+            r = r[np.minimum(n[r], n[a]) >= floor * np.maximum(n[r], n[a])]
+            if not len(r):
+                continue
+            # registers agree with a probability of at least the similarity
+            r = r[(regs[r] == regs[a]).sum(1) >= (floor - 0.03) * M]
+            if not len(r):
+                continue
+            e = estimate(np.broadcast_to(regs[a], (len(r), M)), regs[r], np.full(len(r), n[a]), n[r])
+            order = np.argsort(-e, kind="stable")
+            order = order[e[order] >= floor]
+            seen: dict = {}
+            for b in r[order]:
+                c = int(comp[b])
+                seen[c] = seen.get(c, 0) + 1
+                if seen[c] <= take + 1:
+                    out.append((int(node[a]), int(node[b]), seen[c] > take))
+
+    def run(batches):
+        held, out = None, []
+        names = ("band", "i", "j", "blk", "node", "n", "component")
+
+        def flush():
+            cols = list(zip(*out)) if out else [[], [], []]
+            rb = pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                                             pa.array(cols[2], pa.bool_())], names=["u", "v", "more"])
+            out.clear()
+            return rb
+
+        for batch in batches:
+            new = {c: batch.column(c).to_numpy() for c in names}
+            new["regs"] = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M)
+            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
+            cut = np.flatnonzero((held["band"][1:] != held["band"][:-1]) | (held["i"][1:] != held["i"][:-1])
+                                 | (held["j"][1:] != held["j"][:-1])) + 1
+            for lo, hi in zip(np.concatenate(([0], cut[:-1])), cut):           # the last cell may go on
+                pairs({c: x[lo:hi] for c, x in held.items()}, out)
+            if len(cut):
+                held = {c: x[cut[-1]:] for c, x in held.items()}
+            yield flush()
+        if held is not None and len(held["band"]):
+            pairs(held, out)
+        yield flush()
     return run
 
 
 def _cross_pairs(members: DataFrame, classes: DataFrame, label: DataFrame, floor: float, take: int) -> DataFrame:
-    """Candidate pairs between components that share a bucket. members: (band, node) of buckets with several classes."""
+    """Candidate pairs (u, v, more) between components that share a bucket. members: (band, node) of shared buckets."""
     lab = members.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = lab.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                     F.count(F.lit(1)).alias("size")).where(F.col("lo") != F.col("hi"))
@@ -238,21 +269,21 @@ def _cross_pairs(members: DataFrame, classes: DataFrame, label: DataFrame, floor
     lab = lab.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     t = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("t")
     cells = lab.select("band", "node", "n", "regs", "component", "blk", t)
-    cells = cells.withColumn("i", F.least("blk", "t")).withColumn("j", F.greatest("blk", "t"))
-    # a pair of blocks is one group: a hot bucket becomes many groups of bounded size
-    out = cells.groupBy("band", "i", "j").applyInPandas(
-        _cross_blocks(floor, take), "u long, v long, cu long, cv long, more boolean")
-    return out
+    cells = cells.withColumn("i", F.least("blk", "t")).withColumn("j", F.greatest("blk", "t")).drop("t")
+    # a pair of blocks is one cell: a hot bucket becomes many cells of bounded size
+    cells = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return cells.mapInArrow(_cross_blocks(floor, take), "u long, v long, more boolean")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", k: int = 5,
-                    num: int = 80, den: int = 100, slack: float = 0.2) -> DataFrame:
+                    num: int = 80, den: int = 100, errors: float = 4.5) -> DataFrame:
     """Link documents with den * |intersection| >= num * |union| of their shingle sets.
 
     Returns one row per document row: ``doc_id``, ``n_shingles``,
     ``component_id`` (smallest doc_id reachable), ``kept``.
     """
-    floor = max(0.0, num / den - slack)
+    want = num / den
+    floor = max(0.0, want - errors * (want * (1 - want) / M) ** 0.5)
     sig = materialise(sketches(docs, doc_id=doc_id, text_col=text_col, k=k))
     live = sig.where((F.col("n") > 0) & F.col("_id").isNotNull())
     classes = live.groupBy("f1", "f2", "n").agg(F.min("_id").alias("node"), F.first("regs").alias("regs"),
@@ -270,7 +301,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str =
     pairs = materialise(cand.mapInArrow(_estimate_batch(floor), "u long, v long"))
     edges = materialise(_verify(pairs, classes, docs, doc_id, text_col, k, num, den))
     label = materialise(connected_components(edges))
-    take, done = 4, pairs
+    take, done = 16, pairs
     while True:
         cross = materialise(_cross_pairs(members.select("band", "node"), classes, label, floor, take))
         fresh = cross.where(~F.col("more")).select(F.greatest("u", "v").alias("v"), F.least("u", "v").alias("u")).distinct()
