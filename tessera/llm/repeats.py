@@ -209,9 +209,9 @@ def _wanted(rows: DataFrame) -> DataFrame:
     return rows.groupBy("row").agg(F.collect_list(F.struct("a", "lo", "hi", "h")).alias("want"))
 
 
-def _twice(rows: DataFrame, keys: list[str], mark: str, extra=()) -> DataFrame:
+def _twice(rows: DataFrame, keys: list[str], mark: str) -> DataFrame:
     """Rows whose key stands at least twice, with ``mark`` true; others with false."""
-    c = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), *extra).where("_c > 1").drop("_c")
+    c = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c"))
     return rows.join(c.withColumn(mark, F.lit(True)), keys, "left").withColumn(mark, F.coalesce(mark, F.lit(False)))
 
 
@@ -220,13 +220,14 @@ def repeated_windows(packed: DataFrame, width: int) -> DataFrame:
     rows = packed.select("row", "blob").mapInArrow(
         _anchor_batch(width), "row long, a int, lo int, hi int, h long, hull long")
     b = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("hull").alias("h0"), F.max("hull").alias("h1")).where("c > 1")
-    b = b.select("h", (F.col("h0") == F.col("h1")).alias("same"))
+    # written first: both sides of the join are then plain exchanges, whose hot buckets Spark can split
+    b = materialise(b.select("h", (F.col("h0") == F.col("h1")).alias("same")))
     live = materialise(rows.join(b, "h"))
     whole = live.where("same").select("row", "lo", "hi")
     # buckets of several refined identifiers: one member stands for each identifier
     mixed = live.where("not same")
     me = F.struct("row", "a")
-    c = mixed.groupBy("h", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep"))
+    c = materialise(mixed.groupBy("h", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep")))
     mixed = materialise(mixed.join(c, ["h", "hull"]).select("row", "a", "lo", "hi", "h", (F.col("c") > 1).alias("twice"),
                                                             (me == F.col("rep")).alias("rep")))
     whole = whole.union(mixed.where("twice").select("row", "lo", "hi"))
@@ -235,7 +236,7 @@ def repeated_windows(packed: DataFrame, width: int) -> DataFrame:
     blocks = materialise(blocks)
     # a block whose core stands nowhere else holds no repeat; its blocks' hulls then need no count
     open_ = _twice(blocks, ["h", "j", "core"], "maybe").where("maybe")
-    c = open_.groupBy("h", "j", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep"))
+    c = materialise(open_.groupBy("h", "j", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep")))
     open_ = materialise(open_.join(c, ["h", "j", "hull"]).select(
         "row", "lo", "hi", "a", "h", "j", "core", (F.col("c") > 1).alias("twice"), (me == F.col("rep")).alias("rep")))
     whole = whole.union(open_.where("twice").select("row", "lo", "hi"))
