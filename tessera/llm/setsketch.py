@@ -45,7 +45,7 @@ M, R = 128, 4
 A, B = 20.0, 1.001
 Q = (1 << 16) - 2
 #: members of a block when a bucket's cross pairs are estimated
-BLOCK = 1024
+BLOCK = 512
 
 _rng = np.random.default_rng(77)
 _MUL = _rng.integers(0, 1 << 62, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -197,82 +197,125 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs, doc_id, text_col, k, num
     return j.where(den * inter >= num * union).select("u", "v")
 
 
-def _cross_blocks(floor: float, take: int):
-    """mapInArrow over rows sorted by (band, i, j): promising pairs between components of each pair of blocks.
-
-    Of each member at most ``take`` partners (best estimates first) per other
-    component are returned; ``more`` marks members that have further ones.
-    """
+def _cells(batches, names):
+    """Cells (runs of equal band, i, j) of a sorted Arrow stream, as dicts of arrays; ``items`` are lists of sorted hashes."""
+    held = None
+    for batch in batches:
+        new = {c: batch.column(c).to_numpy() for c in names}
+        new["regs"] = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M)
+        if "items" in batch.schema.names:
+            col = batch.column("items")
+            vals, offs = col.values.to_numpy().view(np.uint64), col.offsets.to_numpy()
+            new["items"] = np.empty(len(offs) - 1, object)
+            new["items"][:] = [vals[x:y] for x, y in zip(offs[:-1], offs[1:])]
+        held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
+        cut = np.flatnonzero((held["band"][1:] != held["band"][:-1]) | (held["i"][1:] != held["i"][:-1])
+                             | (held["j"][1:] != held["j"][:-1])) + 1
+        for lo, hi in zip(np.concatenate(([0], cut[:-1])), cut):               # the last cell may go on
+            yield {c: x[lo:hi] for c, x in held.items()}
+        if len(cut):
+            held = {c: x[cut[-1]:] for c, x in held.items()}
+    if held is not None and len(held["band"]):
+        yield held
+
+
+def _promising(cell, floor: float):
+    """Pairs (a, b, estimate) of a cell between components, each only in the first band its sketches share."""
+    same = cell["i"][0] == cell["j"][0]
+    blk = cell["blk"]
+    left = np.arange(len(blk)) if same else np.flatnonzero(blk == cell["i"][0])
+    right = left if same else np.flatnonzero(blk == cell["j"][0])
+    n, comp, regs, pos = cell["n"].astype(float), cell["component"], cell["regs"], cell["pos"][0]
+    for at, a in enumerate(left):
+        r = right[at + 1:] if same else right
+        r = r[(comp[r] != comp[a]) & (np.minimum(n[r], n[a]) >= floor * np.maximum(n[r], n[a]))]
+        if not len(r):
+            continue
+        # registers agree with a probability of at least the similarity
+        agree = regs[r] == regs[a]
+        may = np.flatnonzero(agree.sum(1) >= (floor - 0.03) * M)
+        may = may[agree[may].reshape(len(may), M // R, R).all(2).argmax(1) == pos]
+        if not len(may):
+            continue
+        r = r[may]
+        e = estimate(np.broadcast_to(regs[a], (len(r), M)), regs[r], np.full(len(r), n[a]), n[r])
+        for b, x in zip(r[e >= floor].tolist(), e[e >= floor].tolist()):
+            yield int(a), b, x
+
+
+_CELL = ("band", "i", "j", "blk", "pos", "node", "n", "component")
+
+
+def _open_members(floor: float):
+    """The members of each cell that have a promising partner: (band, i, j, blk, pos, node)."""
     import pyarrow as pa
-
-    def pairs(cell, out):
-        blk = cell["blk"]
-        same = cell["i"][0] == cell["j"][0]
-        left = np.arange(len(blk)) if same else np.flatnonzero(blk == cell["i"][0])
-        right = left if same else np.flatnonzero(blk == cell["j"][0])
-        n, comp, node, regs = cell["n"].astype(float), cell["component"], cell["node"], cell["regs"]
-        for at, a in enumerate(left):
-            r = right[at + 1:] if same else right
-            r = r[comp[r] != comp[a]]
-            r = r[np.minimum(n[r], n[a]) >= floor * np.maximum(n[r], n[a])]
-            if not len(r):
-                continue
-            # registers agree with a probability of at least the similarity
-            r = r[(regs[r] == regs[a]).sum(1) >= (floor - 0.03) * M]
-            if not len(r):
-                continue
-            e = estimate(np.broadcast_to(regs[a], (len(r), M)), regs[r], np.full(len(r), n[a]), n[r])
-            order = np.argsort(-e, kind="stable")
-            order = order[e[order] >= floor]
-            seen: dict = {}
-            for b in r[order]:
-                c = int(comp[b])
-                seen[c] = seen.get(c, 0) + 1
-                if seen[c] <= take + 1:
-                    out.append((int(node[a]), int(node[b]), seen[c] > take))
+    names = ["band", "i", "j", "blk", "pos", "node"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
     def run(batches):
-        held, out = None, []
-        names = ("band", "i", "j", "blk", "node", "n", "component")
+        for cell in _cells(batches, _CELL):
+            use = sorted({x for a, b, _ in _promising(cell, floor) for x in (a, b)})
+            if use:
+                yield pa.RecordBatch.from_arrays([pa.array(cell[c][use]).cast(k) for c, k in zip(names, kinds)], names=names)
+    return run
 
-        def flush():
-            cols = list(zip(*out)) if out else [[], [], []]
-            rb = pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                             pa.array(cols[2], pa.bool_())], names=["u", "v", "more"])
-            out.clear()
-            return rb
 
-        for batch in batches:
-            new = {c: batch.column(c).to_numpy() for c in names}
-            new["regs"] = np.frombuffer(b"".join(batch.column("regs").to_pylist()), np.uint16).reshape(-1, M)
-            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in new}
-            cut = np.flatnonzero((held["band"][1:] != held["band"][:-1]) | (held["i"][1:] != held["i"][:-1])
-                                 | (held["j"][1:] != held["j"][:-1])) + 1
-            for lo, hi in zip(np.concatenate(([0], cut[:-1])), cut):           # the last cell may go on
-                pairs({c: x[lo:hi] for c, x in held.items()}, out)
-            if len(cut):
-                held = {c: x[cut[-1]:] for c, x in held.items()}
-            yield flush()
-        if held is not None and len(held["band"]):
-            pairs(held, out)
-        yield flush()
+def _cell_links(floor: float, num: int, den: int):
+    """Verified links that join components of a cell, best estimates first; pairs already joined need no look."""
+    import pyarrow as pa
+
+    def run(batches):
+        for cell in _cells(batches, _CELL):
+            up: dict = {}
+
+            def find(x):
+                while up.setdefault(x, x) != x:
+                    up[x] = up[up[x]]
+                    x = up[x]
+                return x
+
+            comp, items, links = cell["component"].tolist(), cell["items"], []
+            for a, b, _ in sorted(_promising(cell, floor), key=lambda t: -t[2]):
+                x, y = find(comp[a]), find(comp[b])
+                if x == y:
+                    continue
+                s, t = sorted((items[a], items[b]), key=len)
+                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+                both = int((t[at] == s).sum())
+                if den * both >= num * (len(s) + len(t) - both):
+                    up[x] = y
+                    links.append((int(cell["node"][a]), int(cell["node"][b])))
+            if links:
+                u, v = zip(*links)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
     return run
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, label: DataFrame, floor: float, take: int) -> DataFrame:
-    """Candidate pairs (u, v, more) between components that share a bucket. members: (band, node) of shared buckets."""
-    lab = members.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = lab.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                    F.count(F.lit(1)).alias("size")).where(F.col("lo") != F.col("hi"))
-    lab = lab.join(mixed.select("band", "size"), "band").join(classes.select("node", "n", "regs"), "node")
+def _cross_links(members, classes, label, floor, docs, doc_id, text_col, k, num, den) -> DataFrame:
+    """Links between components that share a bucket. members: (band, pos, node) of shared buckets.
+
+    First the registers alone tell which members have a promising partner at
+    all; only these get their full sets. Neither step emits pairs: the first
+    returns members, the second at most one link per component joined.
+    """
+    lab = members.join(label, "node", "left").select("band", "pos", "node", F.coalesce("component", "node").alias("component"))
+    mixed = materialise(lab.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                F.count(F.lit(1)).alias("size")).where(F.col("lo") != F.col("hi")))
+    own = materialise(classes.select("node", "n", "regs").join(label, "node", "left")
+                      .select("node", "n", "regs", F.coalesce("component", "node").alias("component")))
+    lab = members.join(mixed.select("band", "size"), "band").join(own, "node")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     lab = lab.withColumn("blocks", blocks).withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     t = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("t")
-    cells = lab.select("band", "node", "n", "regs", "component", "blk", t)
+    cells = lab.select("band", "pos", "node", "n", "regs", "component", "blk", t)
     cells = cells.withColumn("i", F.least("blk", "t")).withColumn("j", F.greatest("blk", "t")).drop("t")
     # a pair of blocks is one cell: a hot bucket becomes many cells of bounded size
     cells = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return cells.mapInArrow(_cross_blocks(floor, take), "u long, v long, more boolean")
+    live = materialise(cells.mapInArrow(_open_members(floor), "band long, i int, j int, blk int, pos int, node long"))
+    nodes = materialise(live.select("node").distinct().join(classes.select("node", "f1"), "node"))
+    sets = materialise(_full_sets(docs, nodes, doc_id, text_col, k))
+    full = live.join(own, "node").join(sets, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return full.mapInArrow(_cell_links(floor, num, den), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", k: int = 5,
@@ -290,10 +333,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str =
                                                 F.first("bands").alias("bands"))
     # rows sharing a doc_id are one document: classes with the same name merge
     classes = materialise(classes)
-    bands = classes.select("node", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")) \
-        .where(F.col("lo") != F.col("hi"))
-    members = materialise(bands.join(buckets.select("band", "lo"), "band").select("band", "node", "lo"))
+    bands = classes.select("node", F.posexplode("bands").alias("pos", "band"))
+    buckets = materialise(bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+                          .where(F.col("lo") != F.col("hi")))
+    members = materialise(bands.join(buckets.select("band", "lo"), "band").select("band", "pos", "node", "lo"))
     star = members.where("node != lo").select(F.col("lo").alias("u"), F.col("node").alias("v")).distinct()
     c = classes.select("node", "n", "regs")
     cand = star.join(c.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("regs").alias("r1")), "u") \
@@ -301,23 +344,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str =
     pairs = materialise(cand.mapInArrow(_estimate_batch(floor), "u long, v long"))
     edges = materialise(_verify(pairs, classes, docs, doc_id, text_col, k, num, den))
     label = materialise(connected_components(edges))
-    take, done = 16, pairs
-    while True:
-        cross = materialise(_cross_pairs(members.select("band", "node"), classes, label, floor, take))
-        fresh = cross.where(~F.col("more")).select(F.greatest("u", "v").alias("v"), F.least("u", "v").alias("u")).distinct()
-        fresh = materialise(fresh.select("u", "v").join(done, ["u", "v"], "left_anti"))
-        if fresh.isEmpty():
-            if cross.where("more").isEmpty():
-                break
-        else:
-            found = materialise(_verify(fresh, classes, docs, doc_id, text_col, k, num, den))
-            done = done.select("u", "v").union(fresh)
-            if not found.isEmpty():
-                edges = edges.union(found)
-                label = materialise(connected_components(edges))
-        if cross.where("more").isEmpty():
-            break
-        take *= 8
+    found = materialise(_cross_links(members.select("band", "pos", "node"), classes, label, floor, docs, doc_id, text_col, k, num, den))
+    if not found.isEmpty():
+        label = materialise(connected_components(edges.union(found)))
     own = sig.join(classes.select("f1", "f2", F.col("n"), "node"), ["f1", "f2", "n"], "left") \
         .join(label, "node", "left")
     comp = F.when(F.col("_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "node", "_id"))
