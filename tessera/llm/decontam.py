@@ -59,10 +59,10 @@ def _item_windows(width: int):
     return run
 
 
-def tokenised(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+def tokenised(df: DataFrame, text_col: str, keep: list[str], k: int = 1) -> DataFrame:
     """The kept columns and the words of each text (see ``text.tokens_batch``)."""
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
-    return src.mapInArrow(tokens_batch("alnum", "_text", keep), row_schema(src, keep, TOKEN_COLUMNS))
+    return src.mapInArrow(tokens_batch("alnum", "_text", keep, k), row_schema(src, keep, TOKEN_COLUMNS))
 
 
 def windows(items: DataFrame, width: int, item_id: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -14,8 +14,8 @@ The templates are the fixed list below (or the caller's, at most
 ``MAX_TEMPLATE_WORDS`` words in all), so broadcasting them is bounded.
 
 Defined results: null and empty texts have no words, no places, score 0.0;
-repeated rows are scanned each for itself (told apart by input position, so
-the input must be re-readable in the same order); places may overlap.
+repeated rows are scanned each for itself (told apart by input position);
+places may overlap.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .decontam import tokenised
+from .store import materialise
 from .text import SENTINEL_LONG, hash_words, ngram_hashes
 
 MAX_TEMPLATE_WORDS = 100_000
@@ -76,38 +77,9 @@ def template_grams(spark, base, notices) -> DataFrame:
         rows, "gram long, template int, label string, base boolean, tpos int, len int, bytes binary")
 
 
-def _grams_batch(k: int):
-    import numpy as np
-    import pyarrow as pa
-
-    def run(batches):
-        for batch in batches:
-            toks = batch.column("_tokens")
-            vals = toks.values.to_numpy(zero_copy_only=False)
-            offs = toks.offsets.to_numpy()
-            vals = vals[offs[0]:offs[-1]]
-            offs = (offs - offs[0]).astype(np.int64)
-            g = ngram_hashes(vals.view(np.uint64), k)          # runs over the whole batch
-            n = np.diff(offs) - 1                              # words; the last element is the sentinel
-            keep = np.maximum(n - k + 1, 0)
-            out_offs = np.concatenate(([0], np.cumsum(keep + 1)))
-            src = np.arange(out_offs[-1]) - np.repeat(out_offs[:-1], keep + 1) + np.repeat(offs[:-1], keep + 1)
-            last = out_offs[1:] - 1
-            out = np.full(out_offs[-1], SENTINEL_LONG, np.int64)
-            body = np.ones(len(out), bool)
-            body[last] = False
-            out[body] = g[src[body]].view(np.int64)
-            arr = pa.ListArray.from_arrays(pa.array(out_offs.astype(np.int32)), pa.array(out))
-            i = batch.schema.get_field_index("_tokens")
-            cols = [arr if j == i else batch.column(j) for j in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
-    return run
-
-
 def votes(docs: DataFrame, *, text_col: str = "text", keys: list[str], base=BASE, notices=NOTICES) -> DataFrame:
     """Votes per diagonal: ``keys``, ``n``, ``template``, ``label``, ``base``, ``len``, ``diag``, ``tset`` (template k-grams found)."""
-    tokens = tokenised(docs, text_col, keys)
-    grams = tokens.mapInArrow(_grams_batch(K), tokens.schema)
+    grams = tokenised(docs, text_col, keys, K)
     post = grams.select(*keys, "_n", "_norm", "_offs", F.posexplode("_tokens").alias("pos", "gram"))
     hit = post.join(F.broadcast(template_grams(docs.sparkSession, base, notices)), "gram")
     a, b = F.get("_offs", F.col("pos")), F.get("_offs", F.col("pos") + K)
@@ -143,7 +115,7 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", bas
     src = docs.select(F.col(f"`{doc_id}`").alias("_doc"), F.col(f"`{text_col}`").alias("_body"),
                       F.monotonically_increasing_id().alias("_row"))
     keys = ["_row", "_doc"]
-    v = votes(src, text_col="_body", keys=keys, base=base, notices=notices)
+    v = materialise(votes(src, text_col="_body", keys=keys, base=base, notices=notices))
     full = F.col("base") & (F.size("tset") == F.col("len") - (K - 1))
     per = v.groupBy("_row").agg(
         F.first("_doc").alias("_doc"), F.first("n").cast("long").alias("n_words"),

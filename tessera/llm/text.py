@@ -166,10 +166,11 @@ def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
-def tokens_batch(kind_name: str, column: str, keep: list[str]):
+def tokens_batch(kind_name: str, column: str, keep: list[str], k: int = 1):
     """mapInArrow function: the kept columns plus, per text, its words.
 
-    ``_n`` words, ``_tokens`` their hashes and a last element ``SENTINEL``,
+    ``_n`` words, ``_tokens`` the hashes of its words (or of its runs of ``k``
+    words, one from each word that has k - 1 behind it) and a last element ``SENTINEL``,
     ``_norm`` their lower-cased bytes (each with a space behind), ``_offs``
     the byte offset of each word in ``_norm`` and the end. The sentinel lets a
     join of the tokens with a small table keep one row for every document.
@@ -184,15 +185,22 @@ def tokens_batch(kind_name: str, column: str, keep: list[str]):
                 norm, dofs, wofs = w.normalised()
                 d = hi - lo
                 ends = w.first[1:]
-                toks = np.insert(h, ends, U(SENTINEL)).view(np.int64)
                 tofs = np.concatenate(([0], np.cumsum(n + 1))).astype(np.int32)
+                if k == 1:
+                    toks, gofs = np.insert(h, ends, U(SENTINEL)).view(np.int64), tofs
+                else:
+                    g = ngram_hashes(h, k)                     # runs over the whole chunk
+                    m = np.maximum(n - k + 1, 0)
+                    own = np.arange(m.sum()) + np.repeat(w.first[:-1] - (np.cumsum(m) - m), m)
+                    toks = np.insert(g[own], np.cumsum(m), U(SENTINEL)).view(np.int64)
+                    gofs = np.concatenate(([0], np.cumsum(m + 1))).astype(np.int32)
                 base = np.repeat(dofs[:-1], n + 1)
-                idx = np.arange(len(toks)) - np.repeat(np.arange(d), n + 1)
+                idx = np.arange(tofs[-1]) - np.repeat(np.arange(d), n + 1)
                 rel = (wofs[idx] - base).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, d) for c in keep] + [
                         pa.array(n.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(tofs), pa.array(toks)),
+                        pa.ListArray.from_arrays(pa.array(gofs), pa.array(toks)),
                         pa.Array.from_buffers(pa.binary(), d, [None, pa.py_buffer(dofs.astype(np.int32)), pa.py_buffer(norm)]),
                         pa.ListArray.from_arrays(pa.array(tofs), pa.array(rel))],
                     names=[*keep, "_n", "_tokens", "_norm", "_offs"])
