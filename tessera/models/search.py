@@ -122,6 +122,8 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
+    if task == "classification":  # read by the counts and by the AUC
+        scored = cut_lineage(scored)
     return _metrics(scored, task, label, ["candidate", fold_col])
 
 
@@ -137,13 +139,13 @@ def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str
         train = cut_lineage(train)
     cv = cross_validate(fit, train, fold_col, label, task, cands, parallelism=parallelism, cut=False)
     summary = cv.groupBy("candidate").agg(F.avg(metric).alias("mean_score"), F.stddev_pop(metric).alias("std_score"))
-    rows = sorted(summary.collect(), key=lambda r: ((-r["mean_score"]) if higher_is_better else r["mean_score"],
-                                                    r["candidate"]))  # one row per candidate
+    sign = -1 if higher_is_better else 1  # one row per candidate; a candidate without a score comes last
+    rows = sorted(summary.collect(), key=lambda r: (r["mean_score"] is None, sign * (r["mean_score"] or 0.0), r["candidate"]))
     best = rows[0]
     params = cands[best["candidate"]]
     model = fit(train.drop(fold_col), **params)
     rec = {"model": name, "params": {k: str(v) for k, v in params.items()}, "status": "ok", "metric": metric,
-           "cv_mean": float(best["mean_score"]), "cv_std": float(best["std_score"] or 0.0)}
+           "cv_mean": None if best["mean_score"] is None else float(best["mean_score"]), "cv_std": float(best["std_score"] or 0.0)}
     if test is not None:
         rec.update(_test_metrics(model, test, label, task))
     rec["time_min"] = (time.time() - t0) / 60.0
@@ -182,7 +184,7 @@ def evaluate_models(models: dict, train: DataFrame, test: DataFrame, label: str
             rec["status"] = "ok"
         except Exception as e:  # recorded, not raised: the loop goes on
             rec["status"] = "error"
-            rec["error"] = f"{type(e).__name__}: {str(e)[:200]}"
+            rec["error"] = f"{type(e).__name__}: {e}"
             traceback.print_exc(limit=1)
         rec["time_min"] = (time.time() - t0) / 60.0
         rec["timestamp"] = datetime.now(timezone.utc).isoformat(timespec="seconds")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import nonfinite_to_null
 from .columns import NUMERIC_TYPES
-from .order import bucket_in_sorted_array
+from .order import join_null_safe, range_split
 from .quantiles import group_quantiles, median_of
 
 
@@ -32,6 +32,11 @@ def _null_cond(df: DataFrame, c: str):
     return col.isNull()
 
 
+def present(df: DataFrame, c: str):
+    """The cell, NULL where it counts as missing (NULL, and NaN of a float column)."""
+    return F.when(~_null_cond(df, c), F.col(f"`{c}`"))
+
+
 # ---------------------------------------------------------------- profiling
 def missing_profile(df: DataFrame, cols=None) -> DataFrame:
     """(column, total, percent) with percent = nulls / rows; one scan."""
@@ -85,9 +90,9 @@ def drop_sparse_columns(train: DataFrame, others=(), max_nulls=None, max_share=N
 
 # ---------------------------------------------------------------- filling
 def fill_literal(df: DataFrame, values: dict) -> DataFrame:
-    """C4: NULL -> literal per column (value cast to the column's type)."""
+    """C4: missing -> literal per column (value cast to the column's type)."""
     return df.withColumns({
-        c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()})
+        c: F.coalesce(present(df, c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()})
 
 
 def _apply_row(df: DataFrame, stats: DataFrame, cols) -> DataFrame:
@@ -95,7 +100,7 @@ def _apply_row(df: DataFrame, stats: DataFrame, cols) -> DataFrame:
     ren = stats.select(*[F.col(c).alias(f"_fill_{c}") for c in cols])
     out = df.crossJoin(F.broadcast(ren))
     return out.withColumns({
-        c: F.coalesce(F.col(c), F.col(f"_fill_{c}").cast(df.schema[c].dataType)) for c in cols
+        c: F.coalesce(present(df, c), F.col(f"_fill_{c}").cast(df.schema[c].dataType)) for c in cols
     }).drop(*[f"_fill_{c}" for c in cols])
 
 
@@ -110,7 +115,7 @@ def mode_of(df: DataFrame, cols) -> DataFrame:
         if not these:
             continue
         long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("_col"), F.col(c).cast(ctype).alias("_v")) for c in these])).alias("_s")
+            F.struct(F.lit(c).alias("_col"), present(df, c).cast(ctype).alias("_v")) for c in these])).alias("_s")
         ).select("_s._col", "_s._v").where(F.col("_v").isNotNull())
         counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_n"))
         best = counts.groupBy("_col").agg(F.min(F.struct((-F.col("_n")).alias("k"), F.col("_v").alias("v"))).alias("_b"))
@@ -124,7 +129,7 @@ def fit_stat(df: DataFrame, cols, how: str, approx: bool = False) -> DataFrame:
     """One-row frame with the fill statistic of each column."""
     cols = _as_list(cols)
     if how == "mean":
-        return df.agg(*[F.avg(F.col(c)).alias(c) for c in cols])
+        return df.agg(*[F.avg(present(df, c)).alias(c) for c in cols])
     if how == "median":
         return median_of(df, cols, approx=approx)
     if how == "mode":
@@ -157,7 +162,7 @@ def fill_group_median(df: DataFrame, col: str, group, fallback: bool = True,
         med = med.where(F.col("_level") == 0).drop("_level")
     # the NULL-key group is never joined: pandas leaves it to the fallback
     out = df.join(med, on=group, how="left")
-    filled = F.coalesce(F.col(col), F.col("_gmed"))
+    filled = F.coalesce(present(df, col), F.col("_gmed"))
     if fallback:
         out = out.crossJoin(F.broadcast(glob))  # one row
         filled = F.coalesce(filled, F.col("_glob"))
@@ -179,31 +184,23 @@ def group_transform(df: DataFrame, col: str, group, agg: str = "mean", out: str
     return df.join(stats, on=group, how="left")
 
 
-def forward_fill(df: DataFrame, cols, order_by, partition_by=(), buckets: int = 64) -> DataFrame:
-    """NULL -> last non-null earlier value in ``order_by`` (within
-    ``partition_by``). Skew-safe: the order is cut into ranges at approximate
-    quantiles; each range is filled locally, and the last value of earlier
-    ranges is carried in from a small (#groups x #ranges) table."""
+def forward_fill(df: DataFrame, cols, order_by, partition_by=(), partitions: int | None = None) -> DataFrame:
+    """Missing -> last present earlier value in ``order_by`` (any orderable
+    types; within ``partition_by``, where NULL is a key like any other).
+    Skew-safe: rows are cut into ranges of (partition, order); each range is
+    filled locally, and the last value of earlier ranges is carried in from a
+    small (#groups x #ranges) table."""
     cols, order_by, parts = _as_list(cols), _as_list(order_by), _as_list(partition_by)
-    first = df.schema[order_by[0]].dataType
-    okey = F.col(order_by[0])
-    if isinstance(first, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        okey = F.unix_micros(okey.cast("timestamp"))
-    d = df.withColumn("_ok", okey.cast("double"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = d.groupBy(*parts).agg(F.percentile_approx("_ok", fracs, 10000).alias("_bounds"))
-    d = d.join(bounds, on=parts, how="left") if parts else d.crossJoin(F.broadcast(bounds))
-    d = d.withColumn("_seg", bucket_in_sorted_array(F.col("_ok"), F.col("_bounds"), buckets - 1)).drop("_bounds")
-    local = Window.partitionBy(*parts, "_seg").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(local) for c in cols})
+    d = range_split(df, [F.col(c) for c in (*parts, *order_by)], partitions=partitions, out="_seg")
+    local = Window.partitionBy(*parts, "_seg").orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({f"_loc_{c}": F.last(present(df, c), ignorenulls=True).over(local) for c in cols})
     seg_last = d.groupBy(*parts, "_seg").agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order_by], F.col(c).alias("v"))))
-        .getField("v").alias(f"_sl_{c}") for c in cols])
+        F.max_by(F.col(c), F.when(present(df, c).isNotNull(), F.col("_mid"))).alias(f"_sl_{c}") for c in cols])
     before = Window.partitionBy(*parts).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     carry = seg_last.select(*parts, "_seg", *[
         F.last(f"_sl_{c}", ignorenulls=True).over(before).alias(f"_cy_{c}") for c in cols])
-    d = d.join(carry, on=[*parts, "_seg"], how="left")
-    d = d.withColumns({c: F.coalesce(F.col(f"_loc_{c}"), F.col(f"_cy_{c}")) for c in cols})
+    d = join_null_safe(d, carry, [*parts, "_seg"], how="left")
+    d = d.withColumns({c: F.coalesce(F.col(f"_loc_{c}"), F.col(f"_cy_{c}"), F.col(f"`{c}`")) for c in cols})
     return d.select(*df.columns)
 
 

@@ -64,7 +64,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by=()) ->
     contrib = F.col("_p") * (F.col("_q_cum") - F.col("_q") + F.col("_q") / 2.0)
     a = c.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("_P"), F.sum("_q").alias("_N"))
     return a.select(*by, F.when((F.col("_P") == 0) | (F.col("_N") == 0), F.lit(None).cast("double"))
-                    .otherwise(F.col("_u") / (F.col("_P") * F.col("_N"))).alias("roc_auc"))
+                    .otherwise(F.col("_u") / (F.col("_P").cast("double") * F.col("_N"))).alias("roc_auc"))
 
 
 def pr_curve(df: DataFrame, label: str, score_cols, model_col: str = "model") -> DataFrame:

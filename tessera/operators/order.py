@@ -9,17 +9,15 @@ total or an exact position in an order:
   of the hash (uniform by construction), bucket counts give per-bucket rank
   offsets (a table of at most strata x 16^digits rows), and a window sorts
   only inside one (stratum, bucket). No global sort, no single partition.
-* ``running_sum`` -- inclusive cumulative sums in a numeric order, optionally
-  per group. Rows are cut into ranges at approximate quantiles (mergeable
-  sketch, bounded memory even for a hot group), range totals are turned
-  into offsets on a small table, and the running sum inside a range is a
-  window over that range only.
-* ``range_bucket`` -- the bucket expression used above, as a balanced
-  binary tree of comparisons so it stays inside whole-stage codegen.
-
-All three are lazy DataFrame plans (groupBy / window / join); joins against
-the small offset tables are left to AQE, which turns them into broadcast
-joins after measuring their real size.
+* ``range_split``  -- contiguous ranges of any order, fixed once by a
+  reliable checkpoint, their number following the number of rows.
+* ``running_sum``  -- inclusive cumulative sums in an order, optionally per
+  group: range totals are turned into offsets on a small table, and the
+  running sum inside a range is a window over that range only.
+  ``global_position`` numbers rows the same way.
+
+Joins against the small offset tables are left to AQE, which turns them into
+broadcast joins after measuring their real size.
 """
 
 from __future__ import annotations
@@ -27,7 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 HASH_SEP = ":"
+#: rows of one range of an order (one task's share)
+ROWS_PER_RANGE = 1_000_000
 
 
 def hash_hex(key: Column | str, seed) -> Column:
@@ -46,7 +48,8 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
     only by the key itself.
     """
     strata = [strata] if isinstance(strata, str) else list(strata)
-    h = hash_hex(key, seed)
+    # a NULL key hashes like an empty one: its rows keep a rank
+    h = hash_hex(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
     # the md5 order as numbers: bucket = first `digits` hex digits, then the
     # remaining digits as two longs (<= 15 hex digits each, so no overflow);
     # (bucket, _h1, _h2) orders exactly like the 32-char hex text, and longs
@@ -65,27 +68,12 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
     off = cnt.select(*strata, "_hb",
                      F.coalesce(F.sum("_hn").over(before), F.lit(0)).alias("_hoff"),
                      F.sum("_hn").over(whole).alias("_n_stratum"))
-    joined = d.join(off, on=[*strata, "_hb"], how="inner") if strata else \
-        d.join(off, on=["_hb"], how="inner")
+    joined = join_null_safe(d, off, [*strata, "_hb"])  # a NULL stratum is a stratum
     inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
     return joined.withColumn(out, (F.col("_hoff") + F.row_number().over(inner)).cast("long")) \
         .drop("_h1", "_h2", "_hb", "_hoff")
 
 
-def range_bucket(value: Column, bounds: list) -> Column:
-    """Number of ``bounds`` strictly below ``value`` as a balanced CASE tree
-    (log2(len(bounds)) comparisons per row, codegen friendly)."""
-    bounds = sorted(set(b for b in bounds if b is not None))
-
-    def build(lo, hi):  # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # bounds[mid] separates answer <= mid from > mid
-        return F.when(value <= F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return build(0, len(bounds)) if bounds else F.lit(0)
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (group keys may be
     NULL); the right side's key columns are dropped."""
@@ -100,44 +88,41 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner")
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def bucket_in_sorted_array(value: Column, bounds: Column, n: int) -> Column:
-    """Number of elements of the ascending array ``bounds`` (length ``n``)
-    strictly below ``value``: a balanced tree of ``bounds[i] < value``
-    comparisons (log2(n) per row) that stays in whole-stage codegen, unlike
-    a ``filter`` lambda."""
-    def build(lo, hi):  # answer in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2  # is bounds[mid] below value? then answer > mid
-        return F.when(bounds.getItem(mid) < value, build(mid + 1, hi)).otherwise(build(lo, mid))
-    return build(0, n)
+def range_split(df: DataFrame, order, rows_per_range: int = ROWS_PER_RANGE, partitions: int | None = None,
+                out: str = "_rng") -> DataFrame:
+    """Cut the frame into contiguous ranges of the order ``order`` (column
+    names or sort expressions, any orderable types) and fix the cut: ``out``
+    is the range number, ``_mid`` ascends with the order.
+
+    The boundaries come from Spark's range sample, which differs from plan to
+    plan, so the ranged and sorted rows are checkpointed: whatever is computed
+    from them (range sizes, offsets, the rows themselves) sees the same ranges.
+    The number of ranges follows the number of rows."""
+    n = partitions
+    if n is None:
+        rows = df.count()
+        par = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, min(par, -(-rows // 20_000)), -(-rows // rows_per_range))
+    r = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return cut_lineage(r.withColumns({out: F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
 
 
 def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
-                tiebreak=(), descending: bool = False, buckets: int = 64,
+                tiebreak=(), descending: bool = False, partitions: int | None = None,
                 suffix: str = "_cum", totals: bool = False) -> DataFrame:
-    """Inclusive running sums of ``values`` ordered by numeric ``order``
-    (then ``tiebreak``) inside each ``partition`` group; with ``totals`` also
-    the group total ``<v>_tot``.
+    """Inclusive running sums of ``values`` ordered by ``order`` (any
+    orderable type, then ``tiebreak``) inside each ``partition`` group; with
+    ``totals`` also the group total ``<v>_tot``.
 
     Meant for pre-aggregated inputs (one row per distinct order value), so a
-    hot order value is already one row. Ranges come from per-group
-    approximate quantiles of ``order``; a hot group therefore spreads over
-    ``buckets`` ranges instead of landing in one task. Group keys may be
-    NULL (null-safe joins).
+    hot order value is already one row. The input is materialised once, then
+    cut into ranges of (group, order), so a hot group spreads over as many
+    ranges as its rows need. Group keys may be NULL (null-safe joins).
     """
     partition = [partition] if isinstance(partition, str) else list(partition)
     tiebreak = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    okey = -F.col(order) if descending else F.col(order)
-    d = df.withColumn("_ok", okey.cast("double"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = d.groupBy(*partition).agg(
-        F.percentile_approx("_ok", fracs, 10000).alias("_bounds"))
-    if partition:
-        d = join_null_safe(d, bounds, partition)
-    else:
-        d = d.crossJoin(F.broadcast(bounds))  # one row: a proven size bound
-    d = d.withColumn("_rb", bucket_in_sorted_array(F.col("_ok"), F.col("_bounds"), buckets - 1)).drop("_bounds")
+    ordering = [F.col(c).desc() if descending else F.col(c) for c in (order, *tiebreak)]
+    d = range_split(cut_lineage(df), [*[F.col(c) for c in partition], *ordering], partitions=partitions, out="_rb")
     seg = d.groupBy(*partition, "_rb").agg(*[F.sum(v).alias(f"_seg_{v}") for v in values])
     before = Window.partitionBy(*partition).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*partition)
@@ -147,31 +132,26 @@ def running_sum(df: DataFrame, order: str, values: list[str], partition=(),
     if not totals:
         off = off.drop(*[f"{v}_tot" for v in values])
     d = join_null_safe(d, off, [*partition, "_rb"])
-    ordering = [F.col("_ok")] + [F.col(t).desc() if descending else F.col(t) for t in tiebreak]
-    inner = Window.partitionBy(*partition, "_rb").orderBy(*ordering).rowsBetween(
+    inner = Window.partitionBy(*partition, "_rb").orderBy("_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     for v in values:
         d = d.withColumn(v + suffix, F.col(f"_off_{v}") + F.sum(v).over(inner))
-    return d.drop("_ok", "_rb", *[f"_off_{v}" for v in values])
+    return d.drop("_mid", "_rb", *[f"_off_{v}" for v in values])
 
 
 def global_position(df: DataFrame, order, out: str = "_pos", partitions: int | None = None) -> DataFrame:
     """0-based position of each row in a total order over the whole frame
     (works for any orderable type, e.g. strings).
 
-    ``repartitionByRange`` splits the order into contiguous ranges sampled by
-    Spark; inside a range ``monotonically_increasing_id`` after a local sort
-    numbers the rows (its high bits are the partition index), and range
-    sizes -- one row per partition, a proven bound -- become broadcast
-    offsets. No single-partition window."""
+    The ranges are fixed once (``range_split``); inside a range
+    ``monotonically_increasing_id`` numbers the sorted rows (its high bits are
+    the partition index), and range sizes -- one row per range, a proven
+    bound -- become broadcast offsets. No single-partition window on data."""
     order = [order] if isinstance(order, str) else list(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order).sortWithinPartitions(*order) \
-        .withColumn("_mid", F.monotonically_increasing_id())
-    r = r.withColumn("_pid", F.shiftright("_mid", 33))
-    sizes = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_psz"))
+    r = range_split(df, [F.col(c) for c in order], partitions=partitions, out="_pid")
+    sizes = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_psz"), F.min("_mid").alias("_pfirst"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select("_pid", F.coalesce(F.sum("_psz").over(before), F.lit(0)).alias("_poff"))
+    offs = sizes.select("_pid", "_pfirst", F.coalesce(F.sum("_psz").over(before), F.lit(0)).alias("_poff"))
     r = r.join(F.broadcast(offs), on="_pid", how="inner")
-    return r.withColumn(out, (F.col("_poff") + F.col("_mid") - F.shiftleft("_pid", 33)).cast("long")) \
-        .drop("_mid", "_pid", "_poff")
+    return r.withColumn(out, (F.col("_poff") + F.col("_mid") - F.col("_pfirst")).cast("long")) \
+        .drop("_mid", "_pid", "_poff", "_pfirst")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .order import hash_hex, hash_rank
+from .order import hash_hex, hash_rank, join_null_safe
 
 
 def _as_list(x):
@@ -99,7 +99,7 @@ def train_test_split(df: DataFrame, test_size, seed, key: str, stratify: str | N
             .drop("_r", "_n_stratum")
     quotas = class_quotas(df, stratify, test_size)
     r = hash_rank(df, key, seed, strata=[stratify], out="_r")
-    r = r.join(quotas, on=stratify, how="left")  # one row per class; AQE broadcasts it
+    r = join_null_safe(r, quotas, [stratify], how="left")  # one row per class; AQE broadcasts it
     return r.withColumn(tag, F.when(F.col("_r") <= F.col("_quota"), "test").otherwise("train")) \
         .drop("_r", "_n_stratum", "_quota")
 
@@ -111,7 +111,7 @@ def class_quotas(df: DataFrame, label: str, size) -> DataFrame:
     tot = Window.partitionBy()
     n = F.sum("_nc").over(tot)
     t = _quota_size(n, size)
-    c = cnt.withColumn("_t", t).withColumn("_exact", F.col("_nc") * F.col("_t") / n)
+    c = cnt.withColumn("_t", t).withColumn("_exact", F.col("_nc").cast("double") * F.col("_t") / n)
     c = c.withColumn("_fl", F.floor("_exact")).withColumn("_rem", F.col("_exact") - F.col("_fl"))
     left = F.col("_t") - F.sum("_fl").over(tot)
     order = Window.partitionBy().orderBy(F.col("_rem").desc(), F.col(label))
@@ -166,10 +166,5 @@ def assign_folds(df: DataFrame, k: int, key: str, mode: str = "stratified", seed
     return r.withColumn(out, fold.cast("int")).drop("_r", "_n_stratum")
 
 
-def fold_sizes_ok(k: int, n: int) -> list[int]:
-    """Expected fold sizes for contiguous / shuffled folds (test helper)."""
-    return [n // k + (1 if i < n % k else 0) for i in range(k)]
-
-
 __all__ = ["union_tagged", "split_by_tag", "join_on_key", "align", "sample_n", "bootstrap_n",
            "train_test_split", "class_quotas", "nested_split", "assign_folds"]

@@ -78,11 +78,15 @@ def append_results(df: DataFrame, path: str, model_col: str = "model") -> None:
 
 
 def read_results(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read the result log; a missing or empty log is an empty frame."""
+    """Read the result log; a log that does not exist yet is an empty frame
+    (any other failure is raised)."""
+    from pyspark.errors import AnalysisException
+    r = spark.read.schema(schema) if schema is not None else spark.read
     try:
-        r = spark.read.schema(schema) if schema is not None else spark.read
         return r.json(path)
-    except Exception:  # AnalysisException: path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema or T.StructType([]))
 
 

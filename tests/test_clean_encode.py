@@ -37,11 +37,11 @@ def test_forward_fill_matches_pandas(spark):
     pdf = pd.DataFrame({"u": rng.integers(0, 4, 300), "t": rng.permutation(300), "v": rng.normal(size=300)})
     pdf.loc[rng.random(300) < 0.5, "v"] = np.nan
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
-    got = clean.forward_fill(df, ["v"], ["t"], partition_by=["u"], buckets=6).toPandas().sort_values(["u", "t"])
+    got = clean.forward_fill(df, ["v"], ["t"], partition_by=["u"], partitions=6).toPandas().sort_values(["u", "t"])
     exp = pdf.sort_values(["u", "t"]).copy()
     exp["v"] = exp.groupby("u")["v"].ffill()
     assert np.allclose(got.v.fillna(-999).to_numpy(), exp.v.fillna(-999).to_numpy())
-    glob = clean.forward_fill(df, ["v"], ["t"], buckets=5).toPandas().sort_values("t")
+    glob = clean.forward_fill(df, ["v"], ["t"], partitions=5).toPandas().sort_values("t")
     assert np.allclose(glob.v.fillna(-999).to_numpy(), pdf.sort_values("t").v.ffill().fillna(-999).to_numpy())
 
 
@@ -144,7 +144,7 @@ def test_hot_user_forward_fill_and_group_median(spark):
                         "t": rng.permutation(n), "v": rng.normal(size=n)})
     pdf.loc[rng.random(n) < 0.6, "v"] = np.nan
     df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None)))
-    got = clean.forward_fill(df, ["v"], ["t"], partition_by=["u"], buckets=16).toPandas().sort_values(["u", "t"])
+    got = clean.forward_fill(df, ["v"], ["t"], partition_by=["u"], partitions=16).toPandas().sort_values(["u", "t"])
     exp = pdf.sort_values(["u", "t"]).copy()
     exp["v"] = exp.groupby("u")["v"].ffill()
     assert np.allclose(got.v.fillna(-999).to_numpy(), exp.v.fillna(-999).to_numpy())

@@ -62,7 +62,7 @@ def test_running_sum_matches_cumsum(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "o": rng.permutation(500).astype(float),
                         "v": rng.integers(0, 10, 500)})
-    got = running_sum(spark.createDataFrame(pdf), "o", ["v"], partition=["g"], buckets=8).toPandas()
+    got = running_sum(spark.createDataFrame(pdf), "o", ["v"], partition=["g"], partitions=8).toPandas()
     pdf = pdf.sort_values(["g", "o"])
     pdf["exp"] = pdf.groupby("g")["v"].cumsum()
     m = got.merge(pdf, on=["g", "o"])

@@ -44,7 +44,7 @@ def test_folds(spark):
     df = spark.range(103).select(F.col("id").alias("k"), (F.col("id") % 4 == 0).cast("int").alias("y"))
     for mode in ("shuffled", "contiguous"):
         f = sampling.assign_folds(df, 5, "k", mode, seed=2).toPandas()
-        assert sorted(f.fold.value_counts().tolist(), reverse=True) == sampling.fold_sizes_ok(5, 103)
+        assert sorted(f.fold.value_counts().tolist(), reverse=True) == [21, 21, 21, 20, 20]
     c = sampling.assign_folds(df, 5, "k", "contiguous").toPandas().sort_values("k")
     assert c.fold.is_monotonic_increasing
     st = sampling.assign_folds(df, 5, "k", "stratified", seed=2, label="y").toPandas()
