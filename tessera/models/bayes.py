@@ -14,15 +14,20 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import FitEstimator, StateModel
 
-class GaussianNBModel:
-    def __init__(self, params: list[dict], features: list[str], eps: float):
-        self.params, self.features, self.eps = params, features, eps
+#: a label with more distinct values is taken for a mistake
+MAX_CLASSES = 10_000
 
-    def log_joint(self, c: dict):
+class GaussianNBModel(StateModel):
+    def __init__(self, classes: list[dict] | None = None, features: list[str] | None = None, eps: float = 0.0):
+        super().__init__(None if classes is None else {"classes": classes, "features": features, "eps": eps})
+
+    @staticmethod
+    def log_joint(c: dict, features: list[str], eps: float):
         terms = [F.lit(math.log(c["prior"]))]
-        for f in self.features:
-            var = c[f"{f}__var"] + self.eps
+        for f in features:
+            var = c[f"{f}__var"] + eps
             terms.append(F.lit(-0.5 * math.log(2 * math.pi * var))
                          - (F.col(f) - F.lit(c[f"{f}__mean"])) ** 2 / F.lit(2 * var))
         out = terms[0]
@@ -30,11 +35,12 @@ class GaussianNBModel:
             out = out + t
         return out
 
-    def transform(self, df: DataFrame, prediction: str = "prediction", probability: str = "probability") -> DataFrame:
+    def _transform(self, df: DataFrame, prediction: str = "prediction", probability: str = "probability") -> DataFrame:
         """Adds ``prediction`` (arg-max class, ties -> first class) and, for
         two classes, ``probability`` of the second (larger) class."""
-        labels = [c["label"] for c in self.params]
-        lj = {c["label"]: self.log_joint(c) for c in self.params}
+        learned = self.learned
+        labels = [c["label"] for c in learned["classes"]]
+        lj = {c["label"]: self.log_joint(c, learned["features"], learned["eps"]) for c in learned["classes"]}
         out = df.withColumns({f"_lj{i}": lj[lab] for i, lab in enumerate(labels)})
         best = F.lit(labels[0])
         best_v = F.col("_lj0")
@@ -55,7 +61,17 @@ def fit_gaussian_nb(df: DataFrame, features, label: str = "label", var_smoothing
                                                               F.var_pop(f).alias(f"{f}__var"))])
     allvar = df.agg(*[F.var_pop(f).alias(f) for f in features]).first()
     eps = var_smoothing * max([allvar[f] or 0.0 for f in features] + [0.0])
-    rows = sorted((r.asDict() for r in g.collect()), key=lambda r: r[label])  # one row per class
+    rows = g.where(F.col(label).isNotNull()).limit(MAX_CLASSES + 1).collect()  # one row per class
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values: not a class label")
+    rows = sorted((r.asDict() for r in rows), key=lambda r: r[label])
     n = sum(r["_n"] for r in rows)
-    params = [dict(r, label=r[label], prior=r["_n"] / n) for r in rows]
-    return GaussianNBModel(params, features, eps)
+    classes = [dict(r, label=r[label], prior=r["_n"] / n) for r in rows]
+    return GaussianNBModel(classes, features, eps)
+
+
+class GaussianNB(FitEstimator):
+    """``GaussianNB(features=[...], label='label', var_smoothing=1e-9)`` as an ``ml`` estimator."""
+
+    def _fit(self, df: DataFrame) -> GaussianNBModel:
+        return fit_gaussian_nb(df, **self.options)

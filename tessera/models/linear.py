@@ -15,6 +15,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import FitEstimator, StateModel
+
 from ..operators.encode import assemble
 
 
@@ -90,16 +92,24 @@ def fit_lasso(df: DataFrame, features: str = "features", label: str = "label", a
     return lr.fit(df)
 
 
-class ScaledLabelModel:
+class ScaledLabelModel(StateModel):
     """A fitted regressor trained on ``label / scale``; predictions are
     multiplied back (used by the elastic-net translation)."""
 
-    def __init__(self, model, scale: float, prediction: str = "prediction"):
-        self.model, self.scale, self.prediction = model, scale, prediction
+    def __init__(self, model=None, scale: float = 1.0, prediction: str = "prediction"):
+        super().__init__(None if model is None else {"scale": scale, "prediction": prediction}, [model] if model is not None else ())
+
+    @property
+    def model(self):
+        return self.parts[0]
+
+    @property
+    def scale(self) -> float:
+        return self.learned["scale"]
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(df)
-        return out.withColumn(self.prediction, F.col(self.prediction) * F.lit(self.scale))
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out, name = self.model.transform(df), self.learned["prediction"]
+        return out.withColumn(name, F.col(name) * F.lit(self.scale))
 
     @property
     def coefficients(self):
@@ -150,3 +160,21 @@ def fit_poly_ridge(df: DataFrame, cols, label: str = "label", alpha: float = 1.0
         return poly2_features(frame, cols, gamma, coef0, out=features)
 
     return model, mapper
+
+
+class PolyRidgeModel(StateModel):
+    """Feature map and ridge in one model: maps, predicts, drops the mapped features."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        a = self.learned
+        mapped = poly2_features(df, a["cols"], a["gamma"], a["coef0"], out=a["features"])
+        return self.parts[0].transform(mapped).drop(a["features"])
+
+
+class PolyRidge(FitEstimator):
+    """``PolyRidge(cols=[...], label=..., alpha=1.0, gamma=1.0, coef0=1.0)`` as an ``ml`` estimator."""
+
+    def _fit(self, df: DataFrame) -> PolyRidgeModel:
+        a = {"gamma": 1.0, "coef0": 1.0, "features": "_poly", **self.options}
+        model, _ = fit_poly_ridge(df, **a)
+        return PolyRidgeModel({k: a[k] for k in ("cols", "gamma", "coef0", "features")}, [model])

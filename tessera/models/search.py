@@ -58,6 +58,29 @@ def as_candidates(grid) -> list[dict]:
     return grid
 
 
+def sweep(fits: dict, train: DataFrame, test: DataFrame, label: str = "label", task: str = "classification",
+          cut: bool = True) -> DataFrame:
+    """Models x parameter ranges -> one long score table.
+
+    ``fits``: name -> (fit, grid). One row per (model, parameters) with every
+    test metric, all scored rows aggregated together."""
+    if cut:
+        train, test = cut_lineage(train), cut_lineage(test)
+    parts = []
+    for name, (fit, grid) in fits.items():
+        for params in as_candidates(grid):
+            model = fit(train, **params)
+            s = score_frame(model, test, keep=[label]) if task == "classification" else \
+                model.transform(test).select(label, F.col("prediction").cast("double"))
+            parts.append(s.withColumns({"model": F.lit(name), "params": F.lit(candidate_id(params))}))
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    if task == "classification":
+        scored = cut_lineage(scored)
+    return _metrics(scored, task, label, ["model", "params"])
+
+
 def candidate_id(params: dict) -> str:
     return json.dumps(params, sort_keys=True, default=str)
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .base import FitEstimator, StateModel
 from .linear import balanced_weights
 
 MAX_DEPTH = 30  # Spark's limit; stands in for "no depth limit"
@@ -63,34 +64,44 @@ def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100,
              "minInfoGain": gamma}
     params = _tree_params(max_depth, min_samples_leaf, seed, max_bins, **extra)
     if loss:
+        if loss not in ("squared", "absolute", "logistic"):
+            raise ValueError(f"loss {loss!r}: Spark boosts with squared or absolute (regression) and logistic loss only")
         params["lossType"] = loss
     est = cls(featuresCol=features, labelCol=label, maxIter=int(n_estimators), stepSize=float(learning_rate),
               subsamplingRate=float(subsample), **params)
     return est.fit(df)
 
 
-class AdaBoostModel:
+class AdaBoostModel(StateModel):
     """SAMME over stumps: decision = sum a_m h_m / sum a_m with h in {-1, 1};
     probability of class 1 = sigmoid(decision) as for a binary SAMME model."""
 
-    def __init__(self, stumps, alphas, features, prediction="prediction", probability="probability"):
-        self.stumps, self.alphas, self.features = stumps, alphas, features
-        self.prediction, self.probability = prediction, probability
+    def __init__(self, stumps=(), alphas=None, prediction="prediction", probability="probability"):
+        super().__init__(None if alphas is None else {"alphas": alphas, "prediction": prediction, "probability": probability}, stumps)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        total = sum(self.alphas) or 1.0
+    @property
+    def stumps(self):
+        return self.parts
+
+    @property
+    def alphas(self):
+        return self.learned["alphas"]
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        a = self.learned
+        total = sum(a["alphas"]) or 1.0
         out, terms = df, []
-        for i, (m, a) in enumerate(zip(self.stumps, self.alphas)):
+        for i, (m, w) in enumerate(zip(self.parts, a["alphas"])):
             m = m.copy({m.predictionCol: f"_h{i}", m.rawPredictionCol: f"_raw{i}", m.probabilityCol: f"_pr{i}"})
             out = m.transform(out).drop(f"_raw{i}", f"_pr{i}")
-            terms.append(F.lit(a / total) * (2 * F.col(f"_h{i}") - 1))
+            terms.append(F.lit(w / total) * (2 * F.col(f"_h{i}") - 1))
         dec = terms[0]
         for t in terms[1:]:
             dec = dec + t
         out = out.withColumn("decision", dec)
-        out = out.withColumn(self.probability, 1.0 / (1.0 + F.exp(-F.col("decision"))))
-        out = out.withColumn(self.prediction, (F.col("decision") > 0).cast("double"))
-        return out.drop(*[f"_h{i}" for i in range(len(self.stumps))])
+        out = out.withColumn(a["probability"], 1.0 / (1.0 + F.exp(-F.col("decision"))))
+        out = out.withColumn(a["prediction"], (F.col("decision") > 0).cast("double"))
+        return out.drop(*[f"_h{i}" for i in range(len(self.parts))])
 
 
 def fit_adaboost(df: DataFrame, features="features", label="label", n_estimators=50, learning_rate=1.0,
@@ -131,4 +142,11 @@ def fit_adaboost(df: DataFrame, features="features", label="label", n_estimators
         else:
             cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
         prev.unpersist()
-    return AdaBoostModel(stumps, alphas, features)
+    return AdaBoostModel(stumps, alphas)
+
+
+class AdaBoost(FitEstimator):
+    """``AdaBoost(n_estimators=..., learning_rate=..., max_depth=...)`` as an ``ml`` estimator."""
+
+    def _fit(self, df: DataFrame) -> AdaBoostModel:
+        return fit_adaboost(df, **self.options)

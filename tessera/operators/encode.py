@@ -13,6 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..models.base import StateModel
 from ..session import cut_lineage
 from .order import global_position
 from .quantiles import quantiles
@@ -32,7 +33,7 @@ def vocabularies(df: DataFrame, cols, max_size: int = 10000) -> dict:
     sizes = {r[0]: r[1] for r in pairs.groupBy("_col").agg(F.count(F.lit(1))).collect()}  # one row per column
     big = [c for c, n in sizes.items() if n > max_size]
     if big:
-        raise ValueError(f"{big}: more than {max_size} categories; use label_encode")
+        raise ValueError(f"{big}: more than {max_size} categories as columns; use one_hot_vector or label_encode")
     out = {c: [] for c in cols}
     for r in pairs.collect():  # bounded: <= max_size values per column
         out[r["_col"]].append(r["_val"])
@@ -78,6 +79,23 @@ def one_hot(df: DataFrame, cols, prefix: dict | str | None = None, fit_on: DataF
     return out.drop(*cols) if drop else out
 
 
+def one_hot_vector(df: DataFrame, col: str, out: str | None = None, fit_on: DataFrame | None = None) -> DataFrame:
+    """E1 for vocabularies of any size: a sparse 0/1 vector column instead of
+    one column per category (position = code of ``label_encode``); NULL and
+    unseen values -> all zeros. Nothing but the vocabulary's size reaches the
+    driver."""
+    from pyspark.ml.feature import OneHotEncoder
+    src = fit_on if fit_on is not None else df
+    codes = fit_codes(src, [col])
+    n = codes.count()
+    key = codes.select(F.col("_val").alias("_ohv"), F.col("_code").alias("_ohc"))
+    j = df.withColumn("_ohk", F.col(col).cast("string")).join(key, F.col("_ohk") == F.col("_ohv"), "left")
+    j = j.withColumn("_ohc", F.coalesce("_ohc", F.lit(n)).cast("double"))   # the extra last code is dropped: all zeros
+    sizes = df.sparkSession.range(n + 1).select(F.col("id").cast("double").alias("_ohc"))
+    enc = OneHotEncoder(inputCol="_ohc", outputCol=out or f"{col}_onehot", dropLast=True).fit(sizes)
+    return enc.transform(j).drop("_ohk", "_ohv", "_ohc")
+
+
 def fit_codes(fit_on: DataFrame, cols, null_as: str | None = None) -> DataFrame:
     """Vocabulary table (``_col``, ``_val``, ``_code``) for all ``cols`` at
     once, codes 0..n-1 in ascending value order per column. Distinct
@@ -179,25 +197,31 @@ def pipeline(stages) -> Pipeline:
     return Pipeline(stages=list(stages))
 
 
-class ScaledModel:
+class ScaledModel(StateModel):
     """A model fitted on scaled features together with the scaling fitted on
     the same rows (E6): ``transform`` scales with the stored statistics,
-    assembles and predicts."""
+    assembles and predicts. Statistics, columns and model are one saved unit."""
+
+    def __init__(self, model=None, stats: dict | None = None, cols=(), how: str = "standard", features: str = "features"):
+        super().__init__(None if stats is None else {"stats": stats, "cols": list(cols), "how": how, "features": features},
+                         [model] if model is not None else ())
 
-    def __init__(self, model, stats: DataFrame, cols, how: str, features: str):
-        self.model, self.stats, self.cols, self.how, self.features = model, stats, list(cols), how, features
+    @property
+    def model(self):
+        return self.parts[0]
 
-    def _prep(self, df: DataFrame) -> DataFrame:
-        base = df.drop(self.features) if self.features in df.columns else df
-        scaled = (standard_scale(base, self.cols, stats=self.stats) if self.how == "standard"
-                  else _robust_apply(base, self.cols, self.stats))
-        return assemble(scaled, self.cols, self.features)
+    def prepare(self, df: DataFrame) -> DataFrame:
+        a = self.learned
+        base = df.drop(a["features"]) if a["features"] in df.columns else df
+        row = df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in a["stats"].items()])
+        scale = standard_scale if a["how"] == "standard" else _robust_with
+        return assemble(scale(base, a["cols"], stats=row), a["cols"], a["features"])
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(self._prep(df))
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(self.prepare(df))
 
 
-def _robust_apply(df: DataFrame, cols, stats: DataFrame) -> DataFrame:
+def _robust_with(df: DataFrame, cols, stats: DataFrame) -> DataFrame:
     out = df.crossJoin(F.broadcast(stats))  # one row
     scaled = {}
     for c in cols:
@@ -215,8 +239,8 @@ def with_scaling(fit, cols, how: str = "standard", features: str = "features"):
 
     def wrapped(df: DataFrame, **params):
         base = df.drop(features) if features in df.columns else df
-        stats = cut_lineage(fit_standard(base, cols) if how == "standard" else fit_robust(base, cols))  # one row
-        prepared = ScaledModel(None, stats, cols, how, features)._prep(base)
+        stats = (fit_standard(base, cols) if how == "standard" else fit_robust(base, cols)).first().asDict()
+        prepared = ScaledModel(None, stats, cols, how, features).prepare(base)
         return ScaledModel(fit(prepared, **params), stats, cols, how, features)
 
     return wrapped

@@ -225,6 +225,30 @@ def nb_evaluate_models(spark, d):
     return round_doubles(res.select("model", "status", "test_accuracy", "test_f1"))
 
 
+_SWEEP = {"nb_two": ["q,tax", "q,disc"], "nb_one": ["q", "disc"]}
+
+
+def _nb_sweep_sql() -> str:
+    parts, unions = [f"m AS MATERIALIZED ({MODEL_FRAME_SQL})"], []
+    for n, fs in _SWEEP.items():
+        for i, f in enumerate(fs):
+            parts.append(_nb_cte(f"{n}{i}", f.split(","), f"SELECT 0 AS fold, * FROM m WHERE {hdigit_sql('rid', 'nb')} < 'c'",
+                                 f"SELECT 0 AS fold, * FROM m WHERE {hdigit_sql('rid', 'nb')} >= 'c'", "c.fold = te.fold"))
+            unions.append(f"SELECT '{n}' AS model, '{f}' AS features, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1 "
+                          f"FROM ({_scores(f'{n}{i}')})")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(unions)
+
+
+@query("nb_sweep", _nb_sweep_sql())
+def nb_sweep(spark, d):
+    """Two models over their parameter ranges."""
+    m = model_frame(spark, d)
+    is_train = hdigit("rid", "nb") < "c"
+    s = search.sweep({n: (_fit_nb, {"features": fs}) for n, fs in _SWEEP.items()}, m.where(is_train), m.where(~is_train))
+    return round_doubles(s.select("model", F.element_at(F.from_json("params", "map<string,string>"), "features").alias("features"),
+                                  "accuracy", "f1"))
+
+
 ALPHAS = [0.0, 100.0, 10000.0]
 
 
