@@ -213,23 +213,17 @@ class ScaledModel(StateModel):
     def prepare(self, df: DataFrame) -> DataFrame:
         a = self.learned
         base = df.drop(a["features"]) if a["features"] in df.columns else df
-        row = df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(k) for k, v in a["stats"].items()])
-        scale = standard_scale if a["how"] == "standard" else _robust_with
-        return assemble(scale(base, a["cols"], stats=row), a["cols"], a["features"])
+        s, scaled = a["stats"], {}
+        for c in a["cols"]:  # the statistics are literals: no join in the plan of a fit
+            mid, width = (s[f"{c}__mean"], s[f"{c}__std"]) if a["how"] == "standard" else \
+                (s[f"{c}__q0_5"], None if s[f"{c}__q0_75"] is None else s[f"{c}__q0_75"] - s[f"{c}__q0_25"])
+            scaled[c] = (F.col(c) - F.lit(mid).cast("double")) / F.lit(width or 1.0)
+        return assemble(base.withColumns(scaled), a["cols"], a["features"])
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.prepare(df))
 
 
-def _robust_with(df: DataFrame, cols, stats: DataFrame) -> DataFrame:
-    out = df.crossJoin(F.broadcast(stats))  # one row
-    scaled = {}
-    for c in cols:
-        iqr = F.col(f"{c}__q0_75") - F.col(f"{c}__q0_25")
-        scaled[c] = (F.col(c) - F.col(f"{c}__q0_5")) / F.when((iqr == 0) | iqr.isNull(), F.lit(1.0)).otherwise(iqr)
-    return out.withColumns(scaled).select(*df.columns)
-
-
 def with_scaling(fit, cols, how: str = "standard", features: str = "features"):
     """Wrap ``fit(df, **params)`` so that the scaler is fitted on the
     rows the model is fitted on (inside every CV fold), like a

@@ -56,6 +56,23 @@ def repair_records(lines: DataFrame, schema, label_words=("Absence", "Presence")
     return parsed.select("_p.*")
 
 
+def read_glued(spark: SparkSession, path: str, schema, label_words=("Absence", "Presence"),
+               header_prefix: str = "id,") -> DataFrame:
+    """S2 for whole files: records may have lost every line break.
+
+    The last label word serves as the line separator, so Spark cuts the file
+    at label words wherever a split starts, and a file without a single line
+    break is still read by many tasks. The word is put back, the other label
+    words and real line breaks cut the pieces further, and what holds no field
+    separator (the rest behind the last record) is dropped."""
+    cut = label_words[-1]
+    pieces = spark.read.option("lineSep", cut).text(path).select(F.concat("value", F.lit(cut)).alias("value"))
+    words = "|".join(label_words)
+    broken = F.regexp_replace("value", f"({words})", "$1\n")
+    lines = pieces.select(F.explode(F.split(broken, "\r?\n")).alias("value")).where(F.col("value").contains(","))
+    return repair_records(lines, schema, label_words, header_prefix)
+
+
 def write_submission(df: DataFrame, path: str, cols, single_file: bool = False, mode: str = "overwrite") -> None:
     """S3: ``(id, prediction)`` CSV with a header and no index column."""
     out = df.select(*cols)

@@ -102,3 +102,22 @@ def test_cluster_needs_a_shared_folder():
             get = staticmethod(lambda key, default=None: default)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("text", ["id,a,label\n1,5,Presence2,6,Absence3,7,Absence4,8,Presence", "1,5,Presence2,6,Absence3,7,Absence4,8,Presence\n",
+                                  "id,a,label\r\n1,5,Presence\r\n2,6,Absence\r\n3,7,Absence4,8,Presence\r\n"])
+def test_glued_files(spark, tmpdir_path, text):
+    with open(f"{tmpdir_path}/glued.csv", "w", newline="") as f:
+        f.write(text)
+    got = io.read_glued(spark, f"{tmpdir_path}/glued.csv", "id long, a int, label string").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, 5, "Presence"), (2, 6, "Absence"), (3, 7, "Absence"), (4, 8, "Presence")]
+
+
+def test_missing_library_is_an_error_row(spark):
+    from tessera.models import search
+
+    def missing(df):
+        raise ImportError("no such library " + "x" * 300)
+    df = encode.assemble(_rows(spark), ["a", "b"])
+    r = {x.model: x for x in search.evaluate_models({"nb": lambda d: bayes.fit_gaussian_nb(d, ["a", "b"]), "gone": missing}, df, df).collect()}
+    assert r["nb"].status == "ok" and r["gone"].status == "error" and r["gone"].error.endswith("x" * 300)
