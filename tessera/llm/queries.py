@@ -27,7 +27,23 @@ def op3_license_scan(spark, sf_dir):
     return scan(_t(spark, sf_dir, "documents"))
 
 
-@query("op9_decontamination")
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op9_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(len(w) - least(10, len(w)) + 1)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i + 1:i + m], ' ') AS p FROM bw),
+dw AS (SELECT r, w, m, unnest(range(greatest(len(w) - m + 1, 0))) AS i FROM d CROSS JOIN (SELECT DISTINCT m FROM win)),
+hit AS (SELECT dw.r, dw.i, dw.m, win.item_id FROM dw JOIN win ON dw.m = win.m AND array_to_string(dw.w[dw.i + 1:dw.i + dw.m], ' ') = win.p),
+pos AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS x FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN its ON d.r = its.r""")
 def op9_decontamination(spark, sf_dir):
     from .decontam import decontaminate
     d = decontaminate(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"), width=10)
@@ -35,7 +51,20 @@ def op9_decontamination(spark, sf_dir):
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-@query("op8_setsketch_near_dedup")
+@query("op8_setsketch_near_dedup", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, least(3, len(w)) AS m, unnest(range(len(w) - least(3, len(w)) + 1)) AS i FROM d WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + m], ' ') AS s FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * x >= 85 * (na.n + nb.n - x)),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, t.b FROM reach r JOIN both_ways t ON r.b = t.a),
+c AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(c.b, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_id""")
 def op8_setsketch_near_dedup(spark, sf_dir):
     from .setsketch import near_duplicates
     return near_duplicates(_t(spark, sf_dir, "documents"), k=3, num=85, den=100)
@@ -55,7 +84,14 @@ def op10_source_mixing(spark, sf_dir):
     return d.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source")
 
 
-@query("op2_mtree_top_k")
+@query("op2_mtree_top_k", """
+WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""")
 def op2_mtree_top_k(spark, sf_dir):
     from .mtree import search
     return search(_t(spark, sf_dir, "embeddings"), every=100, k=10)
