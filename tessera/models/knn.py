@@ -27,33 +27,67 @@ def _vec(df: DataFrame, features) -> F.Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
-def _local_topk(k: int, metric: str, p: float, chunk_cells: int = 4_000_000):
+#: cells (query x train row) computed at a time: 64 MB of doubles, whatever the dimension
+CHUNK_CELLS = 8_000_000
+
+
+def _cells(qx: np.ndarray, tx: np.ndarray, metric: str, p: float) -> np.ndarray:
+    """Order-preserving distances of all cells; memory does not grow with the dimension."""
+    if metric == "euclidean":  # |a - b|^2 = |a|^2 - 2ab + |b|^2, rounded
+        return (qx * qx).sum(1)[:, None] - 2.0 * (qx @ tx.T) + (tx * tx).sum(1)[None, :]
+    power = 1.0 if metric == "manhattan" else p
+    d = np.zeros((len(qx), len(tx)))
+    for j in range(qx.shape[1]):
+        step = np.abs(qx[:, j, None] - tx[None, :, j])
+        d += step if power == 1.0 else step ** power
+    return d
+
+
+def _exact(qx: np.ndarray, tx: np.ndarray, metric: str, p: float) -> np.ndarray:
+    """Distances of paired rows."""
+    out = np.empty(len(qx))
+    step = max(1, CHUNK_CELLS // max(1, qx.shape[1]))
+    for s in range(0, len(qx), step):
+        diff = qx[s:s + step] - tx[s:s + step]
+        if metric == "euclidean":
+            out[s:s + step] = np.sqrt((diff ** 2).sum(-1))
+        elif metric == "manhattan":
+            out[s:s + step] = np.abs(diff).sum(-1)
+        else:  # minkowski
+            out[s:s + step] = (np.abs(diff) ** p).sum(-1) ** (1.0 / p)
+    return out
+
+
+def _local_topk(k: int, metric: str, p: float):
     def fn(qpdf: pd.DataFrame, tpdf: pd.DataFrame) -> pd.DataFrame:
+        names = ["_qk", "_tk", "_ty", "_dist"]
         if qpdf.empty or tpdf.empty:
-            return pd.DataFrame({"_qk": pd.Series([], dtype="int64"), "_tk": pd.Series([], dtype="int64"),
-                                 "_ty": pd.Series([], dtype="float64"), "_dist": pd.Series([], dtype="float64")})
+            return pd.DataFrame({n: [] for n in names})
         tx = np.stack(tpdf["_tx"].to_numpy()).astype(np.float64)
-        tk = tpdf["_tk"].to_numpy()
-        ty = tpdf["_ty"].to_numpy().astype(np.float64)
+        tk, ty = tpdf["_tk"].to_numpy(), tpdf["_ty"].to_numpy().astype(np.float64)
+        order_of_key = np.empty(len(tk), np.int64)  # keys of any type, compared by rank
+        order_of_key[np.argsort(tk, kind="stable")] = np.arange(len(tk))
         qx_all = np.stack(qpdf["_qx"].to_numpy()).astype(np.float64)
         qk_all = qpdf["_qk"].to_numpy()
         kk = min(k, len(tk))
-        step = max(1, chunk_cells // max(1, len(tk)))
+        norm = float((tx * tx).sum(1).max(initial=0.0))
+        step = max(1, CHUNK_CELLS // len(tk))
         outs = []
         for s in range(0, len(qk_all), step):
             qx = qx_all[s:s + step]
-            if metric == "euclidean":
-                d = np.sqrt(np.maximum(((qx[:, None, :] - tx[None, :, :]) ** 2).sum(-1), 0.0))
-            elif metric == "manhattan":
-                d = np.abs(qx[:, None, :] - tx[None, :, :]).sum(-1)
-            else:  # minkowski
-                d = (np.abs(qx[:, None, :] - tx[None, :, :]) ** p).sum(-1) ** (1.0 / p)
+            d = _cells(qx, tx, metric, p)
+            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+            # rounding of the expanded square (or of the sum) must not lose a neighbour: keep a margin, then recompute
+            slack = 1e-9 * (1.0 + np.abs(kth) + ((qx * qx).sum(1) + norm if metric == "euclidean" else 0.0))
+            rows, cols = np.nonzero(d <= (kth + slack)[:, None])
+            dist = _exact(qx[rows], tx[cols], metric, p)
             # order by (distance, train key) so ties are deterministic
-            idx = np.lexsort((np.broadcast_to(tk, d.shape), d), axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(qx)), kk)
-            cols = idx.reshape(-1)
-            outs.append(pd.DataFrame({"_qk": qk_all[s:s + step][rows], "_tk": tk[cols], "_ty": ty[cols],
-                                      "_dist": d[rows, cols]}))
+            by = np.lexsort((order_of_key[cols], dist, rows))
+            rows, cols, dist = rows[by], cols[by], dist[by]
+            first = np.searchsorted(rows, np.arange(len(qx)))
+            take = np.arange(len(rows)) - first[rows] < kk
+            rows, cols, dist = rows[take], cols[take], dist[take]
+            outs.append(pd.DataFrame({"_qk": qk_all[s:s + step][rows], "_tk": tk[cols], "_ty": ty[cols], "_dist": dist}))
         return pd.concat(outs, ignore_index=True)
     return fn
 
@@ -79,13 +113,14 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, label: str, trai
         tb = max(1, math.ceil(tstat["n"] * row_bytes / block_bytes))
         cores = train.sparkSession.sparkContext.defaultParallelism
         qb = max(1, math.ceil(n_query * row_bytes / block_bytes), math.ceil(cores / tb))
-    t = train.select(F.col(train_key).cast("long").alias("_tk"), F.col(label).cast("double").alias("_ty"),
+    t = train.select(F.col(train_key).alias("_tk"), F.col(label).cast("double").alias("_ty"),
                      _vec(train, features).alias("_tx")).withColumn("_tb", F.pmod(F.xxhash64("_tk"), F.lit(tb)))
-    q = query.select(F.col(query_key).cast("long").alias("_qk"), _vec(query, features).alias("_qx")) \
+    q = query.select(F.col(query_key).alias("_qk"), _vec(query, features).alias("_qx")) \
         .withColumn("_qb", F.pmod(F.xxhash64("_qk"), F.lit(qb)))
     t = t.withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long"))))
     q = q.withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tb - 1).cast("long"))))
-    schema = T.StructType([T.StructField("_qk", T.LongType()), T.StructField("_tk", T.LongType()),
+    schema = T.StructType([T.StructField("_qk", query.schema[query_key].dataType),
+                           T.StructField("_tk", train.schema[train_key].dataType),
                            T.StructField("_ty", T.DoubleType()), T.StructField("_dist", T.DoubleType())])
     cand = q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb")).applyInPandas(
         _local_topk(k, metric, p), schema)

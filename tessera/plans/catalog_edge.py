@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..models import bayes, linear, search
+from ..models import bayes, knn, linear, search
 from ..operators import clean, encode, sampling
 from .catalog_sample import _fold_sql
 from .frames import MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, null_if_hash, null_if_hash_sql, round_doubles, table
@@ -265,3 +265,21 @@ def ridge_cross_validate(spark, d):
     cv = search.cross_validate(lambda df, alpha: linear.fit_ridge(df, label="y_reg", alpha=alpha), m, label="y_reg",
                                task="regression", candidates=[{"alpha": a} for a in ALPHAS])
     return round_doubles(cv.select("candidate", "fold", "rmse"), 5)
+
+
+_KNN_SPLIT = hdigit_sql("vec_id", "knn")
+
+
+@query("knn_manhattan_distance_weights", f"""
+WITH tr AS (SELECT 'v' || CAST(vec_id AS VARCHAR) AS id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE {_KNN_SPLIT} < 'c'),
+te AS (SELECT 'v' || CAST(vec_id AS VARCHAR) AS id, embedding::DOUBLE[] AS e FROM embeddings WHERE {_KNN_SPLIT} >= 'c'),
+d AS (SELECT te.id AS q, tr.id AS t, tr.label, list_sum([abs(x[1] - x[2]) FOR x IN list_zip(te.e, tr.e)]) AS dist FROM te CROSS JOIN tr),
+r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY dist, t) AS rk FROM d QUALIFY rk <= 7),
+v AS (SELECT q, label, sum(1 / dist) AS votes FROM r GROUP BY q, label)
+SELECT q AS id, 7 AS k, label AS prediction FROM v QUALIFY row_number() OVER (PARTITION BY q ORDER BY votes DESC, label) = 1""")
+def knn_manhattan_distance_weights(spark, d):
+    """L4 with text keys, the city-block metric and distance weights."""
+    emb = table(spark, d, "embeddings").withColumn("id", F.concat(F.lit("v"), F.col("vec_id").cast("string")))
+    is_train = hdigit("vec_id", "knn") < "c"
+    nb = knn.knn_neighbors(emb.where(is_train), emb.where(~is_train), "embedding", "label", "id", "id", k=7, metric="manhattan")
+    return knn.knn_predict(nb, "id", [7], weights="distance").select("id", "k", "prediction")
