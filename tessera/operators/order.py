@@ -9,6 +9,8 @@ total or an exact position in an order:
   of the hash (uniform by construction), bucket counts give per-bucket rank
   offsets (a table of at most strata x 16^digits rows), and a window sorts
   only inside one (stratum, bucket). No global sort, no single partition.
+* ``hash_head``   -- the first rows of that order, decided by bucket counts,
+  without moving the table.
 * ``range_split``  -- contiguous ranges of any order, fixed once by a
   reliable checkpoint, their number following the number of rows.
 * ``running_sum``  -- inclusive cumulative sums in an order, optionally per
@@ -30,6 +32,8 @@ from ..session import cut_lineage
 HASH_SEP = ":"
 #: rows of one range of an order (one task's share)
 ROWS_PER_RANGE = 1_000_000
+#: rows of an offset table (a few numbers each) that may be broadcast
+BROADCAST_ROWS = 500_000
 
 
 def hash_hex(key: Column | str, seed) -> Column:
@@ -39,6 +43,30 @@ def hash_hex(key: Column | str, seed) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.lit(HASH_SEP), key.cast("string")))
 
 
+def _hash_buckets(df: DataFrame, key: str, seed, digits: int) -> DataFrame:
+    """The md5 order as numbers: ``_hb`` = first ``digits`` hex digits, then
+    the remaining digits as two numbers (<= 15 hex digits each, so no
+    overflow); (_hb, _h1, _h2) orders exactly like the 32-char hex text, and
+    numbers sort much faster than strings. A NULL key hashes like an empty
+    one: its rows keep a rank."""
+    h = hash_hex(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
+    rest = 32 - digits
+    n1 = min(15, rest)
+    return df.withColumn("_h", h).select(
+        "*", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int").alias("_hb"),
+        F.conv(F.substring("_h", digits + 1, n1), 16, 10).cast("long").alias("_h1"),
+        F.conv(F.substring("_h", digits + 1 + n1, rest - n1), 16, 10).cast("decimal(20,0)").alias("_h2")
+    ).drop("_h")
+
+
+def _bucket_offsets(d: DataFrame, strata: list) -> DataFrame:
+    """Per (stratum, bucket): rows ``_hn``, rows before it ``_hoff``, stratum size ``_n_stratum``."""
+    cnt = d.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_hn"))
+    before = Window.partitionBy(*strata).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
+    return cnt.select(*strata, "_hb", "_hn", F.coalesce(F.sum("_hn").over(before), F.lit(0)).alias("_hoff"),
+                      F.sum("_hn").over(Window.partitionBy(*strata)).alias("_n_stratum"))
+
+
 def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
               digits: int = 3) -> DataFrame:
     """Add ``out``: 1-based rank of the row inside its stratum ordered by
@@ -48,32 +76,38 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
     only by the key itself.
     """
     strata = [strata] if isinstance(strata, str) else list(strata)
-    # a NULL key hashes like an empty one: its rows keep a rank
-    h = hash_hex(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
-    # the md5 order as numbers: bucket = first `digits` hex digits, then the
-    # remaining digits as two longs (<= 15 hex digits each, so no overflow);
-    # (bucket, _h1, _h2) orders exactly like the 32-char hex text, and longs
-    # sort much faster than strings
-    rest = 32 - digits
-    n1 = min(15, rest)
-    d = df.withColumn("_h", h).select(
-        "*", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int").alias("_hb"),
-        F.conv(F.substring("_h", digits + 1, n1), 16, 10).cast("long").alias("_h1"),
-        F.conv(F.substring("_h", digits + 1 + n1, rest - n1), 16, 10).cast("decimal(20,0)").alias("_h2")
-    ).drop("_h")
-    cnt = d.groupBy(*strata, "_hb").agg(F.count(F.lit(1)).alias("_hn"))
-    before = Window.partitionBy(*strata).orderBy("_hb").rowsBetween(
-        Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*strata)
-    off = cnt.select(*strata, "_hb",
-                     F.coalesce(F.sum("_hn").over(before), F.lit(0)).alias("_hoff"),
-                     F.sum("_hn").over(whole).alias("_n_stratum"))
+    d = _hash_buckets(df, key, seed, digits)
+    off = _bucket_offsets(d, strata).drop("_hn")
     joined = join_null_safe(d, off, [*strata, "_hb"])  # a NULL stratum is a stratum
     inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
     return joined.withColumn(out, (F.col("_hoff") + F.row_number().over(inner)).cast("long")) \
         .drop("_h1", "_h2", "_hb", "_hoff")
 
 
+def hash_head(df: DataFrame, key: str, seed, quota, strata=(), out: str = "_head", digits: int = 3) -> DataFrame:
+    """Add ``out``: is the row among the first ``quota`` of its stratum in md5
+    order? Same rows as ``hash_rank`` <= quota, without moving the table.
+
+    ``quota``: a Column over ``_n_stratum``, or a frame (strata, ``_quota``).
+    Bucket counts alone decide every bucket but the one the quota falls into;
+    only that bucket's rows (one in 16^digits) are ranked by a window. The
+    offset table is broadcast after its size is checked, so the wide rows
+    pass a filter and a projection, not a shuffle."""
+    strata = [strata] if isinstance(strata, str) else list(strata)
+    d = _hash_buckets(df, key, seed, digits)
+    off = _bucket_offsets(d, strata)
+    off = join_null_safe(off, quota, strata, "left") if isinstance(quota, DataFrame) else off.withColumn("_quota", quota)
+    need = F.col("_quota") - F.col("_hoff")
+    off = cut_lineage(off.select(*strata, "_hb", F.when(need >= F.col("_hn"), 1).when(need <= 0, 0).otherwise(2).alias("_state"),
+                                 need.alias("_need")))
+    hint = F.broadcast if off.count() <= BROADCAST_ROWS else (lambda x: x)
+    j = join_null_safe(d, hint(off), [*strata, "_hb"])
+    inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
+    sure = j.where(F.col("_state") < 2).withColumn(out, F.col("_state") == 1)
+    torn = j.where(F.col("_state") == 2).withColumn(out, F.row_number().over(inner) <= F.col("_need"))
+    return sure.unionByName(torn).drop("_h1", "_h2", "_hb", "_state", "_need")
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (group keys may be
     NULL); the right side's key columns are dropped."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .order import hash_hex, hash_rank, join_null_safe
+from .order import hash_head, hash_hex, hash_rank
 
 
 def _as_list(x):
@@ -56,8 +56,7 @@ def align(df: DataFrame, sampled_keys: DataFrame, key: str) -> DataFrame:
 def sample_n(df: DataFrame, n: int, seed, key: str) -> DataFrame:
     """M1: exactly ``min(n, rows)`` rows without replacement; the first ``n``
     in md5 order."""
-    r = hash_rank(df, key, seed, out="_r")
-    return r.where(F.col("_r") <= n).drop("_r", "_n_stratum")
+    return hash_head(df, key, seed, F.lit(int(n)), out="_r").where("_r").drop("_r")
 
 
 def bootstrap_n(df: DataFrame, n: int, seed, key: str, out: str = "draw") -> DataFrame:
@@ -93,15 +92,10 @@ def train_test_split(df: DataFrame, test_size, seed, key: str, stratify: str | N
     largest remainders (ties: class order) -- shares kept exactly like a
     stratified splitter, positions repeatable."""
     if stratify is None:
-        r = hash_rank(df, key, seed, out="_r")
-        n_test = _quota_size(F.col("_n_stratum"), test_size)
-        return r.withColumn(tag, F.when(F.col("_r") <= n_test, "test").otherwise("train")) \
-            .drop("_r", "_n_stratum")
-    quotas = class_quotas(df, stratify, test_size)
-    r = hash_rank(df, key, seed, strata=[stratify], out="_r")
-    r = join_null_safe(r, quotas, [stratify], how="left")  # one row per class; AQE broadcasts it
-    return r.withColumn(tag, F.when(F.col("_r") <= F.col("_quota"), "test").otherwise("train")) \
-        .drop("_r", "_n_stratum", "_quota")
+        r = hash_head(df, key, seed, _quota_size(F.col("_n_stratum"), test_size), out="_r")
+    else:
+        r = hash_head(df, key, seed, class_quotas(df, stratify, test_size), strata=[stratify], out="_r")
+    return r.withColumn(tag, F.when(F.col("_r"), "test").otherwise("train")).drop("_r")
 
 
 def class_quotas(df: DataFrame, label: str, size) -> DataFrame:

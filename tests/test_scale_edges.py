@@ -121,3 +121,17 @@ def test_missing_library_is_an_error_row(spark):
     df = encode.assemble(_rows(spark), ["a", "b"])
     r = {x.model: x for x in search.evaluate_models({"nb": lambda d: bayes.fit_gaussian_nb(d, ["a", "b"]), "gone": missing}, df, df).collect()}
     assert r["nb"].status == "ok" and r["gone"].status == "error" and r["gone"].error.endswith("x" * 300)
+
+
+def test_split_does_not_move_the_table(spark):
+    wide = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"), F.sha2(F.col("id").cast("string"), 256).alias("pay"))
+    for split in (sampling.train_test_split(wide, 0.2, 1, "k", stratify="y"), sampling.train_test_split(wide, 0.2, 1, "k")):
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        # the only exchange that carries the payload is behind the filter on the torn bucket's state
+        assert plan.count("Exchange hashpartitioning") == 1
+        got = {r.split: r["count"] for r in split.groupBy("split").count().collect()}
+        assert got == {"test": 4000, "train": 16000}
+    want = order.hash_rank(wide, "k", 1, strata=["y"], out="r").where("r <= 70").select("k")
+    got = order.hash_head(wide, "k", 1, F.lit(70), strata=["y"]).where("_head").select("k")
+    assert got.exceptAll(want).count() == 0 and got.count() == 210
