@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from .base import FitEstimator, StateModel
 from .linear import balanced_weights
 
@@ -51,7 +51,7 @@ def fit_forest(df: DataFrame, features="features", label="label", n_estimators=1
     est = cls(featuresCol=features, labelCol=label, numTrees=int(n_estimators),
               featureSubsetStrategy=str(max_features),
               **_tree_params(max_depth, min_samples_leaf, seed), **({"weightCol": weight} if weight else {}))
-    return est.fit(df)
+    return est.fit(spread(df.select(features, label, *([weight] if weight else []))))
 
 
 def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100, learning_rate=0.1, max_depth=3,
@@ -69,7 +69,7 @@ def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100,
         params["lossType"] = loss
     est = cls(featuresCol=features, labelCol=label, maxIter=int(n_estimators), stepSize=float(learning_rate),
               subsamplingRate=float(subsample), **params)
-    return est.fit(df)
+    return est.fit(spread(df.select(features, label)))
 
 
 class AdaBoostModel(StateModel):

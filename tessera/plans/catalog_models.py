@@ -12,7 +12,7 @@ from ..models import bayes, knn, linear, search, trees
 from ..models.score import feature_importance, predict_values, score
 from ..operators import encode, ensemble, evaluate, sampling
 from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, round_doubles, table
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 from .registry import query
 
 SEED = 42
@@ -77,7 +77,7 @@ def _prepared(spark, d, folds=5):
         train = cut_lineage(sampling.assign_folds(train, folds, "rid", "stratified", SEED, label="label"))
     stats = encode.fit_standard(train, MODEL_FEATURES).first().asDict()  # one row
     prep = encode.ScaledModel(None, stats, MODEL_FEATURES)
-    return cut_lineage(prep.prepare(train)), prep.prepare(test)
+    return cut_lineage(spread(prep.prepare(train))), prep.prepare(test)
 
 
 def _result_view(res):

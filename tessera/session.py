@@ -76,6 +76,14 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def spread(df):
+    """At least one partition per core: iterative fits run every job over all
+    partitions, so idle cores would cost each round. A frame that already has
+    as many (any table of cluster size) is returned as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict:
     names = names or ["region", "nation", "customer", "supplier", "part", "orders",
                       "lineitem", "events", "documents", "embeddings", "pages",
