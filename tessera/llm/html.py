@@ -27,6 +27,9 @@ rows give a row each; a null or odd url is a host of its own. Nothing is cut:
 whole pages of any length are read. Elements inside a removed one are removed,
 also when their own end tag is missing; a removed or article element that is
 never closed reaches to the end of its parent's or its own next closing tag.
+A class or id word removes an element only as a whole token, alone or with
+words of place ("sidebar-left", not "has-sidebar"), and never an article or
+what holds one; only lists of reader comments go with the articles in them.
 """
 
 from __future__ import annotations
@@ -56,45 +59,83 @@ _DROP_WORD = frozenset(
     "breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets cookie cookies consent notice notices "
     "popup modal overlay newsletter subscribe subscription signup login comment comments respond disqus reply replies "
     "share sharing social related recommended pagination pager toolbar copyright skip hidden".split())
-_ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
-ARTICLE, OPEN = 1, 0
+#: words that only place or hold what a listed word names: "sidebar-left", "ad-slot", "cookie-banner-inner"
+_PLACE_WORD = frozenset(
+    "left right top bottom upper lower primary secondary tertiary site global page main box wrap wrapper container outer inner "
+    "area list item items link links block bar slot unit zone section panel form button buttons icons posts articles text "
+    "title heading row column col group body".split())
+#: words of reader comments, whose elements may hold an ``<article>`` per comment
+_COMMENT_WORD = frozenset("comment comments respond disqus reply replies".split())
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NAMED = re.compile(r"class|id|role|hidden", re.I)
+_SPLIT = re.compile(r"[^a-z0-9]+")
+ARTICLE, OPEN, REMOVED = 1, 0, 2
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    """Names and values of a start tag; of a repeated name the first counts."""
+    out: dict[str, str] = {}
+    if _NAMED.search(attrs):
+        for m in _ATTR.finditer(attrs):
+            out.setdefault(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "")
+    return out
+
+
+def _names(token: str) -> set[str]:
+    """Listed words a whole class or id token consists of, besides words of place; none if it has any other part."""
+    parts = set(_SPLIT.split(token)) - {""}
+    named = parts & _DROP_WORD
+    if not parts <= _DROP_WORD | _PLACE_WORD or (named == {"hidden"} and parts != named):
+        return set()
+    # the header of a page, section or item, or a header's title, is content, unlike the site's
+    if named == {"header"} and parts & {"page", "section", "title", "heading", "text", "item", "body", "block"}:
+        return set()
+    return named
+
+
+def _words(attrs: dict[str, str]) -> set[str]:
+    return {w for t in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split() for w in _names(t)}
 
 
-def _dropped(name: str, attrs: str) -> bool:
+def _dropped(name: str, attrs: dict[str, str]) -> bool:
+    """Whether the element, its role or the hidden attribute removes it, whatever it holds."""
     if name in _DROP:
         return True
     if not attrs or name in ("body", "html"):
         return False
-    for m in _ATTR.finditer(attrs):
-        key, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
-        if key == "role":
-            if value.strip().lower() in _DROP_ROLE:
-                return True
-        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        elif key in ("class", "id") and not _DROP_WORD.isdisjoint(_SPLIT.split(value.lower())):
-            return True
-    return False
+    return (attrs.get("role", "").strip().lower() in _DROP_ROLE or "hidden" in attrs
+            or attrs.get("aria-hidden", "").strip().lower() == "true")
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
     """Text blocks of a page outside removed elements, in order, each ARTICLE or OPEN."""
-    out: list[tuple[str, int]] = []
+    return [b for b in all_blocks(page) if b[1] != REMOVED]
+
+
+def all_blocks(page: str) -> list[tuple[str, int]]:
+    """Text blocks of a page in order, each ARTICLE, OPEN or REMOVED.
+
+    An element that only a class or id word names is judged at the end of the
+    page: it stays if it holds an article.
+    """
+    out: list[tuple[str, int, tuple]] = []
     part: list[str] = []
-    stack: list[tuple[str, int]] = []           # (element, 0 plain | 1 article | 2 removed)
+    stack: list[tuple[str, int, int]] = []      # (element, 0 plain | 1 article | 2 removed | 3 named, serial of a named one)
     removed = article = 0
+    named: list[tuple[int, bool]] = []          # (serial, named by comment words only) of the open named elements
+    holds: set[int] = set()                     # named elements that hold an article
+    serial = 0
 
     def flush():
         if part:
             text = " ".join(htmllib.unescape("".join(part)).split())
             if text:
-                out.append((text, ARTICLE if article else OPEN))
+                out.append((text, REMOVED if removed else ARTICLE if article else OPEN, tuple(n for n, _ in named)))
             part.clear()
 
     at = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not removed:
+        if m.start() > at:
             part.append(page[at:m.start()])
         at = m.end()
         name = m.group("name")
@@ -108,11 +149,13 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if m.group("end"):
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    if block:
+                    if block or any(kind for _, kind, _ in stack[i:]):
                         flush()
-                    for _, kind in stack[i:]:
+                    for _, kind, _ in stack[i:]:
                         removed -= kind == 2
                         article -= kind == 1
+                        if kind == 3:
+                            named.pop()
                     del stack[i:]
                     break
                 if stack[i][0] in ("article", "main", "body", "table") and name not in ("body", "html", "article", "main"):
@@ -129,22 +172,34 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 k = len(stack)
                 while k and (stack[k - 1][0] in like or stack[k - 1][0] not in _BLOCK) and stack[k - 1][1] == 0:
                     k -= 1
-                if any(n in like for n, _ in stack[k:]):
+                if any(n in like for n, _, _ in stack[k:]):
                     del stack[k:]
         if name in _VOID or m.group("attrs").endswith("/"):
             continue
-        kind = 2 if _dropped(name, m.group("attrs")) else 0
-        if not kind and (name in _ARTICLE or (block and re.search(r"""\brole\s*=\s*["']?(?:main|article)\b""", m.group("attrs"), re.I))):
+        attrs = _attributes(m.group("attrs"))
+        words = _words(attrs) if attrs and name not in ("body", "html") else set()
+        if _dropped(name, attrs):
+            kind = 2
+        elif name in _ARTICLE or (block and attrs.get("role", "").strip().lower() in ("main", "article")):
             kind = 1
+            if not removed:
+                # comments are often an <article> each: these do not keep the list that holds them
+                comment = name == "article" and words and words <= _COMMENT_WORD
+                holds.update(n for n, of_comments in named if not (of_comments and (comment or any(e[0] == "article" for e in stack))))
+        else:
+            kind = 3 if words else 0
         if kind:
             flush()
-        stack.append((name, kind))
+        serial += 1
+        if kind == 3:
+            named.append((serial, words <= _COMMENT_WORD))
+        stack.append((name, kind, serial))
         removed += kind == 2
         article += kind == 1
-    if at < len(page) and not removed:
+    if at < len(page):
         part.append(page[at:])
     flush()
-    return out
+    return [(t, kind if holds.issuperset(inside) else REMOVED) for t, kind, inside in out]
 
 
 def _runs(texts: list[str], min_words: int) -> list[dict]:

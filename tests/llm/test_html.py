@@ -73,3 +73,18 @@ def test_long_page_and_empty_table(spark):
     assert got[2].count("\n\n") == 19999 and got[1] == ("w " * 20).strip()
     assert html.extract(d.limit(0)).count() == 0
     assert [k for _, k in blocks("<p>x</p>")] == [OPEN]
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<div class="content" style="overflow:hidden"><p>x</div>', ["x"]), ("<p title='the hidden cost'>x", ["x"]),
+    ('<div data-hidden="false">x</div>', ["x"]), ("<div title=\"role='navigation'\">x</div>", ["x"]),
+    ("<article class='overflow-hidden'>x</article>", ["x"]), ("<main class='has-sidebar header-fixed'>x</main>", ["x"]),
+    ("<article class='post comments-open category-promo'><h2 id='related-work'>r</h2>x</article>", ["r", "x"]),
+    ("<article class='promo'>x</article>", ["x"]), ("<div class='sidebar'><main>x</main>y</div>", ["x", "y"]),
+    ("<div class='widget'><div class='ad'>no</div><article>x</article></div><div class='social-share'>s</div>", ["x"]),
+    ("<div class='cookie-banner'>c</div><div id='newsletter_signup'>n</div><p HIDDEN>h</p><p aria-hidden=true>h</p><p class='hidden'>h</p>y", ["y"]),
+    ("<main><article>x</article><div id='comments'><article class='comment'>me too</article></div></main>", ["x"]),
+    ("<article>x <span class='ad'>no</span> y</article>", ["x", "y"]), ("<div class='page-header'><h1>T</h1></div>x", ["T", "x"]),
+])
+def test_attributes_and_whole_class_tokens(page, want):
+    assert texts(page) == want
