@@ -292,11 +292,16 @@ def boilerplate(pages: DataFrame, min_words: int) -> DataFrame:
     """
     suffixes = host_runs(pages, min_words)
     many = suffixes.groupBy("_host", "id").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).where("lo != hi")
-    mine = host_runs(pages, min_words, unclear=True).join(many.select("_host", "id"), ["_host", "id"])
+    mine = page_runs(host_runs(pages, min_words, unclear=True).join(many.select("_host", "id"), ["_host", "id"]))
     gone = F.flatten(F.collect_list(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)))
     return mine.groupBy("_key", "_host").agg(F.array_distinct(gone).alias("gone"))
 
 
+def page_runs(runs: DataFrame) -> DataFrame:
+    """Each run of a page once: copies of a page emit the same runs, which must not gather in one task."""
+    return runs.select("_key", "_host", "pos", "len").distinct()
+
+
 def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html_col: str = "html",
             min_words: int = 8) -> DataFrame:
     """One row per page row: ``page_id``, ``url``, main ``text``, ``removed`` (open blocks judged boilerplate)."""

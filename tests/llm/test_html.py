@@ -88,3 +88,24 @@ def test_long_page_and_empty_table(spark):
 ])
 def test_attributes_and_whole_class_tokens(page, want):
     assert texts(page) == want
+
+
+def test_copies_of_a_page_gather_one_pages_runs(spark):
+    notice = "<p>this notice of eight words stands on every page</p>"
+    page = notice + "".join(f"<p>own block {i} of the page that has many copies</p>" for i in range(5))
+    rows = [(i, f"http://h.org/?q={i}", page if i < 300 else notice + f"<p>the other page {i}</p>") for i in range(302)]
+    src = html._keyed(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), "page_id", "url", "html")
+    seen = []
+    spans = html.page_runs
+
+    def record(runs):
+        seen.append(spans(runs))
+        return seen[-1]
+    html.page_runs = record
+    try:
+        gone = html.boilerplate(src, 8).collect()
+    finally:
+        html.page_runs = spans
+    assert len(gone) == 3 and all(r.gone == [0] for r in gone)
+    collected = seen[0].groupBy("_key").count().collect()
+    assert len(collected) == 3 and all(r["count"] == 1 for r in collected)
