@@ -8,12 +8,14 @@ A page becomes a stream of tokens, one per text block outside removed elements
   styles and reader comments (by element, role, or class / id word): removed;
 * any other block is *open*: pages need not mark their article.
 
-Open blocks of pages without an article are decided by the host's suffix
-array: the streams of all the host's pages are concatenated, and their suffixes
-put in order up to a depth of ``min_words`` words (deeper order cannot change
-whether a repeat of that length starts there). Equal neighbours of distinct
-pages are substrings repeated across pages; the blocks they cover are
-boilerplate, and the unique runs stay. Beside an article, open blocks go.
+The host's suffix array decides open blocks: the streams of all the host's
+pages are concatenated, and their suffixes put in order up to a depth of
+``min_words`` words (deeper order cannot change whether a repeat of that length
+starts there). Equal neighbours of distinct pages are substrings repeated
+across pages; the blocks they cover are boilerplate, and the unique runs stay:
+all of them on pages without an article, those of ``min_words`` words or more
+beside an article. Blocks inside articles stay, repeated or not: pages of one
+host may mirror an article, and its lines may also stand in removed elements.
 
 Only identifiers are shuffled, keyed by host *and* suffix, with partial
 aggregation (two page fingerprints per bucket), so a host with a third of all
@@ -40,6 +42,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import materialise
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<raw>script|style|noscript|template|textarea|select|iframe|svg|math|object|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -237,35 +241,61 @@ def _runs(texts: list[str], min_words: int) -> list[dict]:
     return out
 
 
-_RUN = "array<struct<pos:int,len:int,id:long>>"
+_RUN = "array<struct<pos:int,len:int,id:long,open:boolean>>"
 
 
-def _stream_batch(min_words: int, unclear: bool):
-    """Suffix runs of the pages' token streams; with ``unclear`` only of pages whose open blocks must be decided."""
+def _stream_batch(min_words: int):
+    """Suffix runs of the pages' token streams; ``open``: a run with an open block."""
     import pyarrow as pa
-    kind = pa.list_(pa.struct([("pos", pa.int32()), ("len", pa.int32()), ("id", pa.int64())]))
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("len", pa.int32()), ("id", pa.int64()), ("open", pa.bool_())]))
+
+    def of_page(page):
+        parsed = blocks(page)
+        return [{**r, "open": any(k == OPEN for _, k in parsed[r["pos"]:r["pos"] + r["len"]])} for r in _runs([t for t, _ in parsed], min_words)]
 
     def run(batches):
         for batch in batches:
-            pages = [blocks(p.as_py() or "") for p in batch.column("_html")]
-            runs = [[] if unclear and any(k == ARTICLE for _, k in b) else _runs([t for t, _ in b], min_words) for b in pages]
+            runs = [of_page(p.as_py() or "") for p in batch.column("_html")]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_host"), pa.array(runs, kind)],
                                              names=["_key", "_host", "runs"])
     return run
 
 
-def _text_batch(batches):
+def decide(parsed: list[tuple[str, int]], spans: list[dict], min_words: int) -> tuple[list[str], int]:
+    """Kept texts of a page's visible blocks, and the number of open blocks that the host's verdict removed.
+
+    ``spans`` are the page's runs that stand on several pages of the host.
+    """
+    repeated = {i for s in spans for i in range(s["pos"], s["pos"] + s["len"]) if parsed[i][1] == OPEN}
+    article = any(k == ARTICLE for _, k in parsed)
+    out, i = [], 0
+    while i < len(parsed):
+        if parsed[i][1] == ARTICLE:
+            out.append(parsed[i][0])
+            i += 1
+            continue
+        j = i
+        while j < len(parsed) and parsed[j][1] == OPEN and j not in repeated:
+            j += 1
+        unique = [t for t, _ in parsed[i:j]]
+        if not article or sum(t.count(" ") + 1 for t in unique) >= min_words:
+            out += unique
+        i = max(j, i + 1)
+    return out, len(repeated)
+
+
+def _text_batch(min_words: int):
     import pyarrow as pa
-    for batch in batches:
-        texts, open_ = [], []
-        for p in batch.column("_html"):
-            b = blocks(p.as_py() or "")
-            article = [t for t, k in b if k == ARTICLE]
-            texts.append(article or [t for t, _ in b])
-            open_.append(bool(b) and not article)
-        keep = ["_id", "_url", "_key", "_host"]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(texts, pa.list_(pa.string())), pa.array(open_)],
-                                         names=[*keep, "texts", "open"])
+    keep = ["_id", "_url"]
+
+    def run(batches):
+        for batch in batches:
+            got = [decide(blocks(p.as_py() or ""), s.as_py() or [], min_words)
+                   for p, s in zip(batch.column("_html"), batch.column("spans"))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keep] + [pa.array(["\n\n".join(t) for t, _ in got], pa.string()),
+                                                   pa.array([n for _, n in got], pa.int32())], names=[*keep, "text", "removed"])
+    return run
 
 
 def _keyed(pages: DataFrame, page_id: str, url: str, html_col: str) -> DataFrame:
@@ -276,25 +306,23 @@ def _keyed(pages: DataFrame, page_id: str, url: str, html_col: str) -> DataFrame
                         F.xxhash64(page, F.length(page)).alias("_key"), F.xxhash64(F.coalesce(host, F.lit(""))).alias("_host"))
 
 
-def host_runs(pages: DataFrame, min_words: int, unclear: bool = False) -> DataFrame:
-    """(page ``_key``, ``_host``, ``pos``, ``len``, ``id``): the host's suffixes, cut at ``min_words`` words."""
-    s = pages.select("_key", "_host", "_html").mapInArrow(
-        _stream_batch(min_words, unclear), f"_key long, _host long, runs {_RUN}")
-    return s.select("_key", "_host", F.explode("runs").alias("r")).select("_key", "_host", "r.pos", "r.len", "r.id")
+def host_runs(pages: DataFrame, min_words: int) -> DataFrame:
+    """(page ``_key``, ``_host``, ``pos``, ``len``, ``id``, ``open``): the host's suffixes, cut at ``min_words`` words."""
+    s = pages.select("_key", "_host", "_html").mapInArrow(_stream_batch(min_words), f"_key long, _host long, runs {_RUN}")
+    return s.select("_key", "_host", F.explode("runs").alias("r")).select("_key", "_host", "r.pos", "r.len", "r.id", "r.open")
 
 
 def boilerplate(pages: DataFrame, min_words: int) -> DataFrame:
-    """Per unclear page: tokens covered by a run that stands on several pages of the host.
+    """Per page with open blocks: ``spans``, its runs with such blocks that stand on several pages of the host.
 
     Equal truncated suffixes are neighbours in the host's suffix order; whether
     such a bucket spans distinct pages only needs its smallest and largest page
     key, aggregated partially.
     """
-    suffixes = host_runs(pages, min_words)
+    suffixes = materialise(host_runs(pages, min_words))
     many = suffixes.groupBy("_host", "id").agg(F.min("_key").alias("lo"), F.max("_key").alias("hi")).where("lo != hi")
-    mine = page_runs(host_runs(pages, min_words, unclear=True).join(many.select("_host", "id"), ["_host", "id"]))
-    gone = F.flatten(F.collect_list(F.sequence(F.col("pos"), F.col("pos") + F.col("len") - 1)))
-    return mine.groupBy("_key", "_host").agg(F.array_distinct(gone).alias("gone"))
+    mine = suffixes.where("open").join(many.select("_host", "id"), ["_host", "id"])
+    return page_runs(mine).groupBy("_key", "_host").agg(F.collect_list(F.struct("pos", "len")).alias("spans"))
 
 
 def page_runs(runs: DataFrame) -> DataFrame:
@@ -307,13 +335,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
     """One row per page row: ``page_id``, ``url``, main ``text``, ``removed`` (open blocks judged boilerplate)."""
     src = _keyed(pages, page_id, url, html_col)
     kind = dict(src.dtypes)["_id"]
-    parsed = src.mapInArrow(_text_batch, f"_id {kind}, _url string, _key long, _host long, texts array<string>, open boolean")
-    # pages with an article are done; only the others are shuffled, to meet their host's verdict
-    clear = parsed.where(~F.col("open")).select("_id", "_url", "texts", F.lit(0).alias("removed"))
-    gone = boilerplate(src, min_words)
-    rest = parsed.where("open").join(gone, ["_key", "_host"], "left")
-    keep = F.filter("texts", lambda t, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    rest = rest.select("_id", "_url", keep.alias("texts"), F.coalesce(F.size(F.col("gone")), F.lit(0)).alias("removed"))
-    out = clear.unionByName(rest)
-    return out.select(F.col("_id").alias(page_id), F.col("_url").alias(url),
-                      F.array_join("texts", "\n\n").alias("text"), "removed")
+    spans = materialise(boilerplate(src, min_words))
+    out = src.join(spans, ["_key", "_host"], "left").select("_id", "_url", "_html", "spans") \
+        .mapInArrow(_text_batch(min_words), f"_id {kind}, _url string, text string, removed int")
+    return out.select(F.col("_id").alias(page_id), F.col("_url").alias(url), "text", "removed")

@@ -106,6 +106,23 @@ def test_copies_of_a_page_gather_one_pages_runs(spark):
         gone = html.boilerplate(src, 8).collect()
     finally:
         html.page_runs = spans
-    assert len(gone) == 3 and all(r.gone == [0] for r in gone)
+    assert len(gone) == 3 and all([(x.pos, x.len) for x in r.spans] == [(0, 1)] for r in gone)
     collected = seen[0].groupBy("_key").count().collect()
     assert len(collected) == 3 and all(r["count"] == 1 for r in collected)
+
+
+def test_host_verdict_beside_articles(spark):
+    own = lambda i: f"the main text of page {i} stands in a plain element with number {i} here"
+    notice = "we value your privacy and set many small files on your device"
+    pages = {
+        1: f"<article>teaser</article><div>{own(1)}</div><div>{notice}</div><div>short</div>",
+        2: f"<article>teaser</article><div>{own(2)}</div><div>{notice}</div>",
+        3: f"<article><p>{own(3)}</p><p>{notice}</p></article>",
+        4: f"<article><p>{own(4)}</p><p>{notice}</p></article><div class='cookie-notice'>{notice}</div>",
+    }
+    rows = [(i, "http://h.org/%d" % i, p) for i, p in pages.items()] + [(8, "http://else.org/", pages[1].replace("1", "8"))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text, r.removed) for r in html.extract(d, min_words=8).collect()}
+    assert got[1] == (f"teaser\n\n{own(1)}", 1) and got[2] == (f"teaser\n\n{own(2)}", 1)
+    assert got[3] == (f"{own(3)}\n\n{notice}", 0) and got[4] == (f"{own(4)}\n\n{notice}", 0)     # lines of an article stay
+    assert got[8] == (f"teaser\n\n{own(8)}\n\n{notice}\n\nshort", 0)                              # another host
