@@ -171,10 +171,13 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_i
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text",
-                  width: int = 10, **names) -> DataFrame:
-    """One row per document row: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted), ``contaminated``."""
+                  width: int = 10, row: str | None = None, **names) -> DataFrame:
+    """One row per document row: ``n_words``, ``n_hit``, ``n_items``, ``items`` (sorted), ``contaminated``.
+
+    ``row`` names a column of unique longs, which is returned too; without it rows are numbered here.
+    """
     base = docs.select(F.col(f"`{doc_id}`").alias("_doc"), F.col(f"`{text_col}`").alias("_body"),
-                       F.monotonically_increasing_id().alias("_row"))
+                       (F.col(f"`{row}`") if row else F.monotonically_increasing_id()).alias("_row"))
     m = phrase_matches(base, items, text_col="_body", keys=["_row", "_doc"], width=width, **names)
     span = F.when(F.col("start").isNotNull(), F.struct("start", (F.col("start") + F.col("m")).alias("end")))
     g = m.groupBy("_row").agg(F.first("_doc").alias("_doc"), F.first("n").alias("n_words"),
@@ -185,7 +188,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
         lambda s, x: F.struct((s["hit"] + F.greatest(x["end"] - F.greatest(x["start"], s["end"]), F.lit(0))).alias("hit"),
                               F.greatest(s["end"], x["end"]).alias("end")))
     items_col = F.array_sort(F.array_distinct(F.flatten("lists")))
-    return g.select(F.col("_doc").alias(doc_id), F.col("n_words").cast("long").alias("n_words"),
+    return g.select(*([F.col("_row").alias(row)] if row else []), F.col("_doc").alias(doc_id), F.col("n_words").cast("long").alias("n_words"),
                     step["hit"].cast("long").alias("n_hit"), items_col.alias("items"),
                     F.size(items_col).cast("long").alias("n_items"),
                     (F.size("spans") > 0).alias("contaminated"))

@@ -7,6 +7,16 @@ from pyspark.sql import functions as F
 
 from . import decontam, mixing, pii, setsketch, toxicity as tox
 from .queries import PII_KEY
+from .store import materialise
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number ``_row``, fixed in a written table: stages decide by row, as ids may be null or shared."""
+    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    return rows.join(gone.select("_row"), "_row", "left_anti").drop("_row")
 
 
 def toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,18 +28,24 @@ def toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the smallest doc_id (5-word shingles, similarity 0.8 or more)."""
-    d = setsketch.near_duplicates(docs, k=5, num=80, den=100)
-    gone = d.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each group stays: the smallest doc_id (null ids last), of its rows the first (5-word shingles, similarity 0.8 or more).
+
+    Texts without words are in no group; all their rows stay.
+    """
+    rows = _numbered(docs)
+    d = setsketch.near_duplicates(rows, doc_id="_row", k=5, num=80, den=100).select("_row", "component_id")
+    d = materialise(d.join(rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("at")), "_row"))
+    first = d.groupBy("component_id").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = d.join(first, "component_id").where(F.col("_row") != F.col("first._row"))
+    return _without(rows, gone).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a 10-word window of a benchmark item (a whole item, if shorter) go."""
+    """Rows that hold a 10-word window of a benchmark item (a whole item, if shorter) go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    d = decontam.decontaminate(docs, items, width=10)
-    gone = d.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _numbered(docs)
+    d = decontam.decontaminate(rows, items, width=10, row="_row")
+    return _without(rows, d.where("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pseudonyms(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

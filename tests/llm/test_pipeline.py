@@ -67,3 +67,20 @@ def test_empty_documents(spark, folder):
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
     assert {m.__name__ for m in (decontam, pii, setsketch, stages, toxicity)}
+
+
+def test_rows_not_ids_are_removed(spark, tmp_path):
+    words = lambda tag, n=40: " ".join(f"{tag}{i}" for i in range(n))
+    item = words("item", 20)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, words("a")), (1, words("b") + " " + item), (None, words("c") + " " + item), (None, words("d"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.text) for r in stages.decontamination(spark, docs, str(tmp_path)).collect()}
+    assert got == {rows[0], rows[3]}
+    # 7 is a copy of 3 but also names another text; copies without an id, and repeated rows
+    rows = [(3, words("a")), (7, words("a")), (7, words("b")), (None, words("c")), (None, words("c")), (None, words("a")),
+            (9, words("d")), (9, words("d")), (5, words("e")), (None, words("e")), (None, ""), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.text) for r in stages.near_duplicates(spark, docs, str(tmp_path)).collect())
+    assert got == sorted((str(i), t) for i, t in [(3, words("a")), (7, words("b")), (None, words("c")), (9, words("d")), (5, words("e")),
+                                                  (None, ""), (None, "")])
