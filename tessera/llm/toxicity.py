@@ -3,9 +3,9 @@
 1. **Character language model.** Trigram counts over the bytes of all
    documents (59 classes: a-z, 32 classes of non-ASCII bytes, one for anything
    else), summed per task and then by Spark: at most 59**3 sums reach the driver.
-2. **Noisy channel.** Tokens that look disguised (digits or signs between
-   letters, a sign in front, a letter three times in a row, runs of single
-   letters) become character lattices: a sign may stand for a letter
+2. **Noisy channel.** Tokens that hold a sign of ``LEET`` anywhere or a doubled
+   letter, runs of single letters, and two or three neighbouring tokens of at
+   most three characters joined (pieces of a word) become character lattices: a sign may stand for a letter
    (leetspeak), be a separator that is dropped, or be itself; a repeated letter
    may be dropped. Viterbi finds the most probable plain text under the
    channel's costs and the language model. Decoding is linear in the token.
@@ -55,6 +55,11 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y"}
 #: signs that may stand for a first letter (others are punctuation there)
 _SIGN = np.isin(_b, [ord(c) for c in "0123456789@$"])
+#: the signs of one byte, and the bytes of the longer ones
+_ANY_SIGN = np.isin(_b, [ord(c) for c in LEET if ord(c) < 128])
+_LONG_SIGNS = [np.frombuffer(c.encode(), np.uint8) for c in LEET if ord(c) >= 128]
+#: tokens of so many characters at most may be pieces of a word, up to so many of them
+PIECE, PIECES = 3, 3
 #: log costs of the channel
 SUBSTITUTE, SEPARATE, LITERAL, REPEAT_LONG, REPEAT_TWO = -1.0, -1.0, -4.0, -0.3, -3.0
 
@@ -148,8 +153,11 @@ def decode(token: str, lm: np.ndarray) -> str:
     return " ".join(best[1].split())
 
 
-def disguised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte ranges of tokens (or runs of single letters) that may be disguised words, in order."""
+def disguised(data: np.ndarray, offs: np.ndarray, every: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of tokens (or runs of single letters) that may be disguised words, in order.
+
+    With ``every``, all tokens that hold a sign of ``LEET`` anywhere or a doubled letter; without it, likely ones.
+    """
     w = Words(data, offs, NONSPACE)
     if not len(w.starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -165,6 +173,13 @@ def disguised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(low) > 2:
         three = np.flatnonzero((low[:-2] == low[1:-1]) & (low[1:-1] == low[2:]) & letter[:-2] & (low[:-2] < 128))
         flag[np.searchsorted(w.starts, three, "right") - 1] = True
+    if every and len(low) > 1:
+        hits = [np.flatnonzero(_ANY_SIGN[low]), np.flatnonzero((low[:-1] == low[1:]) & letter[:-1] & (low[:-1] < 128))]
+        for sign in _LONG_SIGNS:
+            n = len(low) - len(sign) + 1
+            if n > 0:
+                hits.append(np.flatnonzero(np.logical_and.reduce([low[k:n + k] == x for k, x in enumerate(sign)])))
+        flag[np.searchsorted(w.starts, np.concatenate(hits), "right") - 1] = True
     # runs of three or more one-letter tokens (signs beside the letter do not matter)
     chars = np.concatenate(([0], np.cumsum(ALNUM[low] & ((low & 0xC0) != 0x80))))
     single = (chars[w.ends] - chars[w.starts] == 1)
@@ -184,24 +199,58 @@ def disguised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return s[order], e[order]
 
 
+def pieces(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of two to ``PIECES`` neighbouring short tokens of a document, which may be one word in pieces."""
+    w = Words(data, offs, NONSPACE)
+    if len(w.starts) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    short = chars[w.ends] - chars[w.starts] <= PIECE
+    doc = np.searchsorted(offs, w.starts, "right")
+    link = short[1:] & short[:-1] & (doc[1:] == doc[:-1])
+    s, e, run = [], [], link
+    for n in range(2, PIECES + 1):
+        at = np.flatnonzero(run)
+        s.append(w.starts[at])
+        e.append(w.ends[at + n - 1])
+        run = run[:-1] & link[n - 1:]
+    return np.concatenate(s), np.concatenate(e)
+
+
 class Restorer:
     """Decodes disguised tokens, each distinct one once per task (least recently used ones are forgotten)."""
 
     def __init__(self, lm: np.ndarray):
         self.get = functools.lru_cache(maxsize=100_000)(lambda t: decode(t, lm))
 
+    def join(self, raw: bytes) -> str:
+        """The word that pieces make."""
+        t = b"".join(raw.split()).decode("utf-8", "replace")
+        # without signs and doubled letters nothing is to be decoded
+        return t if t.isalpha() and all(a != b for a, b in zip(t, t[1:])) else self.get(t)
+
 
 def features(data: np.ndarray, offs: np.ndarray, restore: Restorer):
     """(feature, context, document, word) arrays of a chunk: words, their prefixes, and those of restored tokens."""
     low = lower(data)
-    s, e = disguised(low, offs)
+    s, e = disguised(low, offs, every=True)
+    alone = len(s)
+    ps, pe = pieces(low, offs)
+    s, e = np.concatenate((s, ps)), np.concatenate((e, pe))
     doc = np.searchsorted(offs, s, "right") - 1
     raw = low.tobytes()
     out = [_word_features(low, offs)]
     got, ends, owner, where = [], [], [], []
     size = 0
-    for a, b, d in zip(s.tolist(), e.tolist(), doc.tolist()):
-        text = restore.get(raw[a:b].decode("utf-8", "replace")).encode()
+    joined: dict = {}                                 # of the chunk
+    for i, (a, b, d) in enumerate(zip(s.tolist(), e.tolist(), doc.tolist())):
+        token = raw[a:b]
+        if i < alone:
+            text = restore.get(token.decode("utf-8", "replace")).encode()
+        else:
+            text = joined.get(token)
+            if text is None:
+                text = joined[token] = restore.join(token).encode()
         got.append(text)
         size += len(text)
         ends.append(size)

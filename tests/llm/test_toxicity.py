@@ -61,3 +61,18 @@ def test_language_model_counts_everything(spark, docs_of):
     n = {r.gram: r.n for r in tox.trigrams(d).collect()}
     code = lambda a, b, c: (a * tox.CLASSES + b) * tox.CLASSES + c
     assert n[code(0, 1, 2)] == 3 and n[code(1, 2, 0)] == 3
+
+
+def test_every_disguise_reaches_the_lattice(spark, docs_of, corpus):
+    t = "a$$ @$$ kil1 !diot (lown |ow +oad st€al stuupid plain"
+    data = np.frombuffer(t.encode(), np.uint8)
+    s, e = tox.disguised(data, np.array([0, len(data)]), every=True)
+    assert [data[a:b].tobytes().decode() for a, b in zip(s, e)] == t.split()[:-1]
+    data = np.frombuffer(b"an id iot longer is", np.uint8)
+    s, e = tox.pieces(data, np.array([0, len(data)]))
+    assert sorted(data[a:b].tobytes().decode() for a, b in zip(s, e)) == ["an id", "an id iot", "id iot"]
+    docs = docs_of([r[:2] for r in corpus])
+    model = tox.fit(docs, spark.createDataFrame([(i, 1, y) for i, _, y in corpus], "doc_id long, quality int, toxic int"))
+    new = ["no be ta stuupid lo mi", "ta ri no sc um lo mi be", "lo be moro|\\| ta cr€tin", "no be lo m0ronn", "ta crét!n lo", "tari nobe lo ta be ri"]
+    got = {r.doc_id: r.score for r in tox.score(docs_of(list(enumerate(new))), model, keep=["doc_id"]).collect()}
+    assert got[0] >= tox.THRESHOLD and got[1] >= tox.THRESHOLD and got[4] >= tox.THRESHOLD and got[5] < tox.THRESHOLD, got
