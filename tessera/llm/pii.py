@@ -17,7 +17,8 @@ The domains are the valid values of each format:
 * dates (y-m-d, y/m/d, d.m.y, m/d/y, or d/m/y where that is no date): the days
   of the 400-year calendar cycle, 146,097 = 189 x 773, so every pseudonym is a
   date of the same 400 years;
-* IBANs: the account part per character class, check digits set anew;
+* IBANs, also in groups of four: the account part per character class, check
+  digits set anew, spaces and dashes stay;
 * e-mail names, access keys and long hexadecimal secrets: both halves of the
   characters, each shifted within its alphabet by a keyed hash of the other half.
 
@@ -40,20 +41,34 @@ ROUNDS = 10
 EPOCH = "1800-01-01"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+#: characters of an IBAN by country: groups of four are told from the words behind them by their number
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN_GROUPS = "|".join(
+    f"(?:{'|'.join(names.split())})[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"[ -][A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, names in IBAN_LENGTHS.items())
+#: country codes of two digits (+1 and +7 have one, all others three)
+_TWO = "2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+
 # formats, tried in this order at each place
 KINDS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+",
     "access_key": r"A[KS]IA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![0-9A-Za-z])",
-    "secret": r"(?:(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,128}|(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{16,128})(?![0-9A-Za-z])",
+    "iban": rf"(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_IBAN_GROUPS})(?![0-9A-Za-z])",
+    "secret": r"(?:(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,}+|(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{16,}+)(?![0-9A-Za-z])",
     "phone": r"(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-             r"|\+[2-9][0-9][ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{1,4}(?:[ -]?[0-9]{2,4}){1,3}"
-             r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9])",
+             r"|\+33[ .-]?[1-9](?:[ .-]?[0-9]{2}){4}"
+             rf"|\+(?:7|{_TWO}|[2-9][0-9]{{2}})" r"[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{1,4}(?:[ -]?[0-9]{2,4}){1,3}"
+             r"|\([0-9]{3}\) ?[0-9]{3}[ -][0-9]{4}|[0-9]{3} [0-9]{3} [0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})(?![0-9])",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
             r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])",
-    "card": r"(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4})(?![0-9A-Za-z])",
+    "card": r"(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"
+            r"|[0-9]{4} [0-9]{6} [0-9]{5}|[0-9]{4}-[0-9]{6}-[0-9]{5})(?![0-9A-Za-z])",
 }
 PATTERN = r"(?<![0-9A-Za-z])(?:" + "|".join(KINDS.values()) + ")"
 
@@ -165,7 +180,7 @@ def _card(m: Column, key: str) -> Column:
 
 def _phone(m: Column, key: str) -> Column:
     d = digits_of(m)
-    country = F.when(m.startswith("+1"), 1).when(m.startswith("+"), 2).otherwise(0)
+    country = F.when(m.rlike(r"^\+[17]"), 1).when(m.rlike(rf"^\+(?:{_TWO})"), 2).when(m.startswith("+"), 3).otherwise(0)
     rest = permute_digits(d.substr(country + 1, F.length(d) - country), key, "phone")
     return _let(F.concat(d.substr(F.lit(1), country), rest), lambda x: refill(m, x))
 
@@ -225,13 +240,30 @@ def _mod97(s: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
+    """Spaces and dashes stay in place; the rest is changed as in the unspaced form."""
+    def fill(new):
+        return F.aggregate(F.split(m, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("k")), lambda acc, c: F.struct(
+            F.concat(acc["out"], F.when(c.rlike("[ -]"), c).otherwise(new.substr(acc["k"], F.lit(1)))).alias("out"),
+            F.when(c.rlike("[ -]") | (c == ""), acc["k"]).otherwise(acc["k"] + 1).alias("k")))["out"]
+    grouped = m.rlike("[ -]")
+    # four groups of digits behind what is no IBAN may be a card
+    card = F.concat(m.substr(F.lit(1), F.lit(5)), _card(m.substr(F.lit(6), F.length(m)), key))
+    plain = _let(F.regexp_replace(m, "[ -]", ""), lambda s: _iban_plain(s, F.when(grouped, s).otherwise(_hex(s, key)), key))
+    return F.when(~grouped, plain).otherwise(_let(plain, lambda new: F.when(new != F.regexp_replace(m, "[ -]", ""), fill(new))
+        .when(m.rlike(r"^.{4}[ -][0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}$"), card).otherwise(m)))
+
+
+def _hex(m: Column, key: str) -> Column:
+    """A hexadecimal secret can have the shape of an IBAN."""
+    return F.when(m.rlike("^[0-9A-F]{16,}$"), _secret(m, key)).otherwise(m)
+
+
+def _iban_plain(m: Column, other: Column, key: str) -> Column:
     country, check, account = (m.substr(F.lit(a), F.lit(n)) for a, n in ((1, 2), (3, 2), (5, 40)))
     def show(new):
         digits = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(country, digits, new)
     ok = _mod97(F.concat(account, country, check)) == 1
-    # a hexadecimal secret can have the shape of an IBAN
-    other = F.when(m.rlike("^[0-9A-F]{16,}$"), _secret(m, key)).otherwise(m)
     return F.when(ok, _let(shift_text(account, [DIGITS, UPPER], key, "iban"), show)).otherwise(other)
 
 

@@ -97,3 +97,25 @@ def test_plan_is_native_and_has_no_shuffle(spark):
     d = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = pii.pseudonymise(d, KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_written_forms(spark):
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    rows = [plain, spaced, spaced.replace(" ", "-") + ".", "ES91 2100 0418 4502 0005 1332 USD 12", "3782 822463 10005 3782-822463-10005 378282246310005",
+            "+7 912 345 67 89 +79123456789", "555 123 4567 (555) 123 4567 555-123-4567", "+351 912 345 678", "+33 1 23 45 67 89",
+            "0a" * 150 + " x", "AT12 4111 1111 1111 1111", "DE88 3704 0044 0532 0130 00"]
+    got = {i: t for i, (t, _) in texts(spark, rows).items()}
+    assert got[0] != plain and got[1].replace(" ", "") == got[0] == got[2].rstrip(".").replace("-", "") and got[1][4::5] == " " * 5
+    assert got[3].endswith(" USD 12") and got[3][:24] != rows[3][:24]
+    iban = got[3][:-7].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    a, b = got[4][:17], got[4][18:35]
+    assert a != rows[4][:17] and re.sub(r"\D", "", a) == re.sub(r"\D", "", b) == got[4][36:] and luhn(a) == 0
+    a, b = got[5].rsplit(" ", 1)
+    assert a.startswith("+7 ") and a.replace(" ", "") == b != "+79123456789"
+    a, b, c = re.findall(r"\(?\d{3}\)?[ -]\d{3}[ -]\d{4}", got[6])
+    assert len({re.sub(r"\D", "", x) for x in (a, b, c)}) == 1 and a != "555 123 4567"
+    assert got[7].startswith("+351 ") and got[7] != rows[7] and got[8].startswith("+33 ") and got[8][-2:] + got[8][4] != "891"
+    assert got[9] != rows[9] and re.fullmatch("[0-9a-f]{300} x", got[9])
+    assert got[10].startswith("AT12 ") and got[10] != rows[10] and luhn(got[10][5:]) == luhn("4111111111111111")
+    assert got[11] == rows[11]
