@@ -129,3 +129,35 @@ def op1_feistel_pseudonyms(spark, sf_dir):
     from .pii import pseudonymise
     d = pseudonymise(_t(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
     return d.select("doc_id", "text", "n_values")
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Lloyd's rounds as a chain of common table expressions, one row per (vector or centroid, dimension)."""
+    kept = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+x AS MATERIALIZED (SELECT r, unnest(range({dims})) AS j, unnest(v) AS x FROM kept),
+c0 AS MATERIALIZED (SELECT c, unnest(range({dims})) AS j, unnest(v) AS x FROM (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c, v FROM kept) WHERE c < {k})"""
+    for i in range(rounds + 1):
+        kept += f""",
+a{i} AS MATERIALIZED (SELECT r, c, d FROM (SELECT x.r, c{i}.c, sum((x.x - c{i}.x) * (x.x - c{i}.x)) AS d
+  FROM x JOIN c{i} ON x.j = c{i}.j GROUP BY x.r, c{i}.c) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+        if i < rounds:
+            kept += f""",
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, c{i}.j, coalesce(n.x, c{i}.x) AS x FROM c{i} LEFT JOIN (
+  SELECT a{i}.c, x.j, CAST(floor(sum(x.x) / count(*)) AS BIGINT) AS x FROM a{i} JOIN x ON x.r = a{i}.r GROUP BY a{i}.c, x.j) n
+  ON n.c = c{i}.c AND n.j = c{i}.j)"""
+    a, c = f"a{rounds}", f"c{rounds}"
+    return kept + f"""
+SELECT kept.vec_id, CAST({a}.c AS INTEGER) AS cluster, CAST({a}.d AS BIGINT) AS distance,
+       CAST(sum({a}.d) OVER (PARTITION BY {a}.c) AS BIGINT) AS cluster_inertia, CAST(sum({a}.d) OVER () AS BIGINT) AS inertia,
+       s.h AS centroid_sha256
+FROM {a} JOIN kept ON kept.r = {a}.r
+JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS h FROM {c} GROUP BY c) s ON s.c = {a}.c"""
+
+
+@query("op13_centroid_clustering", _clusters_sql())
+def op13_centroid_clustering(spark, sf_dir):
+    from .centroids import cluster
+    return cluster(_t(spark, sf_dir, "embeddings"), k=8, rounds=10, seed=3)
