@@ -161,3 +161,40 @@ JOIN (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS h FROM
 def op13_centroid_clustering(spark, sf_dir):
     from .centroids import cluster
     return cluster(_t(spark, sf_dir, "embeddings"), k=8, rounds=10, seed=3)
+
+
+def _crc_sql(s: str) -> str:
+    """CRC-32 of a string's bytes: a fold over them with the byte table, built here from the polynomial."""
+    table = []
+    for i in range(256):
+        for _ in range(8):
+            i = i >> 1 ^ (0xEDB88320 if i & 1 else 0)
+        table.append(str(i))
+    ones = "4294967295::BIGINT"
+    return (f"xor(list_reduce(list_prepend({ones}, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode({s})), '..')]), "
+            f"lambda a, x: xor(([{', '.join(table)}]::BIGINT[])[(xor(a, x) & 255) + 1], a >> 8)), {ones})")
+
+
+@query("op12_importance_resampling", f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT row_number() OVER () AS r, {_WORDS} AS w FROM benchmark),
+df AS MATERIALIZED (SELECT r, array_to_string(w[i + 1:i + k], ' ') AS f FROM (
+  SELECT r, w, k, unnest(range(greatest(len(w) - k + 1, 0))) AS i FROM d CROSS JOIN (VALUES (1), (2), (3)) ks(k))),
+bf AS MATERIALIZED (SELECT array_to_string(w[i + 1:i + k], ' ') AS f FROM (
+  SELECT w, k, unnest(range(greatest(len(w) - k + 1, 0))) AS i FROM b CROSS JOIN (VALUES (1), (2), (3)) ks(k))),
+c AS MATERIALIZED (SELECT f, {_crc_sql('f')} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN c USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN c USING (f) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE
+        / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000)::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM df JOIN c USING (f) JOIN g USING (bucket) GROUP BY r),
+sc AS (SELECT d.r, doc_id, len(d.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN w ON w.r = d.r),
+rk AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n FROM sc WHERE n_words >= 20)
+SELECT sc.doc_id, CAST(sc.n_features AS BIGINT) AS n_features, sc.weight, sc.score, CASE WHEN rank <= 5 * n // 100 THEN rank END AS rank
+FROM sc LEFT JOIN rk ON rk.r = sc.r""")
+def op12_importance_resampling(spark, sf_dir):
+    from .resampling import resample
+    d = resample(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"), seed=42, share=(5, 100), min_words=20)
+    return d.select("doc_id", "n_features", "weight", "score", "rank")
