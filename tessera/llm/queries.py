@@ -198,3 +198,9 @@ def op12_importance_resampling(spark, sf_dir):
     from .resampling import resample
     d = resample(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"), seed=42, share=(5, 100), min_words=20)
     return d.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op11_perplexity_rules")
+def op11_perplexity_rules(spark, sf_dir):
+    from .perplexity import judge
+    return judge(_t(spark, sf_dir, "documents"))
