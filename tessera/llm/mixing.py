@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialise
+from .store import materialise, numbered, small, tidy
 
 WEIGHTS = (3.0, 1.0, 2.0)
 #: rows of a group that one call rounds
@@ -176,7 +176,8 @@ def copies(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", s
 def mix(docs: DataFrame, copy_col: str = "copy", **options) -> DataFrame:
     """The documents as often as the mix takes them, with all their columns; ``copy_col`` counts from 1."""
     names = docs.columns
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))     # numbered once, for both uses
-    n = copies(rows, row="_row", **options).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    out = rows.join(n, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    rows = numbered(docs)
+    n = materialise(copies(rows, row="_row", **options).where("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies")))
+    tidy(docs.sparkSession)
+    out = rows.join(small(n), "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     return out.select(*[F.col(f"`{c}`") for c in names], F.col("_copy").alias(copy_col))

@@ -34,6 +34,7 @@ never cross texts; other columns are not touched.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .store import materialise
+from .store import free, materialise, tidy
 from .text import _TABLE, U, buffers, mix, powers
 
 Q = 128
@@ -216,37 +217,47 @@ def _twice(rows: DataFrame, keys: list[str], mark: str) -> DataFrame:
 
 
 def repeated_windows(packed: DataFrame, width: int) -> DataFrame:
-    """(row, lo, hi): window starts lo..hi all repeat somewhere else. ``packed``: see ``pack``."""
-    rows = packed.select("row", "blob").mapInArrow(
-        _anchor_batch(width), "row long, a int, lo int, hi int, h long, hull long")
+    """(row, lo, hi): window starts lo..hi all repeat somewhere else. ``packed``: see ``pack``.
+
+    A table is deleted once the tables made from it are written.
+    """
+    rows = materialise(packed.select("row", "blob").mapInArrow(
+        _anchor_batch(width), "row long, a int, lo int, hi int, h long, hull long"))
     b = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("hull").alias("h0"), F.max("hull").alias("h1")).where("c > 1")
     # written first: both sides of the join are then plain exchanges, whose hot buckets Spark can split
     b = materialise(b.select("h", (F.col("h0") == F.col("h1")).alias("same")))
     live = materialise(rows.join(b, "h"))
-    whole = live.where("same").select("row", "lo", "hi")
+    free(rows, b)
+    whole = [materialise(live.where("same").select("row", "lo", "hi"))]
     # buckets of several refined identifiers: one member stands for each identifier
     mixed = live.where("not same")
     me = F.struct("row", "a")
     c = materialise(mixed.groupBy("h", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep")))
     mixed = materialise(mixed.join(c, ["h", "hull"]).select("row", "a", "lo", "hi", "h", (F.col("c") > 1).alias("twice"),
                                                             (me == F.col("rep")).alias("rep")))
-    whole = whole.union(mixed.where("twice").select("row", "lo", "hi"))
-    blocks = _wanted(mixed.where("rep")).join(packed.select("row", "blob"), "row").mapInArrow(
-        _block_batch(width, STEP), "row long, lo int, hi int, a int, h long, j int, hull long, core long")
-    blocks = materialise(blocks)
+    free(live, c)
+    whole.append(materialise(mixed.where("twice").select("row", "lo", "hi")))
+    blocks = materialise(_wanted(mixed.where("rep")).join(packed.select("row", "blob"), "row").mapInArrow(
+        _block_batch(width, STEP), "row long, lo int, hi int, a int, h long, j int, hull long, core long"))
+    free(mixed)
     # a block whose core stands nowhere else holds no repeat; its blocks' hulls then need no count
-    open_ = _twice(blocks, ["h", "j", "core"], "maybe").where("maybe")
+    open_ = materialise(_twice(blocks, ["h", "j", "core"], "maybe").where("maybe"))
+    free(blocks)
     c = materialise(open_.groupBy("h", "j", "hull").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("rep")))
-    open_ = materialise(open_.join(c, ["h", "j", "hull"]).select(
+    known = materialise(open_.join(c, ["h", "j", "hull"]).select(
         "row", "lo", "hi", "a", "h", "j", "core", (F.col("c") > 1).alias("twice"), (me == F.col("rep")).alias("rep")))
-    whole = whole.union(open_.where("twice").select("row", "lo", "hi"))
+    free(open_, c)
+    whole.append(materialise(known.where("twice").select("row", "lo", "hi")))
     # windows one by one: of blocks still open, and of one block of each refined bucket beside them
-    left = open_.where("not twice").select("h", "j", "core").distinct()
-    last = open_.where("rep").join(left, ["h", "j", "core"], "left_semi")
-    wins = _wanted(last).join(packed.select("row", "blob"), "row").mapInArrow(
-        _window_batch(width), "row long, lo int, x int, h long, hull long")
+    left = known.where("not twice").select("h", "j", "core").distinct()
+    last = known.where("rep").join(left, ["h", "j", "core"], "left_semi")
+    wins = materialise(_wanted(last).join(packed.select("row", "blob"), "row").mapInArrow(
+        _window_batch(width), "row long, lo int, x int, h long, hull long"))
+    free(known)
     again = _twice(wins, ["h", "x", "hull"], "again").where("again")
-    return whole.union(again.select("row", "lo", F.col("lo").alias("hi")))
+    whole.append(materialise(again.select("row", "lo", F.col("lo").alias("hi"))))
+    free(wins)
+    return functools.reduce(DataFrame.union, whole)
 
 
 def pack(docs: DataFrame, doc_id: str, text_col: str) -> DataFrame:
@@ -263,7 +274,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "
     if width < 2 * Q:
         raise ValueError(f"width must be at least {2 * Q} bytes")
     packed = pack(docs, doc_id, text_col)
-    spans = repeated_windows(packed, width).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = materialise(repeated_windows(packed, width).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    tidy(docs.sparkSession)
     out = packed.join(spans, "row", "left").select("_id", "blob", "spans").mapInArrow(
         _cover_batch(width), "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, "
                              "starts array<long>, ends array<long>")

@@ -7,16 +7,14 @@ from pyspark.sql import functions as F
 
 from . import decontam, mixing, pii, setsketch, toxicity as tox
 from .queries import PII_KEY
-from .store import materialise
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number ``_row``, fixed in a written table: stages decide by row, as ids may be null or shared."""
-    return materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+from .store import materialise, numbered, small, tidy
 
 
 def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    return rows.join(gone.select("_row"), "_row", "left_anti").drop("_row")
+    """The rows whose number is not in ``gone``. Stages decide by row, as ids may be null or shared."""
+    gone = materialise(gone.select("_row"))
+    tidy(rows.sparkSession)                                      # what the decision shuffled is spent
+    return rows.join(small(gone), "_row", "left_anti").drop("_row")
 
 
 def toxicity(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +30,7 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts without words are in no group; all their rows stay.
     """
-    rows = _numbered(docs)
+    rows = numbered(docs)
     d = setsketch.near_duplicates(rows, doc_id="_row", k=5, num=80, den=100).select("_row", "component_id")
     d = materialise(d.join(rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("at")), "_row"))
     first = d.groupBy("component_id").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -43,7 +41,7 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold a 10-word window of a benchmark item (a whole item, if shorter) go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = _numbered(docs)
+    rows = numbered(docs)
     d = decontam.decontaminate(rows, items, width=10, row="_row")
     return _without(rows, d.where("contaminated")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
