@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.store import materialise
+from tessera.llm.store import free, materialise
 from tessera.llm import stages
 
 STAGES = [
@@ -28,7 +28,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; between stages the rows go through a written table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialise(docs)
+            free(before)
     return docs
