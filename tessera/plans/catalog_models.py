@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import minmax_score
-from ..models import bayes, knn, linear, search, trees
+from ..models import bayes, boosting, knn, linear, newton, search, trees
 from ..models.score import feature_importance, predict_values, score
 from ..operators import encode, ensemble, evaluate, sampling
 from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, round_doubles, table
@@ -65,11 +65,12 @@ def gaussian_nb_scores(spark, d):
 
 
 # ------------------------------------------------------------------ shared prep
-def _prepared(spark, d, folds=5):
+def _prepared(spark, d, folds=5, packs=False):
     """Split 80/20 stratified on the label, standard scaling fitted on train
     only, stratified folds on train when asked, features assembled. One
     checkpoint (two with folds): what follows it is a projection with the
-    scaling as literals, so the fits iterate over a short plan."""
+    scaling as literals, so the fits iterate over a short plan. ``packs``:
+    the fits pack their rows themselves, no second copy is written."""
     m = model_frame(spark, d)
     s = cut_lineage(sampling.train_test_split(m, 0.2, SEED, "rid", stratify="label"))
     train, test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
@@ -77,7 +78,7 @@ def _prepared(spark, d, folds=5):
         train = cut_lineage(sampling.assign_folds(train, folds, "rid", "stratified", SEED, label="label"))
     stats = encode.fit_standard(train, MODEL_FEATURES).first().asDict()  # one row
     prep = encode.ScaledModel(None, stats, MODEL_FEATURES)
-    return cut_lineage(spread(prep.prepare(train))), prep.prepare(test)
+    return prep.prepare(train) if packs else cut_lineage(spread(prep.prepare(train))), prep.prepare(test)
 
 
 def _result_view(res):
@@ -96,13 +97,9 @@ LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "penalty": ["l2", "l1"]}
 
 @query("logistic_grid_search")
 def logistic_grid_search(spark, d):
-    """V10 + V8 + L1: 8 candidates x 5 folds, refit best, held-out metrics."""
-    train, test = _prepared(spark, d)
-
-    def fit(df, C, penalty):
-        return linear.fit_logistic(df, C=C, penalty=penalty, balanced=True)
-
-    rec, cv, _ = search.grid_search(fit, train, test, LR_GRID, metric="f1", name="LogisticRegression", parallelism=4, cut=False)
+    """V10 + V8 + L1: 8 candidates x 5 folds in one batch of Newton fits, held-out metrics of the best."""
+    train, test = _prepared(spark, d, packs=True)
+    rec, _, _ = newton.logistic_grid_search(train, test, LR_GRID, metric="f1", balanced=True)
     return _result_view(search.results_frame(spark, [rec]))
 
 
@@ -158,9 +155,9 @@ def model_zoo_heldout(spark, d):
 def logistic_heldout(spark, d):
     """L1 + L13 + V1-V3: one balanced logistic regression fitted on 80% of
     the modelling table (standard-scaled on train), scored on 20%."""
-    train, test = _prepared(spark, d, folds=0)
+    train, test = _prepared(spark, d, folds=0, packs=True)
     return _result_view(search.evaluate_models(
-        {"LogisticRegression": lambda df: linear.fit_logistic(df, C=1.0, balanced=True)},
+        {"LogisticRegression": lambda df: newton.fit_logistic_newton(df, C=1.0, balanced=True)},
         train, test, cut=False))
 
 
@@ -168,12 +165,35 @@ def logistic_heldout(spark, d):
 def gbt_heldout(spark, d):
     """L7 with the reference's boosted configuration (100 trees, depth 6,
     rate 0.1) fitted on 80% of the table, scored on 20%."""
-    train, test = _prepared(spark, d, folds=0)
+    train, test = _prepared(spark, d, folds=0, packs=True)
     return _result_view(search.evaluate_models(
-        {"GBT_100x6": lambda df: trees.fit_gbt(df, n_estimators=100, learning_rate=0.1, max_depth=6)},
+        {"GBT_100x6": lambda df: boosting.fit_boosting(df, n_estimators=100, learning_rate=0.1, max_depth=6, num_leaves=64,
+                                                       reg_lambda=1.0, min_samples_leaf=1, min_child_weight=1.0)},
         train, test, cut=False))
 
 
+@query("leafwise_boosting_early_stop")
+def leafwise_boosting_early_stop(spark, d):
+    """Leaf-wise trees (31 leaves) with L1 and L2 leaf penalties and row
+    sampling, stopped early on one of five folds of the training rows."""
+    train, test = _prepared(spark, d, packs=True)
+
+    def fit(df):
+        return boosting.fit_boosting(df, fold_col="fold", leave_out=0, early_stopping=5, n_estimators=40, learning_rate=0.3, num_leaves=31,
+                                     reg_alpha=0.1, reg_lambda=1.0, subsample=0.8, min_samples_leaf=20)
+    return _result_view(search.evaluate_models({"LeafwiseBoosting": fit}, train, test, cut=False))
+
+
+@query("huber_boosting_heldout")
+def huber_boosting_heldout(spark, d):
+    """L7 with Huber loss on the regression target."""
+    train, test = _prepared(spark, d, folds=0, packs=True)
+
+    def fit(df):
+        return boosting.fit_boosting(df, label="y_reg", loss="huber", n_estimators=10, learning_rate=0.3, max_depth=4, num_leaves=16)
+    return _result_view(search.evaluate_models({"HuberBoosting": fit}, train, test, label="y_reg", task="regression", cut=False))
+
+
 @query("tuned_thresholds")
 def tuned_thresholds(spark, d):
     """V15 on real model scores: LR and GBT probabilities, and the linear
