@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from ..operators.order import join_null_safe
 from .lookup import SortedHashes
-from .store import materialise
+from .store import free, materialise, tidy
 from .text import NONSPACE, U, Words, _TABLE, buffers, chunks, mix, ngram_hashes, powers
 
 ORDER = 5
 #: rows of the surprisal table that may be broadcast, languages that may
-MAX_RUNS, MAX_LANGUAGES = 8_000_000, 4096
+MAX_RUNS, MAX_LANGUAGES = 4_000_000, 4096
 #: distinct runs a task gathers before it hands them on
 GATHER = 1 << 21
 UNIT = float(1 << 20)
@@ -172,8 +172,11 @@ def fit(runs: DataFrame, order: int = ORDER) -> DataFrame:
             want = join_null_safe(want, below.select("lang", "half", F.col("v").alias("low"), F.col("p").alias("q")), ["lang", "half", "low"])
         p = F.when(F.col("total").isNull(), F.col("q")).otherwise(
             F.coalesce("rest", F.lit(0.0)) / F.col("total") + F.col("free") * F.col("q"))
-        below = materialise(want.select("lang", "half", "v", p.alias("p")))
-    return materialise(below.select("lang", "half", "v", F.round(-F.log("p") * UNIT).cast("int").alias("s")))
+        spent, below = below, materialise(want.select("lang", "half", "v", p.alias("p")))
+        free(levels[k], *([] if spent is None else [spent]))
+    out = materialise(below.select("lang", "half", "v", F.round(-F.log("p") * UNIT).cast("int").alias("s")))
+    free(below)
+    return out
 
 
 class Surprisals:
@@ -183,6 +186,7 @@ class Surprisals:
         self.index, self.order = index, order
         self.hashes = SortedHashes(mix(v.astype(np.uint64) | (groups.astype(np.uint64) << U(8 * order))))
         self.s = s.astype(np.int32)[self.hashes.order]
+        self.hashes.order = None                                # not needed any more, not broadcast
 
     def of(self, groups: np.ndarray, v: np.ndarray) -> np.ndarray:
         return self.s[self.hashes.find(mix(v | (groups << U(8 * self.order))))]
@@ -199,9 +203,9 @@ def collect(model: DataFrame, order: int = ORDER, max_runs: int = MAX_RUNS) -> S
     if len(langs) > 64:                                          # a long CASE is slow: join the numbers instead
         names = model.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, code int")
         model, code = join_null_safe(model, names, ["lang"]), F.col("code")
-    t = model.select((2 * code + F.col("half")).cast("int").alias("g"), "v", "s").toPandas()
+    t = model.select((2 * code + F.col("half")).cast("int").alias("g"), "v", "s").toArrow()
     index = {(x, h): 2 * i + h for i, x in enumerate(langs) for h in (0, 1)}
-    return Surprisals(index, t["g"].to_numpy(np.int64), t["v"].to_numpy(np.int64), t["s"].to_numpy(np.int64), order)
+    return Surprisals(index, *(t.column(c).to_numpy() for c in ("g", "v", "s")), order)
 
 
 # --- texts ------------------------------------------------------------------
@@ -300,12 +304,14 @@ def _own_runs_batch(order: int):
 def measure(docs: DataFrame, model: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
             order: int = ORDER, max_runs: int = MAX_RUNS) -> DataFrame:
     """Per row: _id, lang, the base columns, ``print`` and ``score`` (null without words)."""
+    tidy(docs.sparkSession)
     arrays = collect(model, order, max_runs)
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("_id"),
                       F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"))
     value = None
     if arrays is not None:
         shared = docs.sparkSession.sparkContext.broadcast(arrays)
+        arrays.hashes = arrays.s = None                         # the driver needs no copy of its own
         value = lambda: shared.value
     else:
         src = materialise(src)                                   # row numbers used twice
@@ -357,6 +363,7 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str = "text", la
     names = {"text_col": text_col, "lang_col": lang_col, "order": order}
     model = fit(count_runs(docs, **names), order)
     scored = materialise(measure(docs, model, doc_id=doc_id, max_runs=max_runs, **names))
+    free(model)
     limits = materialise(bands(scored, **band_options))
     out = join_null_safe(scored.withColumns({"base_failed": base_failed(), "size": length_class()}), limits, ["lang", "size"], "left")
     step = F.floor(F.col("score") / STEP)
