@@ -1,4 +1,4 @@
-"""Logistic regressions fitted together: Newton steps of all candidates and folds from one aggregate each.
+"""Logistic regressions and linear SVCs fitted together: Newton steps of all candidates and folds from one aggregate each.
 
 Every iteration sends the current coefficients of all open fits to the tasks;
 a task computes, per fit, loss, gradient and Hessian over its blocks as matrix
@@ -10,8 +10,10 @@ the objective is halved, so fits do not depend on a lucky start; the number of
 jobs is that of the slowest fit's iterations, whatever the number of fits.
 
 Parameters follow the reference: ``C`` scales the sum of the losses, the
-intercept is not penalised, ``balanced`` weighs classes by n / (k n_c) of the
-rows that the fit trains on.
+intercept is not penalised (but for the SVC, whose intercept is a coefficient
+like the others), ``balanced`` weighs classes by n / (k n_c) of the rows that
+the fit trains on. The SVC's loss is the squared hinge; its Hessian counts the
+rows inside the margin.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +36,13 @@ from .search import _test_metrics, as_candidates, candidate_id
 
 @dataclass
 class Fit:
-    """One logistic regression: penalty and the fold it leaves out (None: trains on all rows)."""
+    """One fit: penalty, loss and the fold it leaves out (None: trains on all rows)."""
     C: float = 1.0
     penalty: str = "l2"
     fold: int | None = None
     balanced: bool = False
     fit_intercept: bool = True
+    loss: str = "logistic"
     # state
     w: np.ndarray | None = None
     objective: float = math.inf
@@ -54,25 +58,37 @@ def _pair_index(d: int):
     return np.triu_indices(d)
 
 
-def _sums(block: Block, coefs: np.ndarray, folds: np.ndarray, class_weights: np.ndarray) -> np.ndarray:
+def _sums(block: Block, coefs: np.ndarray, folds: np.ndarray, class_weights: np.ndarray, hinge: bool = False) -> np.ndarray:
     """Per fit: loss, gradient, upper triangle of the Hessian, over the rows it trains on."""
     x = np.column_stack([block.x, np.ones(len(block.y))])
     z = x @ coefs.T
     y = (block.y > 0)[:, None]
     w = block.w[:, None] * np.where(y, class_weights[:, 1], class_weights[:, 0])
     w = np.where(block.fold[:, None] == folds[None, :], 0.0, w)
-    p = 0.5 * (1 + np.tanh(0.5 * z))
-    # log(1 + exp(-m)) without overflow, m the signed margin
-    m = np.where(y, z, -z)
-    loss = (w * (np.maximum(-m, 0) + np.log1p(np.exp(-np.abs(m))))).sum(axis=0)
-    grad = (w * (p - y)).T @ x
+    m = np.where(y, z, -z)                                      # the signed margin
     i, j = _pair_index(x.shape[1])
-    hess = (w * p * (1 - p)).T @ (x[:, i] * x[:, j])
+    if hinge:
+        short = np.maximum(1 - m, 0)
+        loss = (w * short ** 2).sum(axis=0)
+        grad = (-2 * w * short * np.where(y, 1.0, -1.0)).T @ x
+        hess = (2 * w * (short > 0)).T @ (x[:, i] * x[:, j])
+    else:
+        p = 0.5 * (1 + np.tanh(0.5 * z))
+        loss = (w * (np.maximum(-m, 0) + np.log1p(np.exp(-np.abs(m))))).sum(axis=0)        # log(1 + exp(-m))
+        grad = (w * (p - y)).T @ x
+        hess = (w * p * (1 - p)).T @ (x[:, i] * x[:, j])
     return np.concatenate([loss[:, None], grad, hess], axis=1).ravel()
 
 
+def _held(f: Fit, d: int) -> np.ndarray:
+    """1 for penalised coefficients: all but the intercept of a logistic regression."""
+    out = np.ones(d)
+    out[-1] = float(f.loss == "squared_hinge")
+    return out
+
+
 def _penalty(f: Fit, w: np.ndarray) -> float:
-    v = w[:-1]
+    v = w * _held(f, len(w))
     return (0.5 * float(v @ v) if f.penalty == "l2" else float(np.abs(v).sum())) / f.C
 
 
@@ -81,9 +97,9 @@ def _newton_step(f: Fit, w, grad, hess) -> np.ndarray:
     d = len(w)
     free = np.ones(d, bool)
     free[-1] = f.fit_intercept
-    lam = 1.0 / f.C
+    lam, held = 1.0 / f.C, _held(f, d)
     if f.penalty == "l2":
-        g, h = grad + lam * np.append(w[:-1], 0.0), hess + lam * np.diag(np.append(np.ones(d - 1), 0.0))
+        g, h = grad + lam * held * w, hess + lam * np.diag(held)
         out = np.zeros(d)
         h = h + 1e-12 * max(np.trace(h), 1e-300) / d * np.eye(d)
         out[free] = -np.linalg.lstsq(h[np.ix_(free, free)], g[free], rcond=None)[0]
@@ -94,7 +110,7 @@ def _newton_step(f: Fit, w, grad, hess) -> np.ndarray:
         moved = 0.0
         for j in np.flatnonzero(free):
             r = h[j, j] * v[j] - (grad[j] + h[j] @ (v - w))
-            new = r / h[j, j] if j == d - 1 else math.copysign(max(abs(r) - lam, 0.0), r) / h[j, j]
+            new = math.copysign(max(abs(r) - lam * held[j], 0.0), r) / h[j, j]
             moved = max(moved, abs(new - v[j]))
             v[j] = new
         if moved < 1e-14 * max(1.0, np.abs(v).max()):
@@ -113,7 +129,10 @@ def solve(blocks: DataFrame, fits: list[Fit], features: int, tol: float = 1e-9,
         coefs = np.stack([f.w for f in live])
         folds = np.array([-2 if f.fold is None else f.fold for f in live])
         weights = np.array([f.class_weights for f in live])
-        s = sum_arrays(blocks, lambda b: _sums(b, coefs, folds, weights))  # noqa: B023
+        hinge = live[0].loss == "squared_hinge"
+        if any((f.loss == "squared_hinge") != hinge for f in live):
+            raise ValueError("fits of one batch share their loss")
+        s = sum_arrays(blocks, lambda b: _sums(b, coefs, folds, weights, hinge))  # noqa: B023
         jobs += 1
         if not len(s):
             raise ValueError("no complete rows to fit on")
@@ -137,6 +156,13 @@ def solve(blocks: DataFrame, fits: list[Fit], features: int, tol: float = 1e-9,
     return jobs
 
 
+def _linear(features, coefficients, intercept):
+    """The decision value as a column."""
+    if isinstance(features, str):
+        return lambda x: F.aggregate(F.zip_with(x, F.lit(coefficients), lambda u, v: u * v), F.lit(intercept), lambda s, t: s + t)
+    return lambda _: sum((F.lit(c) * F.col(f"`{n}`").cast("double") for n, c in zip(features, coefficients)), F.lit(intercept))
+
+
 class NewtonLogisticModel(StateModel):
     """Coefficients and intercept; adds ``prediction`` and ``probability`` (of class 1)."""
 
@@ -154,14 +180,21 @@ class NewtonLogisticModel(StateModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         a = self.learned
-        x = features_column(df, a["features"])
-        z = F.aggregate(F.zip_with(x, F.lit(a["coefficients"]), lambda u, v: u * v), F.lit(a["intercept"]), lambda s, t: s + t) \
-            if isinstance(a["features"], str) else sum((F.lit(c) * F.col(f"`{n}`").cast("double") for n, c in zip(a["features"], a["coefficients"])),
-                                                       F.lit(a["intercept"]))
+        z = _linear(a["features"], a["coefficients"], a["intercept"])(features_column(df, a["features"]))
         return df.withColumn("_z", z).withColumn("prediction", (F.col("_z") > 0).cast("double")) \
             .withColumn("probability", 1.0 / (1.0 + F.exp(-F.col("_z")))).drop("_z")
 
 
+class NewtonSVCModel(NewtonLogisticModel):
+    """Coefficients and intercept; adds ``prediction`` and ``rawPrediction`` (the decision value of both classes)."""
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        a = self.learned
+        z = _linear(a["features"], a["coefficients"], a["intercept"])(features_column(df, a["features"]))
+        return df.withColumn("_z", z).withColumn("prediction", (F.col("_z") > 0).cast("double")) \
+            .withColumn("rawPrediction", array_to_vector(F.array(-F.col("_z"), F.col("_z")))).drop("_z")
+
+
 def _class_weights(fits: list[Fit], counts: dict) -> None:
     """counts: {(fold, class): rows}; balanced weights of the rows each fit trains on."""
     for f in fits:
@@ -196,7 +229,7 @@ def fit_blocks(blocks: DataFrame, fits: list[Fit], features="features", tol: flo
         n = sum_arrays(blocks, count)
         _class_weights(fits, {(int(keys[k]), c): n[2 * k + c] for k in range(len(keys)) for c in (0, 1)})
     jobs = solve(blocks, fits, first[0], tol, max_iter)
-    return [NewtonLogisticModel(features, f.w[:-1], f.w[-1]) for f in fits], jobs
+    return [(NewtonSVCModel if f.loss == "squared_hinge" else NewtonLogisticModel)(features, f.w[:-1], f.w[-1]) for f in fits], jobs
 
 
 def fit_logistic_newton(df: DataFrame, features="features", label: str = "label", C: float = 1.0, penalty: str = "l2",
@@ -206,6 +239,13 @@ def fit_logistic_newton(df: DataFrame, features="features", label: str = "label"
     return fit_logistic_batch(df, [fit], features, label, weight_col)[0][0]
 
 
+def fit_svc_newton(df: DataFrame, features="features", label: str = "label", C: float = 1.0, penalty: str = "l1",
+                   balanced: bool = False, weight_col: str | None = None, fit_intercept: bool = True) -> NewtonSVCModel:
+    """L2: linear SVC with squared hinge loss and an L1 or L2 penalty: C * sum of losses + |w|_1 (or |w|^2 / 2)."""
+    fit = Fit(C=C, penalty=penalty, balanced=balanced, fit_intercept=fit_intercept, loss="squared_hinge")
+    return fit_logistic_batch(df, [fit], features, label, weight_col)[0][0]
+
+
 def held_out_counts(blocks: DataFrame, fits: list[Fit]) -> np.ndarray:
     """(fit, [tp, fp, fn, tn]) of each fit on the fold it left out, from one aggregate."""
     coefs = np.stack([f.w for f in fits])
@@ -227,8 +267,8 @@ METRICS = {"accuracy": lambda tp, fp, fn, tn: _ratio(tp + tn, tp + fp + fn + tn)
 
 
 def logistic_grid_search(train: DataFrame, test: DataFrame | None, grid, metric: str = "f1", fold_col: str = "fold", features="features",
-                         label: str = "label", balanced: bool = False, name: str = "LogisticRegression"):
-    """V10 for L1: (record as of ``search.grid_search``, DataFrame (candidate, fold, metrics, params), model of the best candidate).
+                         label: str = "label", balanced: bool = False, name: str = "LogisticRegression", loss: str = "logistic"):
+    """V10 for L1 (and, with ``loss='squared_hinge'``, for L2): (record as of ``search.grid_search``, DataFrame (candidate, fold, metrics, params), model of the best candidate).
 
     All candidates on all folds and on all rows are one batch of Newton fits;
     one more aggregate counts the held-out confusions. The best mean
@@ -238,7 +278,7 @@ def logistic_grid_search(train: DataFrame, test: DataFrame | None, grid, metric:
     cands = as_candidates(grid)
     blocks = pack(train, features, label, None, fold_col)
     folds = sorted(int(r[0]) for r in train.select(fold_col).distinct().collect() if r[0] is not None)      # k values
-    fits = [Fit(**{"balanced": balanced, **c}, fold=f) for c in cands for f in (*folds, None)]
+    fits = [Fit(**{"balanced": balanced, "loss": loss, **c}, fold=f) for c in cands for f in (*folds, None)]
     models, jobs = fit_blocks(blocks, fits, features)
     left = [f for f in fits if f.fold is not None]
     rows = [(i // len(folds), f.fold, *[m(*map(float, c)) for m in METRICS.values()], candidate_id(cands[i // len(folds)]))

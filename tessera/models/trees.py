@@ -5,8 +5,12 @@ Spark is one place (``_tree_params``). XGBoost / LightGBM configurations
 map onto Spark's gradient-boosted trees: n_estimators -> maxIter,
 learning_rate -> stepSize, max_depth -> maxDepth, subsample ->
 subsamplingRate, colsample -> featureSubsetStrategy, gamma -> minInfoGain,
-min_child_samples -> minInstancesPerNode (num_leaves and L1/L2 leaf
-penalties have no Spark counterpart and are ignored).
+min_child_samples -> minInstancesPerNode. Leaf-wise growth, leaf penalties,
+early stopping and Huber loss are in ``boosting``.
+
+``min_samples_split`` rewrites a fitted tree: a node with fewer rows becomes a
+leaf. Splits below a node never change those above it, so the result is the
+tree that would not have split the node.
 """
 
 from __future__ import annotations
@@ -14,8 +18,9 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +38,65 @@ def _tree_params(max_depth=None, min_samples_leaf=1, seed=42, max_bins=32, **ext
     return p
 
 
+def _collapsed(jvm, node, least: int):
+    """The node with every descendant of fewer than ``least`` rows turned into a leaf (a JVM node)."""
+    stats = node.impurityStats()
+    if node.getClass().getSimpleName() == "LeafNode":
+        return node
+    if stats.rawCount() < least:
+        return jvm.org.apache.spark.ml.tree.LeafNode(node.prediction(), node.impurity(), stats)
+    left, right = (_collapsed(jvm, child, least) for child in (node.leftChild(), node.rightChild()))
+    return jvm.org.apache.spark.ml.tree.InternalNode(node.prediction(), node.impurity(), node.gain(), left, right, node.split(), stats)
+
+
+def collapse(model, min_samples_split: int):
+    """A fitted tree or forest whose nodes of fewer than ``min_samples_split`` rows are leaves.
+
+    Rows are counted as the fit saw them (in a forest: in each tree's own
+    sample). The result is a model of the same class, saved and loaded like any.
+    """
+    sc, j = SparkContext._active_spark_context, model._java_obj
+    jvm = sc._jvm
+    name = j.getClass().getName()
+
+    def rebuilt(tree):
+        root = _collapsed(jvm, tree.rootNode(), int(min_samples_split))
+        args = [tree.uid(), root, tree.numFeatures()]
+        return args + ([tree.numClasses()] if "Classification" in tree.getClass().getName() else [])
+
+    def make(cls, args):
+        made = getattr(getattr(jvm.org.apache.spark.ml, "classification" if "Classification" in cls else "regression"), cls.split(".")[-1])
+        return made(*args)
+    if "RandomForest" in name:
+        old = j.trees()
+        kind = old[0].getClass().getName()
+        trees = sc._gateway.new_array(getattr(getattr(jvm.org.apache.spark.ml, kind.split(".")[-2]), kind.split(".")[-1]), len(old))
+        for i in range(len(old)):
+            trees[i] = make(kind, rebuilt(old[i]))
+        args = [j.uid(), trees, j.numFeatures()] + ([j.numClasses()] if "Classification" in name else [])
+        new = make(name, args)
+    else:
+        new = make(name, rebuilt(j))
+    j.copyValues(new, j.extractParamMap())
+    return type(model)(new)
+
+
+def _min_rows(min_samples_split, df: DataFrame) -> int:
+    """A share of the rows (a float) as a number."""
+    return math.ceil(min_samples_split * df.count()) if isinstance(min_samples_split, float) else int(min_samples_split)
+
+
 def fit_tree(df: DataFrame, features="features", label="label", max_depth=None, min_samples_leaf=1, seed=42,
-             weight_col=None):
-    """Decision tree (Spark has a minimum leaf size, no minimum split)."""
+             weight_col=None, min_samples_split=2):
+    """Decision tree; ``min_samples_split`` rows (or share of the rows) at least are split."""
     est = DecisionTreeClassifier(featuresCol=features, labelCol=label, **_tree_params(max_depth, min_samples_leaf, seed),
                                  **({"weightCol": weight_col} if weight_col else {}))
-    return est.fit(df)
+    model, least = est.fit(df), _min_rows(min_samples_split, df)
+    return collapse(model, least) if least > 2 else model
 
 
 def fit_forest(df: DataFrame, features="features", label="label", n_estimators=100, max_depth=None,
-               min_samples_leaf=1, balanced=False, seed=42, regression=False, max_features="auto"):
+               min_samples_leaf=1, balanced=False, seed=42, regression=False, max_features="auto", min_samples_split=2):
     """Random forest classifier / regressor."""
     weight = None
     if balanced and not regression:
@@ -51,7 +105,9 @@ def fit_forest(df: DataFrame, features="features", label="label", n_estimators=1
     est = cls(featuresCol=features, labelCol=label, numTrees=int(n_estimators),
               featureSubsetStrategy=str(max_features),
               **_tree_params(max_depth, min_samples_leaf, seed), **({"weightCol": weight} if weight else {}))
-    return est.fit(spread(df.select(features, label, *([weight] if weight else []))))
+    rows = spread(df.select(features, label, *([weight] if weight else [])))
+    model, least = est.fit(rows), _min_rows(min_samples_split, rows)
+    return collapse(model, least) if least > 2 else model
 
 
 def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100, learning_rate=0.1, max_depth=3,
@@ -65,7 +121,7 @@ def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100,
     params = _tree_params(max_depth, min_samples_leaf, seed, max_bins, **extra)
     if loss:
         if loss not in ("squared", "absolute", "logistic"):
-            raise ValueError(f"loss {loss!r}: Spark boosts with squared or absolute (regression) and logistic loss only")
+            raise ValueError(f"loss {loss!r}: squared, absolute or logistic here; Huber loss is in boosting.fit_boosting")
         params["lossType"] = loss
     est = cls(featuresCol=features, labelCol=label, maxIter=int(n_estimators), stepSize=float(learning_rate),
               subsamplingRate=float(subsample), **params)
@@ -145,8 +201,76 @@ def fit_adaboost(df: DataFrame, features="features", label="label", n_estimators
     return AdaBoostModel(stumps, alphas)
 
 
+class RealAdaBoostModel(StateModel):
+    """SAMME.R: class log-probabilities of the parts, centred over the classes, averaged.
+
+    ``probability`` is that of class 1 for two classes; ``prediction`` the class of the largest sum, ties to the smaller class.
+    """
+
+    def __init__(self, parts=(), n_classes: int | None = None):
+        super().__init__(None if n_classes is None else {"n_classes": n_classes}, parts)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        k, names = self.learned["n_classes"], []
+        out = df
+        for i, m in enumerate(self.parts):
+            m = m.copy({m.predictionCol: f"_h{i}", m.rawPredictionCol: f"_raw{i}", m.probabilityCol: f"_pr{i}"})
+            out = m.transform(out).withColumn(f"_lp{i}", log_probabilities(f"_pr{i}")).drop(f"_h{i}", f"_raw{i}", f"_pr{i}")
+            names.append(f"_lp{i}")
+        total = [sum((F.col(n)[c] for n in names[1:]), F.col(names[0])[c]) for c in range(k)]
+        mean = sum(total[1:], total[0]) / k
+        decision = F.array(*[(k - 1) * (t - mean) for t in total])
+        out = out.withColumn("_d", decision).drop(*names)
+        out = out.withColumn("prediction", (F.array_position("_d", F.array_max("_d")) - 1).cast("double"))
+        e = [F.exp(F.col("_d")[c] / F.lit((k - 1) * len(self.parts))) for c in range(k)]
+        if k == 2:
+            out = out.withColumn("decision", F.col("_d")[1]).withColumn("probability", e[1] / (e[0] + e[1]))
+        return out.drop("_d")
+
+
+def log_probabilities(col: str):
+    """Logarithms of a probability vector's entries, no entry below the smallest positive step of 1."""
+    return F.transform(vector_to_array(col), lambda p: F.log(F.greatest(p, F.lit(EPS))))
+
+
+#: smallest probability (the distance of 1 to the next double)
+EPS = 2.0 ** -52
+
+
+def fit_adaboost_real(df: DataFrame, features="features", label="label", n_estimators=50, learning_rate=1.0, max_depth=1, seed=42,
+                      n_classes: int | None = None, checkpoint_every=5) -> RealAdaBoostModel:
+    """SAMME.R. Each round fits a weighted tree and multiplies a row's weight by
+    exp(-rate (K - 1) / K sum_k code_k log p_k), code 1 for its class and -1 / (K - 1) for the others; weights are kept
+    as logarithms, shifted by their maximum (one aggregate a round). A round without errors ends the fit.
+    """
+    k = n_classes or int(df.agg(F.max(label)).first()[0]) + 1
+    cur = df.select(features, F.col(label).cast("double").alias(label)).withColumn("_lw", F.lit(0.0))
+    parts = []
+    for m in range(int(n_estimators)):
+        weighed = cur.withColumn("_w", F.exp("_lw"))
+        est = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth, seed=seed + m,
+                                     predictionCol="_hp", rawPredictionCol="_hr", probabilityCol="_hq")
+        part = est.fit(weighed)
+        if part.numClasses < k:
+            raise ValueError(f"labels below {k} must all occur")
+        parts.append(part)
+        lp = log_probabilities("_hq")
+        own = F.element_at(lp, (F.col(label) + 1).cast("int"))
+        code = own - (F.aggregate(lp, F.lit(0.0), lambda a, b: a + b) - own) / (k - 1)
+        moved = part.transform(weighed).withColumn("_lw", F.col("_lw") - learning_rate * (k - 1) / k * code)
+        st = moved.agg(F.max("_lw").alias("top"), F.max((F.col("_hp") != F.col(label)).cast("int")).alias("miss")).first()
+        if not st["miss"]:
+            break
+        cur = moved.select(features, label, (F.col("_lw") - F.lit(st["top"])).alias("_lw"))
+        if (m + 1) % checkpoint_every == 0:
+            cur = cut_lineage(cur)
+    return RealAdaBoostModel(parts, k)
+
+
 class AdaBoost(FitEstimator):
-    """``AdaBoost(n_estimators=..., learning_rate=..., max_depth=...)`` as an ``ml`` estimator."""
+    """``AdaBoost(n_estimators=..., learning_rate=..., max_depth=..., algorithm='SAMME' | 'SAMME.R')`` as an ``ml`` estimator."""
 
-    def _fit(self, df: DataFrame) -> AdaBoostModel:
-        return fit_adaboost(df, **self.options)
+    def _fit(self, df: DataFrame):
+        options = self.options
+        fit = {"SAMME": fit_adaboost, "SAMME.R": fit_adaboost_real}[options.pop("algorithm", "SAMME")]
+        return fit(df, **options)
