@@ -178,6 +178,59 @@ def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str
     return rec, cv_table, model
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Number of rows and an order-free sum of their hashes: the same rows give the same text."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).alias("s")).first()
+    return f"{r['n']}:{r['s']}"
+
+
+def resumable_search(fit, train: DataFrame, grid, log: str, name: str = "model", metric: str = "f1", fold_col: str = "fold",
+                     label: str = "label", task: str = "classification", higher_is_better: bool = True, version: str = "") -> DataFrame:
+    """V10 / V16 with S5: (candidate, params, mean_score, std_score, position) of every candidate, from the log where it is finished.
+
+    A candidate's record lies in its own folder of ``log``, named by the search's
+    name, its parameters, metric, ``version`` (of the fitting code, if the caller
+    gives one) and the fingerprint of the training rows; it is written whole
+    once its folds are scored. A search that was killed fits only what has no
+    record; writing a record again replaces it, so two runs at once end in the
+    same log. Other data, parameters or versions never match.
+    """
+    spark, cands = train.sparkSession, as_candidates(grid)
+    train = cut_lineage(train)
+    data = fingerprint(train)
+    keys = [hashlib.md5("\n".join([name, metric, task, version, data, candidate_id(c)]).encode()).hexdigest() for c in cands]
+    done = {r["key"]: r for r in _read_log(spark, log, keys)}
+    for i, (key, params) in enumerate(zip(keys, cands)):
+        if key in done:
+            continue
+        cv = cross_validate(fit, train, fold_col, label, task, [params], cut=False)
+        r = cv.agg(F.avg(metric).cast("double").alias("mean_score"), F.stddev_pop(metric).cast("double").alias("std_score"))
+        out = r.select(F.lit(key).alias("key"), F.lit(name).alias("model"), F.lit(candidate_id(params)).alias("params"),
+                       F.lit(metric).alias("metric"), F.lit(data).alias("data"), "mean_score", "std_score")
+        out.coalesce(1).write.mode("overwrite").json(f"{log}/{key}")
+    rows = {r["key"]: r for r in _read_log(spark, log, keys)}
+    sign = -1 if higher_is_better else 1
+    order = sorted(range(len(cands)), key=lambda i: (rows[keys[i]]["mean_score"] is None, sign * (rows[keys[i]]["mean_score"] or 0.0), i))
+    return spark.createDataFrame(
+        [(i, candidate_id(cands[i]), rows[keys[i]]["mean_score"], rows[keys[i]]["std_score"], order.index(i) + 1) for i in range(len(cands))],
+        "candidate int, params string, mean_score double, std_score double, position int")
+
+
+_LOG = "key string, model string, params string, metric string, data string, mean_score double, std_score double"
+
+
+def _read_log(spark, log: str, keys) -> list:
+    """Finished records of the given keys; a folder without Spark's success mark is not finished."""
+    sc = spark.sparkContext
+    paths = []
+    for k in dict.fromkeys(keys):
+        p = sc._jvm.org.apache.hadoop.fs.Path(f"{log}/{k}/_SUCCESS")
+        if p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p):
+            paths.append(f"{log}/{k}")
+    return spark.read.schema(_LOG).json(paths).collect() if paths else []
+
+
 def _test_metrics(model, test: DataFrame, label: str, task: str) -> dict:
     if task == "classification":
         s = score_frame(model, test, keep=[label]).withColumn("_g", F.lit(0))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..models import moments
-from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hash_hex, hdigit_sql, model_frame, round_doubles
+from ..models import bayes, moments, stacking
+from ..operators import target
+from ..operators.order import hash_hex
+from .frames import (MODEL_FEATURES, MODEL_FRAME_SQL, NULLED_LINEITEM_SQL, RK, hdigit, hdigit_sql, model_frame, nulled_lineitem,
+                     round_doubles, table)
 from .registry import query
 
 # fixed values: the penalty grid of the regularised regressions
@@ -107,3 +110,113 @@ def lasso_grid_by_moments(spark, d):
 def elastic_net_grid_by_moments(spark, d):
     """V8 + V10 + L11: 8 penalties x 5 folds, L1 share 0.9, from one scan."""
     return _cv(spark, d, "elastic_net", [{"alpha": a, "l1_ratio": 0.9} for a in ALPHAS[:8]])
+
+
+# ------------------------------------------------------------------ out-of-fold encoding, stacking, pruning
+def _encoded_rows(spark, d):
+    li = nulled_lineitem(spark, d)
+    rk = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    fold = F.pmod(F.conv(F.substring(hash_hex(rk, "enc"), 1, 4), 16, 10).cast("int"), F.lit(FOLDS))
+    return li.select(rk.alias("rk"), "l_returnflag", "l_partkey", fold.alias("fold"), (F.col("l_discount") > 0.05).cast("double").alias("y"))
+
+
+_ENC = f"""e AS MATERIALIZED (SELECT {RK} AS rk, l_returnflag, l_partkey,
+  ('0x' || substr(md5('enc:' || CAST({RK} AS VARCHAR)), 1, 4))::INTEGER % {FOLDS} AS fold,
+  CASE WHEN l_discount > 0.05 THEN 1.0 WHEN l_discount IS NOT NULL THEN 0.0 END::DOUBLE AS y FROM ({NULLED_LINEITEM_SQL})),
+f AS MATERIALIZED (SELECT a.fold, sum(e.y) / count(e.y) AS prior FROM (SELECT DISTINCT fold FROM e) a JOIN e ON e.fold <> a.fold GROUP BY a.fold)"""
+
+
+def _encoded(col: str, name: str, smoothing: float) -> tuple[str, str]:
+    """(value, joins) of one encoded column."""
+    t, o = f"t_{col}", f"o_{col}"
+    return (f"round((coalesce({t}.s, 0) - coalesce({o}.s, 0) + {smoothing} * f.prior) / (coalesce({t}.n, 0) - coalesce({o}.n, 0) + {smoothing}), 6) AS {name}",
+            f"""LEFT JOIN (SELECT {col} AS c, sum(y) AS s, count(y) AS n FROM e GROUP BY {col}) {t} ON {t}.c IS NOT DISTINCT FROM e.{col}
+  LEFT JOIN (SELECT {col} AS c, fold, sum(y) AS s, count(y) AS n FROM e GROUP BY {col}, fold) {o}
+    ON {o}.c IS NOT DISTINCT FROM e.{col} AND {o}.fold = e.fold""")
+
+
+_ENCODED = [_encoded("l_returnflag", "flag_target", 10.0), _encoded("l_partkey", "part_target", 5.0)]
+
+
+@query("target_encode_out_of_fold", f"""WITH {_ENC}
+SELECT e.rk, {', '.join(v for v, _ in _ENCODED)} FROM e JOIN f ON f.fold = e.fold
+{' '.join(j for _, j in _ENCODED)}""")
+def target_encode_out_of_fold(spark, d):
+    """A hot level with nulls (return flag) and a wide one (part), each without its own fold's labels."""
+    rows = _encoded_rows(spark, d)
+    rows = target.fit_target_encoding(rows, "l_returnflag", "y", "fold", 10.0).transform_train(rows, "flag_target")
+    rows = target.fit_target_encoding(rows, "l_partkey", "y", "fold", 5.0).transform_train(rows, "part_target")
+    return round_doubles(rows.select("rk", "flag_target", "part_target"))
+
+
+_PRUNE = ["l_quantity", "l_extendedprice", "double_quantity", "price_per_unit", "net_price", "l_discount", "l_tax"]
+_PRUNE_SQL = """SELECT l_quantity::DOUBLE AS l_quantity, l_extendedprice::DOUBLE AS l_extendedprice, 2.0 * l_quantity + 1 AS double_quantity,
+  l_extendedprice / l_quantity AS price_per_unit, l_extendedprice * (1 - l_discount) AS net_price, l_discount::DOUBLE AS l_discount,
+  l_tax::DOUBLE AS l_tax FROM lineitem"""
+
+
+def _prune_sql(threshold: float) -> str:
+    n = len(_PRUNE)
+    corr = ", ".join(f"corr({_PRUNE[i]}, {_PRUNE[j]}) AS r{i}_{j}" for j in range(n) for i in range(j))
+    edges = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, r{i}_{j} AS r FROM c" for j in range(n) for i in range(j))
+    names = ", ".join(f"({i}, '{c}')" for i, c in enumerate(_PRUNE))
+    return f"""WITH RECURSIVE p AS MATERIALIZED ({_PRUNE_SQL}), c AS MATERIALIZED (SELECT {corr} FROM p), e AS MATERIALIZED ({edges}),
+walk(pos, kept) AS (SELECT 0, [0] UNION ALL
+  SELECT pos + 1, CASE WHEN EXISTS (SELECT 1 FROM e WHERE e.j = pos + 1 AND list_contains(kept, e.i) AND abs(e.r) > {threshold}) THEN kept
+                       ELSE list_append(kept, pos + 1) END FROM walk WHERE pos + 1 < {n}),
+last AS (SELECT kept FROM walk WHERE pos = {n - 1}),
+w AS (SELECT j, min(i) AS i FROM e CROSS JOIN last WHERE list_contains(kept, i) AND abs(r) > {threshold} GROUP BY j)
+SELECT n.name AS "column", n.pos AS position, list_contains(kept, n.pos) AS kept, b.name AS because, round(e.r, 6) AS r
+FROM (VALUES {names}) n(pos, name) CROSS JOIN last
+LEFT JOIN w ON w.j = n.pos AND NOT list_contains(kept, n.pos) LEFT JOIN e ON e.i = w.i AND e.j = w.j
+LEFT JOIN (VALUES {names}) b(pos, name) ON b.pos = w.i"""
+
+
+@query("prune_correlated_columns", _prune_sql(0.9))
+def prune_correlated_columns(spark, d):
+    """Greedy pruning of |r| > 0.9 in column order."""
+    li = table(spark, d, "lineitem")
+    q, p = F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double")
+    wide = li.select(q.alias("l_quantity"), p.alias("l_extendedprice"), (2.0 * q + 1).alias("double_quantity"), (p / q).alias("price_per_unit"),
+                     (p * (1 - F.col("l_discount"))).alias("net_price"), F.col("l_discount").cast("double"), F.col("l_tax").cast("double"))
+    return round_doubles(target.prune_correlated(wide, _PRUNE, 0.9))
+
+
+_STACK_ALPHA, _META_ALPHA = 50.0, 1.0
+
+
+def _nb_p(stats: str) -> str:
+    """P(class 1) under Gaussian naive Bayes on (q, tax) from columns of ``stats``."""
+    lj = {k: f"ln({stats}.n{k} / ({stats}.n0 + {stats}.n1)) + " + " + ".join(
+        f"(-0.5 * ln(2 * pi() * ({stats}.v{k}_{c} + {stats}.eps)) - (r.{c} - {stats}.m{k}_{c}) ** 2 / (2 * ({stats}.v{k}_{c} + {stats}.eps)))"
+        for c in ("q", "tax")) for k in (0, 1)}
+    return f"1 / (1 + exp(({lj[0]}) - ({lj[1]})))"
+
+
+_FIRST = ", ".join([f"count(*) FILTER (WHERE label = {k})::DOUBLE AS n{k}" for k in (0, 1)]
+                   + [f"avg({c}) FILTER (WHERE label = {k}) AS m{k}_{c}, var_pop({c}) FILTER (WHERE label = {k}) AS v{k}_{c}" for k in (0, 1) for c in ("q", "tax")]
+                   + ["1e-9 * greatest(var_pop(q), var_pop(tax)) AS eps", "avg(disc) AS mx", "avg(label) AS my",
+                      f"covar_pop(disc, label) * count(*) / (var_pop(disc) * count(*) + {_STACK_ALPHA}) AS w"])
+
+_STACK_SQL = f"""WITH m AS MATERIALIZED (SELECT *, ('0x' || substr(md5('moments:' || rid), 1, 4))::INTEGER % {FOLDS} AS fold,
+  {hdigit_sql('rid', 'stack')} < 'c' AS train FROM ({MODEL_FRAME_SQL})),
+s AS MATERIALIZED (SELECT h.fold, {_FIRST} FROM (SELECT DISTINCT fold FROM m WHERE train) h JOIN m ON m.fold <> h.fold AND m.train GROUP BY h.fold),
+oof AS MATERIALIZED (SELECT r.rid, r.label, {_nb_p('s')} AS nb, s.my + s.w * (r.disc - s.mx) AS rg FROM m r JOIN s ON s.fold = r.fold WHERE r.train),
+g AS (SELECT count(*) AS n, avg(nb) AS m1, avg(rg) AS m2, avg(label) AS my, var_pop(nb) * count(*) + {_META_ALPHA} AS a,
+  covar_pop(nb, rg) * count(*) AS b, var_pop(rg) * count(*) + {_META_ALPHA} AS c, covar_pop(nb, label) * count(*) AS u, covar_pop(rg, label) * count(*) AS v FROM oof),
+w AS (SELECT *, (u * c - v * b) / (a * c - b * b) AS w1, (v * a - u * b) / (a * c - b * b) AS w2 FROM g),
+t AS MATERIALIZED (SELECT {_FIRST} FROM m WHERE train),
+final AS (SELECT r.rid, {_nb_p('t')} AS nb, t.my + t.w * (r.disc - t.mx) AS rg FROM m r CROSS JOIN t WHERE NOT r.train)
+SELECT f.rid, round(f.nb, 6) AS nb, round(f.rg, 6) AS rg, round(w.my + w.w1 * (f.nb - w.m1) + w.w2 * (f.rg - w.m2), 6) AS prediction FROM final f CROSS JOIN w"""
+
+
+@query("stacked_nb_ridge", _STACK_SQL)
+def stacked_nb_ridge(spark, d):
+    """Naive Bayes and ridge, a ridge on their out-of-fold predictions; scored on rows outside the training set."""
+    m = _folded(spark, d)
+    is_train = hdigit("rid", "stack") < "c"
+    fits = {"nb": lambda df: bayes.fit_gaussian_nb(df, ["q", "tax"]),
+            "rg": lambda df: moments.fit_moments(df, ["disc"], "label", "ridge", alpha=_STACK_ALPHA)}
+    model, _ = stacking.fit_stack(m.where(is_train), fits, lambda t: moments.fit_moments(t, ["nb", "rg"], "label", "ridge", alpha=_META_ALPHA),
+                                  tasks={"rg": "regression"})
+    return round_doubles(model.transform(m.where(~is_train).drop("fold")).select("rid", "nb", "rg", "prediction"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import minmax_score
-from ..models import bayes, boosting, knn, linear, newton, search, trees
+from ..models import bayes, boosting, knn, linear, newton, search, stacking, trees
 from ..models.score import feature_importance, predict_values, score
 from ..operators import encode, ensemble, evaluate, sampling
 from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, round_doubles, table
@@ -314,3 +314,30 @@ def adaboost_cv_multi_metric(spark, d):
     train, _ = _prepared(spark, d, folds=3)
     cv = search.cross_validate(lambda df: trees.fit_adaboost(df, n_estimators=10), train, cut=False, parallelism=3)
     return round_doubles(cv.select("fold", "accuracy", "f1", "roc_auc"), 4)
+
+
+@query("svc_l1_grid_search")
+def svc_l1_grid_search(spark, d):
+    """V10 + V8 + L2: squared-hinge SVC, 6 candidates (C x penalty) x 5 folds in one batch of Newton fits."""
+    train, test = _prepared(spark, d, packs=True)
+    rec, _, _ = newton.logistic_grid_search(train, test, {"C": [0.001, 0.01, 1.0], "penalty": ["l1", "l2"]}, loss="squared_hinge",
+                                            name="LinearSVC")
+    return _result_view(search.results_frame(spark, [rec]))
+
+
+@query("tree_variants_heldout")
+def tree_variants_heldout(spark, d):
+    """L5 and L6 with a minimum split size, L8 as SAMME.R."""
+    train, test = _prepared(spark, d, folds=0)
+    return _result_view(search.evaluate_models({
+        "DecisionTree": lambda df: trees.fit_tree(df, max_depth=8, min_samples_split=0.01),
+        "RandomForest": lambda df: trees.fit_forest(df, n_estimators=10, max_depth=8, min_samples_split=500),
+        "AdaBoostReal": lambda df: trees.fit_adaboost_real(df, n_estimators=8, n_classes=2)}, train, test, cut=False))
+
+
+@query("calibrated_svc_table")
+def calibrated_svc_table(spark, d):
+    """The SVC's decision value as a probability: what it says and what happens, per tenth."""
+    train, test = _prepared(spark, d, folds=3)
+    model = stacking.calibrate(train, lambda df: newton.fit_svc_newton(df, C=0.01, penalty="l2"))
+    return round_doubles(stacking.calibration_table(model.transform(test)), 4)

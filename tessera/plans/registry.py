@@ -19,5 +19,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all():
     """Import every catalogue module (they register on import)."""
-    from . import catalog_prep, catalog_sample, catalog_stats, catalog_eval, catalog_models, catalog_edge, catalog_fits  # noqa: F401
+    from . import catalog_prep, catalog_sample, catalog_stats, catalog_eval, catalog_models, catalog_edge, catalog_fits, catalog_sources  # noqa: F401
     return QUERIES, ORACLE
