@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .order import BROADCAST_ROWS, join_null_safe
-from .stats import corr_matrix
 
 HOT = 1000
 
@@ -104,9 +103,16 @@ def prune_correlated(df: DataFrame, cols, threshold: float = 0.95) -> DataFrame:
     correlation (constant column) never removes a column.
     """
     cols = list(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+
+    def corr(a, b):                                              # over rows that have both; null where one of them is constant
+        x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+    found = df.agg(*[corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]).first() if pairs else ()
     r = {}
-    for row in corr_matrix(df, cols).collect():
-        r[row["a"], row["b"]] = r[row["b"], row["a"]] = row["r"]
+    for (a, b), v in zip(pairs, found):
+        r[a, b] = r[b, a] = None if v is None or v != v else v
     kept, rows = [], []
     for i, c in enumerate(cols):
         clash = next((k for k in kept if r[k, c] is not None and abs(r[k, c]) > threshold), None)
