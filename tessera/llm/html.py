@@ -12,10 +12,13 @@ The host's suffix array decides open blocks: the streams of all the host's
 pages are concatenated, and their suffixes put in order up to a depth of
 ``min_words`` words (deeper order cannot change whether a repeat of that length
 starts there). Equal neighbours of distinct pages are substrings repeated
-across pages; the blocks they cover are boilerplate, and the unique runs stay:
-all of them on pages without an article, those of ``min_words`` words or more
-beside an article. Blocks inside articles stay, repeated or not: pages of one
-host may mirror an article, and its lines may also stand in removed elements.
+across pages; the blocks they cover are boilerplate, and the unique blocks stay.
+Beside an article a block of fewer words is boilerplate if it stands, as a
+whole, outside removed elements on several pages, and text right inside a
+container (no heading, paragraph, item or cell) stays in unique runs of
+``min_words`` words or more. Blocks inside articles stay,
+repeated or not: pages of one host may mirror an article, and its lines may
+also stand in removed elements.
 
 Only identifiers are shuffled, keyed by host *and* suffix, with partial
 aggregation (two page fingerprints per bucket), so a host with a third of all
@@ -29,9 +32,11 @@ rows give a row each; a null or odd url is a host of its own. Nothing is cut:
 whole pages of any length are read. Elements inside a removed one are removed,
 also when their own end tag is missing; a removed or article element that is
 never closed reaches to the end of its parent's or its own next closing tag.
-A class or id word removes an element only as a whole token, alone or with
-words of place ("sidebar-left", not "has-sidebar"), and never an article or
-what holds one; only lists of reader comments go with the articles in them.
+A class or id word removes an element as a whole token, alone or with words of
+place ("sidebar-left", not "has-sidebar"); words of ``_STRONG_WORD`` also beside
+other parts ("ad-300x250", "user-comments"), unless the element is a heading or
+holds most of the page's text. Neither removes an article or what holds one;
+only lists of reader comments go with the articles in them.
 """
 
 from __future__ import annotations
@@ -68,12 +73,22 @@ _PLACE_WORD = frozenset(
     "left right top bottom upper lower primary secondary tertiary site global page main box wrap wrapper container outer inner "
     "area list item items link links block bar slot unit zone section panel form button buttons icons posts articles text "
     "title heading row column col group body".split())
+#: words that name what is no article also beside any other part of a token, and those that do so as its last part
+_STRONG_WORD = frozenset(
+    "ad ads adsbygoogle advert adverts advertisement adsense sponsored cookie cookies comments disqus paywall related "
+    "social newsletter signup subscribe subscription".split())
+_LAST_WORD = frozenset(("footer",))
+#: first parts that say what an element has, not what it is
+_STATE_WORD = frozenset("has have with no not is without".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: words of reader comments, whose elements may hold an ``<article>`` per comment
 _COMMENT_WORD = frozenset("comment comments respond disqus reply replies".split())
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAMED = re.compile(r"class|id|role|hidden", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
-ARTICLE, OPEN, REMOVED = 1, 0, 2
+ARTICLE, OPEN, REMOVED, BARE = 1, 0, 2, 3
+#: elements whose text is a block of prose; text right inside any other element is bare
+_PROSE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th blockquote pre figcaption caption summary".split())
 
 
 def _attributes(attrs: str) -> dict[str, str]:
@@ -101,6 +116,15 @@ def _words(attrs: dict[str, str]) -> set[str]:
     return {w for t in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split() for w in _names(t)}
 
 
+def _strong(attrs: dict[str, str]) -> bool:
+    """Whether a class or id token has a strong word among its parts."""
+    for t in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+        parts = [x for x in _SPLIT.split(t) if x]
+        if parts and parts[0] not in _STATE_WORD and (_STRONG_WORD.intersection(parts) or parts[-1] in _LAST_WORD):
+            return True
+    return False
+
+
 def _dropped(name: str, attrs: dict[str, str]) -> bool:
     """Whether the element, its role or the hidden attribute removes it, whatever it holds."""
     if name in _DROP:
@@ -112,12 +136,12 @@ def _dropped(name: str, attrs: dict[str, str]) -> bool:
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
-    """Text blocks of a page outside removed elements, in order, each ARTICLE or OPEN."""
+    """Text blocks of a page outside removed elements, in order, each ARTICLE, OPEN or BARE."""
     return [b for b in all_blocks(page) if b[1] != REMOVED]
 
 
 def all_blocks(page: str) -> list[tuple[str, int]]:
-    """Text blocks of a page in order, each ARTICLE, OPEN or REMOVED.
+    """Text blocks of a page in order, each ARTICLE, REMOVED, OPEN (a heading, paragraph, item or cell) or BARE.
 
     An element that only a class or id word names is judged at the end of the
     page: it stays if it holds an article.
@@ -127,6 +151,7 @@ def all_blocks(page: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, int, int]] = []      # (element, 0 plain | 1 article | 2 removed | 3 named, serial of a named one)
     removed = article = 0
     named: list[tuple[int, bool]] = []          # (serial, named by comment words only) of the open named elements
+    strong: set[int] = set()                    # named elements that only a strong word beside others names
     holds: set[int] = set()                     # named elements that hold an article
     serial = 0
 
@@ -134,7 +159,9 @@ def all_blocks(page: str) -> list[tuple[str, int]]:
         if part:
             text = " ".join(htmllib.unescape("".join(part)).split())
             if text:
-                out.append((text, REMOVED if removed else ARTICLE if article else OPEN, tuple(n for n, _ in named)))
+                holder = next((n for n, _, _ in reversed(stack) if n in _BLOCK or n in _PROSE), "")
+                free = OPEN if holder in _PROSE else BARE
+                out.append((text, REMOVED if removed else ARTICLE if article else free, tuple(n for n, _ in named)))
             part.clear()
 
     at = 0
@@ -191,10 +218,12 @@ def all_blocks(page: str) -> list[tuple[str, int]]:
                 comment = name == "article" and words and words <= _COMMENT_WORD
                 holds.update(n for n, of_comments in named if not (of_comments and (comment or any(e[0] == "article" for e in stack))))
         else:
-            kind = 3 if words else 0
+            kind = 3 if words or (attrs and name not in _HEADING and name not in ("body", "html") and _strong(attrs)) else 0
         if kind:
             flush()
         serial += 1
+        if kind == 3 and not words:
+            strong.add(serial)
         if kind == 3:
             named.append((serial, words <= _COMMENT_WORD))
         stack.append((name, kind, serial))
@@ -203,6 +232,10 @@ def all_blocks(page: str) -> list[tuple[str, int]]:
     if at < len(page):
         part.append(page[at:])
     flush()
+    # an element that holds most of what no other element removes is the page's text, whatever it is called
+    open_ = [(len(t), inside) for t, kind, inside in out if kind != REMOVED and holds.issuperset(n for n in inside if n not in strong)]
+    total = sum(n for n, _ in open_)
+    holds.update(i for i in strong if 2 * sum(n for n, inside in open_ if i in inside) > total)
     return [(t, kind if holds.issuperset(inside) else REMOVED) for t, kind, inside in out]
 
 
@@ -251,7 +284,11 @@ def _stream_batch(min_words: int):
 
     def of_page(page):
         parsed = blocks(page)
-        return [{**r, "open": any(k == OPEN for _, k in parsed[r["pos"]:r["pos"] + r["len"]])} for r in _runs([t for t, _ in parsed], min_words)]
+        article = any(k == ARTICLE for _, k in parsed)
+        out = [{**r, "open": any(k in (OPEN, BARE) for _, k in parsed[r["pos"]:r["pos"] + r["len"]])} for r in _runs([t for t, _ in parsed], min_words)]
+        # short open blocks as wholes; they decide beside an article only
+        return out + [{**r, "open": article} for i, (t, k) in enumerate(parsed) if k in (OPEN, BARE) and t.count(" ") + 1 < min_words
+                      for r in [{**_runs([t], 1)[0], "pos": i}]]
 
     def run(batches):
         for batch in batches:
@@ -265,8 +302,9 @@ def decide(parsed: list[tuple[str, int]], spans: list[dict], min_words: int) ->
     """Kept texts of a page's visible blocks, and the number of open blocks that the host's verdict removed.
 
     ``spans`` are the page's runs that stand on several pages of the host.
+    Beside an article, bare text stays in unique runs of ``min_words`` words only.
     """
-    repeated = {i for s in spans for i in range(s["pos"], s["pos"] + s["len"]) if parsed[i][1] == OPEN}
+    repeated = {i for s in spans for i in range(s["pos"], s["pos"] + s["len"]) if parsed[i][1] != ARTICLE}
     article = any(k == ARTICLE for _, k in parsed)
     out, i = [], 0
     while i < len(parsed):
@@ -275,11 +313,11 @@ def decide(parsed: list[tuple[str, int]], spans: list[dict], min_words: int) ->
             i += 1
             continue
         j = i
-        while j < len(parsed) and parsed[j][1] == OPEN and j not in repeated:
+        while j < len(parsed) and parsed[j][1] != ARTICLE and j not in repeated:
             j += 1
-        unique = [t for t, _ in parsed[i:j]]
-        if not article or sum(t.count(" ") + 1 for t in unique) >= min_words:
-            out += unique
+        unique = parsed[i:j]
+        whole = not article or sum(t.count(" ") + 1 for t, _ in unique) >= min_words
+        out += [t for t, k in unique if whole or k == OPEN]
         i = max(j, i + 1)
     return out, len(repeated)
 

@@ -126,3 +126,32 @@ def test_host_verdict_beside_articles(spark):
     assert got[1] == (f"teaser\n\n{own(1)}", 1) and got[2] == (f"teaser\n\n{own(2)}", 1)
     assert got[3] == (f"{own(3)}\n\n{notice}", 0) and got[4] == (f"{own(4)}\n\n{notice}", 0)     # lines of an article stay
     assert got[8] == (f"teaser\n\n{own(8)}\n\n{notice}\n\nshort", 0)                              # another host
+
+
+STRONG = ["ad-300x250", "adsbygoogle", "advertisement-block-2", "user-comments", "post-comments", "cookie-notice-2", "paywall-notice",
+          "article-footer", "social-media", "related-stories", "signup-cta", "ad", "comments", "cookie-banner", "share"]
+
+
+@pytest.mark.parametrize("token", STRONG)
+def test_strong_words_remove_beside_other_parts(token):
+    body = "the article goes on for a while and says what it has to say"
+    assert texts(f"<article><p>{body}</p><div class='x {token} y'><p>not this</p></div></article>") == [body]
+    assert texts(f"<article><p>{body}</p><section id='{token}'>nor this</section></article>") == [body]
+
+
+@pytest.mark.parametrize("token", ["ad-free-theme", "post-comments-open", "related-content-page", "has-social-bar", "no-ads"])
+def test_strong_words_keep_what_holds_most_of_the_text(token):
+    body = "the article goes on for a while and says what it has to say"
+    assert texts(f"<div class='{token}'><h1>Title</h1><p>{body}</p></div><p>tail</p>") == ["Title", body, "tail"]
+    assert texts(f"<div class='{token}'><article>x</article></div>") == ["x"]
+    assert texts(f"<h2 class='{token}'>a heading stays</h2><p>{body}</p>") == ["a heading stays", body]
+
+
+def test_headings_and_short_paragraphs_beside_articles(spark):
+    pages = {1: "<h1>Short title</h1><article>body one</article><p>Signed: one</p><p>All rights reserved</p><div>42</div>",
+             2: "<h1>Other title</h1><article>body two</article><p>Signed: two</p><p>All rights reserved</p><div>43</div>",
+             3: "<h2 id='related-work'>Related work</h2><article>body three</article>"}
+    d = spark.createDataFrame([(i, "http://h.org/%d" % i, p) for i, p in pages.items()], "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: (r.text, r.removed) for r in html.extract(d, min_words=8).collect()}
+    assert got[1] == ("Short title\n\nbody one\n\nSigned: one", 1) and got[2] == ("Other title\n\nbody two\n\nSigned: two", 1)
+    assert got[3] == ("Related work\n\nbody three", 0)
