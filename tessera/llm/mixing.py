@@ -9,8 +9,11 @@ copies, target / source size. Its fractional part is rounded in pairs: of two
 open documents mass is moved from one to the other, at random but with
 unchanged expectation and unchanged expected words (probabilities weighted by
 the documents' sizes), until one of them is an integer; the other stays open
-and meets the next. A group leaves at most one open document, so the taken
-words of a source miss its target by less than one document.
+and meets the next, largest documents first. A group leaves at most one open
+document. The last one of a source is decided by a coin; the words it then
+takes too many or too few are given back by closed documents of its last group,
+largest first, as far as they fit: a source misses its target by less than the
+smallest document that could be turned there.
 
 The groups form a reduction tree: documents are dealt by hash into groups of
 about ``GROUP`` rows per source, each group is rounded in one task, and the
@@ -107,15 +110,27 @@ def round_pairs(p: np.ndarray, size: np.ndarray, coin: np.ndarray):
     return out, i
 
 
+def give_back(p: np.ndarray, size: np.ndarray, words: float, but: int) -> None:
+    """Turn closed entries, largest first, until the missing ``words`` (negative: too many) are taken, as far as they fit."""
+    to = 1.0 if words > 0 else 0.0
+    left = abs(words)
+    for i in np.lexsort((np.arange(len(p)), -size)).tolist():
+        if i != but and p[i] == 1 - to and size[i] <= left + EPS:
+            p[i] = to
+            left -= size[i]
+
+
 def _round_group(seed: int, last: bool):
     def run(pdf):
-        # neighbours of like size close each other, so the entry left open at the end is a small one
+        # documents of like size meet, so that large ones close each other
         pdf = pdf.sort_values(["size", "h", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         coin = _coin(pdf["h"].to_numpy(np.int64), seed)
-        p, rest = round_pairs(pdf["p"].to_numpy(float), pdf["size"].to_numpy(float), coin)
+        size = pdf["size"].to_numpy(float)
+        p, rest = round_pairs(pdf["p"].to_numpy(float), size, coin)
         if last and rest >= 0:
-            p[rest] = float(_coin(pdf["h"].to_numpy(np.int64)[rest:rest + 1], seed + 1)[0] < p[rest])
-            rest = -1
+            whole = float(_coin(pdf["h"].to_numpy(np.int64)[rest:rest + 1], seed + 1)[0] < p[rest])
+            give_back(p, size, (p[rest] - whole) * size[rest], rest)
+            p[rest], rest = whole, -1
         pdf["p"] = p
         pdf["open"] = False
         if rest >= 0:
@@ -129,20 +144,24 @@ _ROUND = "src long, row long, h long, size long, p double, open boolean"
 
 def dependent_rounding(rows: DataFrame, seed: int = 11, group: int = GROUP) -> DataFrame:
     """(src, row, h, size, p) with 0 < p < 1, size > 0 -> the same rows with p 0 or 1."""
+    many = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(group // 10, 1)).select("h", F.lit(True).alias("hot"))
+    rows = materialise(rows.join(small(materialise(many)), "h", "left")
+                       .withColumn("spread", F.when(F.col("hot"), F.col("row")).otherwise(F.lit(0).cast("long"))).drop("hot"))
     done, level = None, 0
     biggest = rows.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
     biggest = biggest.agg(F.max("n")).first()[0] or 0
     while True:
         groups = -(-biggest // group) or 1
         last = groups == 1
-        cell = F.pmod(F.xxhash64("h", F.lit(seed + level)), F.lit(groups))
+        # rows of one hash (repeated rows, null ids of one size) are dealt by place where they would fill a group
+        cell = F.pmod(F.xxhash64("h", "spread", F.lit(seed + level)), F.lit(groups))
         out = rows.withColumn("cell", cell).groupBy("src", "cell").applyInPandas(_round_group(seed + 7 * level, last), _ROUND)
         out = materialise(out)
         closed = out.where(~F.col("open"))
         done = closed if done is None else done.unionByName(closed)
         if last:
             return done.select("src", "row", "h", "p")
-        rows = out.where("open").select("src", "row", "h", "size", "p")
+        rows = out.where("open").select("src", "row", "h", "size", "p", F.lit(0).cast("long").alias("spread"))
         biggest, level = groups, level + 1
 
 

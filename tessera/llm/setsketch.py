@@ -9,7 +9,8 @@ probability of at least their Jaccard similarity, so the sketch is
 locality-sensitive.
 
 1. Documents with equal sets form one class (128-bit set fingerprint); only
-   classes go on. A class is named by the smallest doc_id of its documents.
+   classes go on. A class is named by a hash of its fingerprint, so two texts
+   that share a doc_id are two classes; they are linked as one document.
 2. Bands of ``r`` registers are hashed; classes sharing a band value are
    candidates. Each bucket links its members to its smallest member (a star,
    not all pairs), the similarity is estimated from both sketches and set
@@ -26,9 +27,10 @@ pairs are dropped unverified only ``errors`` (4.5) of them below the threshold.
 
 Defined results: null or empty texts have the empty set, link with nothing and
 are kept; texts of fewer than k words have their whole word sequence as the
-only element; rows sharing a doc_id are one document; rows with a null doc_id
-take no part in linking (component null, kept). Ties cannot matter: the
-smallest doc_id names a component.
+only element; rows sharing a doc_id are one document, linked with whatever any
+of them is near to; rows with a null doc_id take no part in linking (component
+null, kept). Ties cannot matter: the smallest doc_id names a component. "Full
+sets" are sets of 64-bit shingle fingerprints.
 """
 
 from __future__ import annotations
@@ -150,7 +152,7 @@ def _sets_batch(k: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_id").slice(lo, hi - lo),
                      pa.array([int(s.view(np.uint64).sum(dtype=np.uint64)) for s in sets], pa.uint64()).view(pa.int64()),
-                     pa.array(sets, pa.list_(pa.int64()))], names=["node", "f1", "items"])
+                     pa.array(sets, pa.list_(pa.int64()))], names=["rep", "f1", "items"])
     return run
 
 
@@ -178,17 +180,17 @@ def sketches(docs: DataFrame, *, doc_id: str, text_col: str, k: int) -> DataFram
 
 
 def _full_sets(docs, nodes, doc_id, text_col, k) -> DataFrame:
-    """Shingle sets of the classes named in ``nodes`` (node, f1), from the text of the document that names the class."""
+    """Shingle sets of the classes in ``nodes`` (node, f1, rep), from the text of the class's smallest document ``rep``."""
     src = docs.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
-    src = src.join(nodes.select(F.col("node").alias("_id")), "_id", "left_semi")
-    sets = src.mapInArrow(_sets_batch(k), "node long, f1 long, items array<long>")
-    return sets.join(nodes, ["node", "f1"]).groupBy("node").agg(F.first("items").alias("items"))
+    src = src.join(nodes.select(F.col("rep").alias("_id")), "_id", "left_semi")
+    sets = src.mapInArrow(_sets_batch(k), "rep long, f1 long, items array<long>")
+    return sets.join(nodes, ["rep", "f1"]).groupBy("node").agg(F.first("items").alias("items"))
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs, doc_id, text_col, k, num, den) -> DataFrame:
     """Pairs (u, v) whose full sets satisfy den * |u and v| >= num * |u or v|."""
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    nodes = materialise(classes.select("node", "f1").join(ends, "node"))
+    nodes = materialise(classes.select("node", "f1", "rep").join(ends, "node"))
     sets = materialise(_full_sets(docs, nodes, doc_id, text_col, k))
     j = pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u") \
         .join(sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
@@ -312,7 +314,7 @@ def _cross_links(members, classes, label, floor, docs, doc_id, text_col, k, num,
     # a pair of blocks is one cell: a hot bucket becomes many cells of bounded size
     cells = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     live = materialise(cells.mapInArrow(_open_members(floor), "band long, i int, j int, blk int, pos int, node long"))
-    nodes = materialise(live.select("node").distinct().join(classes.select("node", "f1"), "node"))
+    nodes = materialise(live.select("node").distinct().join(classes.select("node", "f1", "rep"), "node"))
     sets = materialise(_full_sets(docs, nodes, doc_id, text_col, k))
     full = live.join(own, "node").join(sets, "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     return full.mapInArrow(_cell_links(floor, num, den), "u long, v long")
@@ -329,10 +331,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str =
     floor = max(0.0, want - errors * (want * (1 - want) / M) ** 0.5)
     sig = materialise(sketches(docs, doc_id=doc_id, text_col=text_col, k=k))
     live = sig.where((F.col("n") > 0) & F.col("_id").isNotNull())
-    classes = live.groupBy("f1", "f2", "n").agg(F.min("_id").alias("node"), F.first("regs").alias("regs"),
-                                                F.first("bands").alias("bands"))
-    # rows sharing a doc_id are one document: classes with the same name merge
-    classes = materialise(classes)
+    name = F.xxhash64("f1", "f2", "n")
+    classes = materialise(live.groupBy("f1", "f2", "n").agg(F.min("_id").alias("rep"), F.first("regs").alias("regs"),
+                                                            F.first("bands").alias("bands")).withColumn("node", name))
+    # rows sharing a doc_id are one document: their classes are linked
+    shared = materialise(live.groupBy("_id").agg(F.min(name).alias("u"), F.max(name).alias("last")).where("u <> last").select("_id", "u"))
+    same = materialise(live.join(shared, "_id").select("u", name.alias("v")).where("u <> v").distinct())
     bands = classes.select("node", F.posexplode("bands").alias("pos", "band"))
     buckets = materialise(bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
                           .where(F.col("lo") != F.col("hi")))
@@ -342,13 +346,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text_col: str =
     cand = star.join(c.select(F.col("node").alias("u"), F.col("n").alias("n1"), F.col("regs").alias("r1")), "u") \
         .join(c.select(F.col("node").alias("v"), F.col("n").alias("n2"), F.col("regs").alias("r2")), "v")
     pairs = materialise(cand.mapInArrow(_estimate_batch(floor), "u long, v long"))
-    edges = materialise(_verify(pairs, classes, docs, doc_id, text_col, k, num, den))
+    edges = materialise(_verify(pairs, classes, docs, doc_id, text_col, k, num, den).union(same))
     label = materialise(connected_components(edges))
     found = materialise(_cross_links(members.select("band", "pos", "node"), classes, label, floor, docs, doc_id, text_col, k, num, den))
     if not found.isEmpty():
         label = materialise(connected_components(edges.union(found)))
-    own = sig.join(classes.select("f1", "f2", F.col("n"), "node"), ["f1", "f2", "n"], "left") \
-        .join(label, "node", "left")
-    comp = F.when(F.col("_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "node", "_id"))
+    # a component's smallest doc_id names it
+    smallest = classes.select("node", "rep").join(label, "node").groupBy("component").agg(F.min("rep").alias("first"))
+    names = materialise(label.join(smallest, "component").select("node", "first"))
+    own = sig.join(classes.select("f1", "f2", "n", "node", "rep"), ["f1", "f2", "n"], "left").join(names, "node", "left")
+    comp = F.when(F.col("_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("first", "rep", "_id"))
     return own.select(F.col("_id").alias(doc_id), F.col("n").alias("n_shingles"), comp.alias("component_id"),
                       F.coalesce(F.col("_id") == comp, F.lit(True)).alias("kept"))

@@ -87,3 +87,31 @@ def test_targets(spark, sizes):
     want = water(dict(rows))
     for s in want:
         assert got[s] == pytest.approx(want[s])
+
+
+def test_few_documents_of_very_different_sizes(spark, docs_of):
+    """A source's large documents no longer decide how near it comes to its target."""
+    rng = np.random.default_rng(9)
+    rows = [(1000 * s + i, "w " * int(n), f"s{s:02d}") for s in range(6) for i, n in enumerate(np.exp(rng.normal(5, 1.6, 50)).clip(1, 6000))]
+    got = mixing.copies(docs_of(rows)).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r.size
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in taken)
+
+
+@pytest.mark.parametrize("one_id", [True, False])
+def test_repeated_rows_spread_over_groups(spark, docs_of, one_id, monkeypatch):
+    sizes, run = [], mixing._round_group
+
+    def watched(seed, last):
+        inner = run(seed, last)
+        return lambda pdf: inner(pdf).assign(p=float(len(pdf))) if len(pdf) > 400 else inner(pdf)
+    monkeypatch.setattr(mixing, "_round_group", watched)
+    rows = [(1 if one_id else None, "a b c d", "s")] * 2000 + [(i, "e f " * (i % 5 + 1), "t") for i in range(100)]
+    got = mixing.copies(docs_of(rows), group=100).collect()
+    assert len(got) == 2100 and max(r.copies for r in got) <= 2              # a group of 400 rows would have returned its size
+    taken = sum(r.copies * r.size for r in got if r.source == "s")
+    want = next(r.target for r in got if r.source == "s")
+    assert abs(taken - want) <= 4 and not sizes

@@ -146,3 +146,13 @@ def test_repeats_empty_table(spark, docs_of):
     assert repeats.remove_repeats(docs_of([])).count() == 0
     with pytest.raises(ValueError):
         repeats.remove_repeats(docs_of([]), width=100)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_texts_that_share_a_doc_id_lose_no_link(spark, docs_of, parts):
+    """Rows of one id are one document: it joins what any of its texts is near to, and is told by the smallest id."""
+    words = lambda tag, n=60: " ".join(f"{tag}{i}" for i in range(n))
+    a, b = words("a"), words("b")
+    rows = [(5, a), (5, b), (7, b + " more"), (9, a + " more"), (5, words("c")), (11, words("d")), (3, words("c") + " more"), (20, words("e")), (20, "")]
+    got = sorted({(r.doc_id, r.component_id) for r in setsketch.near_duplicates(docs_of(rows, parts), k=3, num=85, den=100).collect()})
+    assert got == [(3, 3), (5, 3), (7, 3), (9, 3), (11, 11), (20, 20)]
