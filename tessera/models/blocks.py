@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,42 +100,39 @@ def pack(df: DataFrame, features="features", label: str = "label", weight_col: s
 def sum_arrays(blocks: DataFrame, work, kind=np.float64) -> np.ndarray:
     """Sum over all blocks of ``work(Block) -> 1-d array`` (of one length); one array per task, added by Spark.
 
-    ``work`` is called in the tasks. No blocks give an empty array.
+    ``work`` is called in the tasks. No blocks give an empty array. A fit asks
+    hundreds of times for a few numbers, so the packed blocks are kept (memory,
+    then disk; from the checkpoint if an executor is lost) and a sum is one bare
+    job: planning a query each time would take longer than the sum itself.
     """
-    import pyarrow as pa
+    if not hasattr(blocks, "_packed"):
+        blocks._packed = blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks._tasks = blocks._packed.getNumPartitions()
 
-    def run(batches):
+    def run(rows):
         total = None
-        for b in blocks_of(batches, kind):
-            s = work(b)
+        for n, x, y, w, fold in rows:
+            s = work(Block(np.frombuffer(x, kind).reshape(n, -1), np.frombuffer(y, np.float64), np.frombuffer(w, np.float64),
+                           np.frombuffer(fold, np.int32)))
             total = s if total is None else total + s
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(total, np.float64).tobytes()], pa.binary())], names=["s"])
+            yield np.ascontiguousarray(total, np.float64)
 
-    part, tasks = blocks.mapInArrow(run, "s binary"), partitions(blocks)
-    while tasks > 64:                                           # many tasks: add in a tree, so the driver gets 64 arrays at most
-        tasks = max(64, tasks // 64)
-        part = part.repartition(tasks).mapInArrow(_add_batch, "s binary")
+    part = blocks._packed.mapPartitions(run)
+    if blocks._tasks > 64:                                      # many tasks: add in a tree
+        return part.treeAggregate(np.zeros(0), _add, _add, depth=2)
     total = np.zeros(0)
-    for r in part.collect():
-        s = np.frombuffer(r[0], np.float64)
-        total = s.copy() if not len(total) else total + s
+    for s in part.collect():
+        total = _add(total, s)
     return total
 
 
-def partitions(df: DataFrame) -> int:
-    """Number of partitions, asked once per frame."""
-    if not hasattr(df, "_n_partitions"):
-        df._n_partitions = df.rdd.getNumPartitions()
-    return df._n_partitions
+def _add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return b.copy() if not len(a) else a if not len(b) else a + b
 
 
-def _add_batch(batches):
-    import pyarrow as pa
-    total = None
-    for batch in batches:
-        for i in range(batch.num_rows):
-            s = np.frombuffer(batch.column("s")[i].as_buffer(), np.float64)
-            total = s.copy() if total is None else total + s
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
+def release(blocks: DataFrame) -> None:
+    """Forget the kept blocks."""
+    if hasattr(blocks, "_packed"):
+        blocks._packed.unpersist()
+        del blocks._packed

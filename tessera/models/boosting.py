@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .base import FitEstimator, StateModel
-from .blocks import blocks_of, features_column, pack, partitions, sum_arrays
+from .blocks import blocks_of, features_column, pack, release, sum_arrays
 
 #: trees between two writings of the margins
 CUT = 10
@@ -516,8 +516,9 @@ def fit_boosting(df: DataFrame, features="features", label: str = "label", *, fo
     state = _binned(blocks, edges, base)
     if s.loss == "huber":
         base = float(order_statistics(state, lambda b: (b.y, np.where(b.fold != out, 0, -1)), 1, 0.5)[0][0])
+        release(state)
         state = _binned(blocks, edges, base)
-    partitions(state)
+    release(blocks)
     trees: list[Tree] = []
     fresh: list[Tree] = []
     gains, history = np.zeros(width), []
@@ -529,7 +530,8 @@ def fit_boosting(df: DataFrame, features="features", label: str = "label", *, fo
 
     for k in range(s.n_estimators):
         if len(fresh) == CUT:
-            grower.state, fresh = _advance(grower.state, fresh), []
+            spent, grower.state, fresh = grower.state, _advance(grower.state, fresh), []
+            release(spent)
         bend = math.inf
         if s.loss == "huber":
             now = list(fresh)
@@ -549,6 +551,7 @@ def fit_boosting(df: DataFrame, features="features", label: str = "label", *, fo
         history.append(a[0] / a[1] if a[1] else None)
     if s.early_stopping and history[0] is not None:
         trees = trees[:int(np.argmin(history[:len(trees) + 1]))]
+    release(grower.state)
     raw = []
     for t in trees:
         cut = np.array([edges[f][c] if f >= 0 else 0.0 for f, c in zip(t.feature, t.cut)])

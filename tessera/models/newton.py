@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import StateModel
-from .blocks import Block, features_column, pack, sum_arrays
+from .blocks import Block, features_column, pack, release, sum_arrays
 from .search import _test_metrics, as_candidates, candidate_id
 
 
@@ -211,7 +211,9 @@ def fit_logistic_batch(df: DataFrame, fits: list[Fit], features="features", labe
     ``fold_col`` holds small integers; a fit with ``fold`` set leaves those rows out.
     """
     blocks = pack(df, features, label, weight_col, fold_col)
-    return fit_blocks(blocks, fits, features, tol, max_iter)
+    out = fit_blocks(blocks, fits, features, tol, max_iter)
+    release(blocks)
+    return out
 
 
 def fit_blocks(blocks: DataFrame, fits: list[Fit], features="features", tol: float = 1e-9, max_iter: int = 60):
@@ -283,6 +285,7 @@ def logistic_grid_search(train: DataFrame, test: DataFrame | None, grid, metric:
     left = [f for f in fits if f.fold is not None]
     rows = [(i // len(folds), f.fold, *[m(*map(float, c)) for m in METRICS.values()], candidate_id(cands[i // len(folds)]))
             for i, (f, c) in enumerate(zip(left, held_out_counts(blocks, left)))]
+    release(blocks)
     at = 2 + list(METRICS).index(metric)
     mean = [(-float(np.mean([r[at] for r in rows if r[0] == i])), i, float(np.std([r[at] for r in rows if r[0] == i]))) for i in range(len(cands))]
     best = min(mean)
