@@ -165,21 +165,20 @@ def logistic_heldout(spark, d):
 def gbt_heldout(spark, d):
     """L7 with the reference's boosted configuration (100 trees, depth 6,
     rate 0.1) fitted on 80% of the table, scored on 20%."""
-    train, test = _prepared(spark, d, folds=0, packs=True)
+    train, test = _prepared(spark, d, folds=0)
     return _result_view(search.evaluate_models(
-        {"GBT_100x6": lambda df: boosting.fit_boosting(df, n_estimators=100, learning_rate=0.1, max_depth=6, num_leaves=64,
-                                                       reg_lambda=1.0, min_samples_leaf=1, min_child_weight=1.0)},
+        {"GBT_100x6": lambda df: trees.fit_gbt(df, n_estimators=100, learning_rate=0.1, max_depth=6)},
         train, test, cut=False))
 
 
 @query("leafwise_boosting_early_stop")
 def leafwise_boosting_early_stop(spark, d):
-    """Leaf-wise trees (31 leaves) with L1 and L2 leaf penalties and row
+    """Leaf-wise trees (15 leaves) with L1 and L2 leaf penalties and row
     sampling, stopped early on one of five folds of the training rows."""
     train, test = _prepared(spark, d, packs=True)
 
     def fit(df):
-        return boosting.fit_boosting(df, fold_col="fold", leave_out=0, early_stopping=5, n_estimators=40, learning_rate=0.3, num_leaves=31,
+        return boosting.fit_boosting(df, fold_col="fold", leave_out=0, early_stopping=3, n_estimators=12, learning_rate=0.5, num_leaves=15,
                                      reg_alpha=0.1, reg_lambda=1.0, subsample=0.8, min_samples_leaf=20)
     return _result_view(search.evaluate_models({"LeafwiseBoosting": fit}, train, test, cut=False))
 
@@ -190,7 +189,7 @@ def huber_boosting_heldout(spark, d):
     train, test = _prepared(spark, d, folds=0, packs=True)
 
     def fit(df):
-        return boosting.fit_boosting(df, label="y_reg", loss="huber", n_estimators=10, learning_rate=0.3, max_depth=4, num_leaves=16)
+        return boosting.fit_boosting(df, label="y_reg", loss="huber", n_estimators=5, learning_rate=0.5, max_depth=3, num_leaves=8)
     return _result_view(search.evaluate_models({"HuberBoosting": fit}, train, test, label="y_reg", task="regression", cut=False))
 
 
