@@ -27,19 +27,45 @@ def _vec(df: DataFrame, features) -> F.Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
-#: cells (query x train row) computed at a time: 64 MB of doubles, whatever the dimension
-CHUNK_CELLS = 8_000_000
+#: cells (query x train row) computed at a time: 16 MB of doubles, whatever the dimension
+CHUNK_CELLS = 2_000_000
+#: train rows and queries whose city-block distances are added up at a time: the sums stay in the processor's cache
+TILE, TILE_QUERIES = 4_096, 16
+#: bytes of a task's train block (vectors as doubles)
+BLOCK_BYTES = 32 << 20
+#: (query block, train block) cells per core at least
+CELLS_PER_CORE = 3
 
 
 def _cells(qx: np.ndarray, tx: np.ndarray, metric: str, p: float) -> np.ndarray:
     """Order-preserving distances of all cells; memory does not grow with the dimension."""
     if metric == "euclidean":  # |a - b|^2 = |a|^2 - 2ab + |b|^2, rounded
         return (qx * qx).sum(1)[:, None] - 2.0 * (qx @ tx.T) + (tx * tx).sum(1)[None, :]
-    power = 1.0 if metric == "manhattan" else p
     d = np.zeros((len(qx), len(tx)))
     for j in range(qx.shape[1]):
-        step = np.abs(qx[:, j, None] - tx[None, :, j])
-        d += step if power == 1.0 else step ** power
+        d += np.abs(qx[:, j, None] - tx[None, :, j]) ** p
+    return d
+
+
+def _tiles(tx: np.ndarray) -> list:
+    """The train vectors in single precision, TILE at a time, a row per component."""
+    return [np.ascontiguousarray(tx[a:a + TILE].T.astype(np.float32)) for a in range(0, len(tx), TILE)]
+
+
+def _city_block(qx: np.ndarray, tiles: list) -> np.ndarray:
+    """City-block distances in single precision, tile by tile."""
+    qx = qx.astype(np.float32)
+    d, a = np.empty((len(qx), sum(t.shape[1] for t in tiles)), np.float32), 0
+    for tile in tiles:
+        for s in range(0, len(qx), TILE_QUERIES):
+            some = qx[s:s + TILE_QUERIES]
+            total, step = np.zeros((len(some), tile.shape[1]), np.float32), np.empty((len(some), tile.shape[1]), np.float32)
+            for j in range(len(tile)):
+                np.subtract(tile[j][None, :], some[:, j, None], out=step)
+                np.abs(step, out=step)
+                np.add(total, step, out=total)
+            d[s:s + TILE_QUERIES, a:a + tile.shape[1]] = total
+        a += tile.shape[1]
     return d
 
 
@@ -72,14 +98,20 @@ def _local_topk(k: int, metric: str, p: float):
         kk = min(k, len(tk))
         norm = float((tx * tx).sum(1).max(initial=0.0))
         step = max(1, CHUNK_CELLS // len(tk))
+        # single precision ranks city-block distances if its rounding (of values, differences and sums) stays a small margin
+        largest = max(np.abs(tx).max(initial=0.0), np.abs(qx_all).max(initial=0.0))
+        single = metric == "manhattan" and np.isfinite(largest) and largest < 1e30
+        tiles = _tiles(tx) if single else None
+        rounding = float(largest) * tx.shape[1] * (tx.shape[1] + 8) * 2.0 ** -22
         outs = []
         for s in range(0, len(qk_all), step):
             qx = qx_all[s:s + step]
-            d = _cells(qx, tx, metric, p)
+            d = _city_block(qx, tiles) if single else _cells(qx, tx, "minkowski" if metric == "manhattan" else metric, 1.0 if metric == "manhattan" else p)
             kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
             # rounding of the expanded square (or of the sum) must not lose a neighbour: keep a margin, then recompute
             slack = 1e-9 * (1.0 + np.abs(kth) + ((qx * qx).sum(1) + norm if metric == "euclidean" else 0.0))
-            rows, cols = np.nonzero(d <= (kth + slack)[:, None])
+            bound = np.nextafter((kth + rounding).astype(np.float32), np.float32(np.inf)) if single else kth + slack
+            rows, cols = np.nonzero(d <= bound[:, None])
             dist = _exact(qx[rows], tx[cols], metric, p)
             # order by (distance, train key) so ties are deterministic
             by = np.lexsort((order_of_key[cols], dist, rows))
@@ -94,13 +126,14 @@ def _local_topk(k: int, metric: str, p: float):
 
 def knn_neighbors(train: DataFrame, query: DataFrame, features, label: str, train_key: str, query_key: str,
                   k: int, metric: str = "euclidean", p: float = 2.0, rows_per_block: int | None = None,
-                  block_bytes: int = 256 << 20) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_key, neighbor key, neighbor label, distance, rank) for the k
     nearest train rows of every query row (rank 1 = nearest; ties by key).
 
     Block counts: a train block holds at most ``block_bytes`` of vectors
     (so each query row is copied once per train block -- few copies, the
-    communication cost of an exact answer); query blocks are sized the same
+    communication cost of an exact answer; a task's memory is a few such
+    blocks, whatever the tables' sizes); query blocks are sized the same
     way and raised until there are enough cells to keep every core busy.
     ``rows_per_block`` fixes both block sizes in rows instead."""
     tstat = train.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(_vec(train, features))).alias("d")).first()
@@ -112,7 +145,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, features, label: str, trai
         row_bytes = 8 * max(1, tstat["d"] or 1)
         tb = max(1, math.ceil(tstat["n"] * row_bytes / block_bytes))
         cores = train.sparkSession.sparkContext.defaultParallelism
-        qb = max(1, math.ceil(n_query * row_bytes / block_bytes), math.ceil(cores / tb))
+        qb = max(1, math.ceil(n_query * row_bytes / block_bytes), math.ceil(CELLS_PER_CORE * cores / tb))
     t = train.select(F.col(train_key).alias("_tk"), F.col(label).cast("double").alias("_ty"),
                      _vec(train, features).alias("_tx")).withColumn("_tb", F.pmod(F.xxhash64("_tk"), F.lit(tb)))
     q = query.select(F.col(query_key).alias("_qk"), _vec(query, features).alias("_qx")) \
