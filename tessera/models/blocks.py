@@ -97,9 +97,19 @@ def pack(df: DataFrame, features="features", label: str = "label", weight_col: s
     return cut_lineage(spread(src).mapInArrow(_pack_batch(rows), SCHEMA))
 
 
-def sum_arrays(blocks: DataFrame, work, kind=np.float64) -> np.ndarray:
+#: numbers that the tasks of a sum may send to the driver one by one
+TO_DRIVER = 100_000
+#: numbers of a slice: the tasks' arrays are added slice by slice
+SLICE = 16_384
+
+
+def sum_arrays(blocks: DataFrame, work, kind=np.float64, size: int = 1) -> np.ndarray:
     """Sum over all blocks of ``work(Block) -> 1-d array`` (of one length); one array per task, added by Spark.
 
+    ``size``: the length of the arrays, if it is large. Arrays of over
+    ``TO_DRIVER`` numbers in all are cut into slices and added in a shuffle, so
+    that one array reaches the driver, whatever the number of tasks.
+
     ``work`` is called in the tasks. No blocks give an empty array. A fit asks
     hundreds of times for a few numbers, so the packed blocks are kept (memory,
     then disk; from the checkpoint if an executor is lost) and a sum is one bare
@@ -119,8 +129,10 @@ def sum_arrays(blocks: DataFrame, work, kind=np.float64) -> np.ndarray:
             yield np.ascontiguousarray(total, np.float64)
 
     part = blocks._packed.mapPartitions(run)
-    if blocks._tasks > 64:                                      # many tasks: add in a tree
-        return part.treeAggregate(np.zeros(0), _add, _add, depth=2)
+    if blocks._tasks > 1 and (blocks._tasks > 64 or blocks._tasks * size > TO_DRIVER):
+        slices = part.flatMap(lambda a: [(i, a[i:i + SLICE]) for i in range(0, len(a), SLICE)])
+        found = dict(slices.reduceByKey(_add, min(blocks._tasks, max(1, -(-size // SLICE)))).collect())
+        return np.concatenate([found[i] for i in sorted(found)]) if found else np.zeros(0)
     total = np.zeros(0)
     for s in part.collect():
         total = _add(total, s)

@@ -305,7 +305,8 @@ class _Grower:
         slot[want] = np.arange(len(want))
         spec = {"settings": self.s, "trees": trees, "partial": partial, "slot_of": slot[order], "slots": len(want), "bins": self.bins,
                 "pairs": pairs, "tree": tree_no, "first": first, "bend": bend, "leave_out": -2 if leave_out is None else leave_out}
-        total = sum_arrays(self.state, lambda b: _count(b, spec), np.uint8)
+        tables = self.width * (self.width + 1) // 2 * self.bins ** 2 if pairs else self.width * self.bins
+        total = sum_arrays(self.state, lambda b: _count(b, spec), np.uint8, 2 + 3 * len(want) * tables)
         self.jobs += 1
         if not len(total):
             raise ValueError("no complete rows to fit on")
@@ -417,7 +418,7 @@ def order_statistics(state: DataFrame, values, groups: int, share: float) -> tup
                 on &= (p >> np.uint64(64 - done)) == known[np.maximum(g, 0)]  # noqa: B023
             digit = ((p[on] >> np.uint64(rest)) & np.uint64((1 << bits) - 1)).astype(np.int64)  # noqa: B023
             return np.bincount(g[on] * (1 << bits) + digit, minlength=groups << bits).astype(np.float64)  # noqa: B023
-        c = sum_arrays(state, count, np.uint8).reshape(groups, 1 << bits)
+        c = sum_arrays(state, count, np.uint8, groups << bits).reshape(groups, 1 << bits)
         if rank is None:
             rows = c.sum(axis=1)
             rank = np.maximum(np.ceil(share * rows - 1e-9), 1)
