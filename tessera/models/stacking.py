@@ -32,14 +32,15 @@ def _kinds(fits: dict, tasks) -> dict:
     return {n: (tasks or {}).get(n, "classification") for n in fits}
 
 
-def out_of_fold(df: DataFrame, fits: dict, fold_col: str = "fold", tasks: dict | None = None) -> DataFrame:
+def out_of_fold(df: DataFrame, fits: dict, fold_col: str = "fold", tasks: dict | None = None, cut: bool = True) -> DataFrame:
     """``df`` with a column per model: its prediction by the fit on the other folds.
 
     ``fits``: name -> fit(train) -> model; ``tasks``: name -> 'classification'
     (score of class 1, the default) or 'regression'. Rows without a fold train
-    in every fit and are not returned. The frame is written once before the fits.
+    in every fit and are not returned. The frame is written once before the fits
+    (``cut=False``: it is written already).
     """
-    kinds, df = _kinds(fits, tasks), cut_lineage(df)
+    kinds, df = _kinds(fits, tasks), cut_lineage(df) if cut else df
     folds = sorted(r[0] for r in df.select(fold_col).distinct().where(F.col(fold_col).isNotNull()).collect())      # k values
     parts = []
     for f in folds:
@@ -73,9 +74,9 @@ def fit_stack(df: DataFrame, fits: dict, meta, fold_col: str = "fold", tasks: di
 
     The second level learns from out-of-fold predictions; the first-level models of the result are refitted on all rows.
     """
-    table = out_of_fold(df, fits, fold_col, tasks)
-    top = meta(table)
-    kinds, rows = _kinds(fits, tasks), cut_lineage(df)
+    rows = cut_lineage(df)                                      # read by the out-of-fold fits and the refits
+    table = out_of_fold(rows, fits, fold_col, tasks, cut=False)
+    top, kinds = meta(table), _kinds(fits, tasks)
     return StackModel(list(fits), [kinds[n] for n in fits], [*(fit(rows) for fit in fits.values()), top]), table
 
 
@@ -134,8 +135,9 @@ class CalibratedModel(StateModel):
 
 def calibrate(df: DataFrame, fit, fold_col: str = "fold", label: str = "label") -> CalibratedModel:
     """The sigmoid learned on out-of-fold scores (probabilities or decision values), the model refitted on all rows."""
-    table = out_of_fold(df, {"_score": fit}, fold_col)
-    return CalibratedModel([fit(cut_lineage(df)), fit_sigmoid(table, "_score", label)])
+    rows = cut_lineage(df)
+    table = out_of_fold(rows, {"_score": fit}, fold_col, cut=False)
+    return CalibratedModel([fit(rows), fit_sigmoid(table, "_score", label)])
 
 
 def calibration_table(df: DataFrame, probability: str = "probability", label: str = "label", bins: int = 10) -> DataFrame:
