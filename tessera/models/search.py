@@ -110,21 +110,27 @@ def refine_grid(best: dict, steps: dict, lower: dict | None = None) -> dict:
     return out
 
 
-def _metrics(scored: DataFrame, task: str, label: str, by) -> DataFrame:
+def _metrics(scored: DataFrame, task: str, label: str, by, weight: str | None = None) -> DataFrame:
     if task == "classification":
-        m = binary_metrics(scored, label, "prediction", by=by)
-        a = roc_auc(scored, label, "score", by=by)
+        m = binary_metrics(scored, label, "prediction", by=by, weight=weight)
+        a = roc_auc(scored, label, "score", by=by, weight=weight)
         return m.join(a, on=by, how="left")
     return regression_metrics(scored, label, "prediction", by=by)
 
 
 def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "label", task: str = "classification",
-                   candidates=None, keep=(), parallelism: int = 1, cut: bool = True) -> DataFrame:
+                   candidates=None, keep=(), parallelism: int = 1, cut: bool = True, weight: str | None = None) -> DataFrame:
     """V8/V9: for every candidate (a dict passed to ``fit(train_df, **params)``)
     and fold f: fit on the other folds, score fold f. Returns one row per
     (candidate, fold) with every metric (accuracy, f1, auc or rmse ...),
-    computed by one aggregate over the union of scored folds."""
+    computed by one aggregate over the union of scored folds. ``weight``
+    (classification) names the column of a counted table (``cells``) that
+    holds how many rows a row stands for."""
     candidates = candidates or [{}]
+    if weight:
+        if task != "classification":
+            raise ValueError("counted rows have metrics for classification only")
+        keep = (*keep, weight)
     if cut:  # every fit iterates over the input: give it a short lineage
         df = cut_lineage(df)
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
@@ -147,12 +153,12 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
         scored = scored.unionByName(p)
     if task == "classification":  # read by the counts and by the AUC
         scored = cut_lineage(scored)
-    return _metrics(scored, task, label, ["candidate", fold_col])
+    return _metrics(scored, task, label, ["candidate", fold_col], weight)
 
 
 def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str = "f1", fold_col: str = "fold",
                 label: str = "label", task: str = "classification", name: str = "model", parallelism: int = 1,
-                higher_is_better: bool = True, cut: bool = True):
+                higher_is_better: bool = True, cut: bool = True, weight: str | None = None):
     """CV over every candidate, pick the best mean ``metric`` (ties ->
     first candidate), refit it on all of ``train`` and measure ``test``.
     Returns (result row dict, per-candidate cv DataFrame, refit model)."""
@@ -160,7 +166,7 @@ def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str
     cands = as_candidates(grid)
     if cut:
         train = cut_lineage(train)
-    cv = cross_validate(fit, train, fold_col, label, task, cands, parallelism=parallelism, cut=False)
+    cv = cross_validate(fit, train, fold_col, label, task, cands, parallelism=parallelism, cut=False, weight=weight)
     summary = cv.groupBy("candidate").agg(F.avg(metric).alias("mean_score"), F.stddev_pop(metric).alias("std_score"))
     sign = -1 if higher_is_better else 1  # one row per candidate; a candidate without a score comes last
     rows = sorted(summary.collect(), key=lambda r: (r["mean_score"] is None, sign * (r["mean_score"] or 0.0), r["candidate"]))
@@ -170,7 +176,7 @@ def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str
     rec = {"model": name, "params": {k: str(v) for k, v in params.items()}, "status": "ok", "metric": metric,
            "cv_mean": None if best["mean_score"] is None else float(best["mean_score"]), "cv_std": float(best["std_score"] or 0.0)}
     if test is not None:
-        rec.update(_test_metrics(model, test, label, task))
+        rec.update(_test_metrics(model, test, label, task, weight))
     rec["time_min"] = (time.time() - t0) / 60.0
     rec["timestamp"] = datetime.now(timezone.utc).isoformat(timespec="seconds")
     cv_table = summary.withColumn("params", F.element_at(
@@ -231,10 +237,10 @@ def _read_log(spark, log: str, keys) -> list:
     return spark.read.schema(_LOG).json(paths).collect() if paths else []
 
 
-def _test_metrics(model, test: DataFrame, label: str, task: str) -> dict:
+def _test_metrics(model, test: DataFrame, label: str, task: str, weight: str | None = None) -> dict:
     if task == "classification":
-        s = score_frame(model, test, keep=[label]).withColumn("_g", F.lit(0))
-        m = _metrics(s, task, label, ["_g"]).first()
+        s = score_frame(model, test, keep=[label, *([weight] if weight else [])]).withColumn("_g", F.lit(0))
+        m = _metrics(s, task, label, ["_g"], weight).first()
         return {"test_accuracy": float(m["accuracy"]), "test_f1": float(m["f1"]),
                 "test_roc_auc": None if m["roc_auc"] is None else float(m["roc_auc"])}
     s = model.transform(test).select(label, F.col("prediction").cast("double")).withColumn("_g", F.lit(0))
@@ -243,7 +249,7 @@ def _test_metrics(model, test: DataFrame, label: str, task: str) -> dict:
 
 
 def evaluate_models(models: dict, train: DataFrame, test: DataFrame, label: str = "label",
-                    task: str = "classification", spark=None, cut: bool = True) -> DataFrame:
+                    task: str = "classification", spark=None, cut: bool = True, weight: str | None = None) -> DataFrame:
     """Fit every named model (``name -> fit(train) -> model``), score
     the test frame, record metrics, elapsed time and timestamp. A failing
     model (or a missing library) becomes a row with status 'error'."""
@@ -256,7 +262,7 @@ def evaluate_models(models: dict, train: DataFrame, test: DataFrame, label: str
         rec = {"model": name, "params": {}, "metric": "f1" if task == "classification" else "rmse"}
         try:
             model = fit(train)
-            rec.update(_test_metrics(model, test, label, task))
+            rec.update(_test_metrics(model, test, label, task, weight))
             rec["status"] = "ok"
         except Exception as e:  # recorded, not raised: the loop goes on
             rec["status"] = "error"

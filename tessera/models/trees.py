@@ -11,11 +11,19 @@ early stopping and Huber loss are in ``boosting``.
 ``min_samples_split`` rewrites a fitted tree: a node with fewer rows becomes a
 leaf. Splits below a node never change those above it, so the result is the
 tree that would not have split the node.
+
+Large tables of few features are counted per cell of their bins first, and
+Spark's learners fit the cells with their row counts as weights (see ``cells``;
+the model bins raw features itself). A forest's trees are then fitted one by
+one, each on its own Poisson draws of the cells' rows. What weights cannot say
+(subsampling of rows in boosting, absolute loss, ``min_samples_leaf`` above
+``LEAST``, a weight column) is fitted row by row.
 """
 
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -25,10 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, spread
+from . import cells
 from .base import FitEstimator, StateModel
 from .linear import balanced_weights
 
 MAX_DEPTH = 30  # Spark's limit; stands in for "no depth limit"
+#: a cell stands for its rows in up to as many parts, so that a leaf's rows are counted right
+LEAST = 32
+#: trees of a forest fitted at once on cells
+AT_ONCE = 4
 
 
 def _tree_params(max_depth=None, min_samples_leaf=1, seed=42, max_bins=32, **extra):
@@ -38,18 +51,32 @@ def _tree_params(max_depth=None, min_samples_leaf=1, seed=42, max_bins=32, **ext
     return p
 
 
-def _collapsed(jvm, node, least: int):
-    """The node with every descendant of fewer than ``least`` rows turned into a leaf (a JVM node)."""
+def _collapsed(jvm, node, least: int, weighed: bool = False):
+    """The node with every descendant of fewer than ``least`` rows turned into a leaf (a JVM node); ``weighed``: its weights are numbers of rows."""
     stats = node.impurityStats()
     if node.getClass().getSimpleName() == "LeafNode":
         return node
-    if stats.rawCount() < least:
+    if (round(stats.count()) if weighed else stats.rawCount()) < least:
         return jvm.org.apache.spark.ml.tree.LeafNode(node.prediction(), node.impurity(), stats)
-    left, right = (_collapsed(jvm, child, least) for child in (node.leftChild(), node.rightChild()))
+    left, right = (_collapsed(jvm, child, least, weighed) for child in (node.leftChild(), node.rightChild()))
     return jvm.org.apache.spark.ml.tree.InternalNode(node.prediction(), node.impurity(), node.gain(), left, right, node.split(), stats)
 
 
-def collapse(model, min_samples_split: int):
+def _java_model(jvm, cls: str, args):
+    """A JVM model of the class named ``cls``."""
+    made = getattr(getattr(jvm.org.apache.spark.ml, "classification" if "Classification" in cls else "regression"), cls.split(".")[-1])
+    return made(*args)
+
+
+def _java_trees(sc, trees: list):
+    kind = trees[0].getClass().getName()
+    out = sc._gateway.new_array(getattr(getattr(sc._jvm.org.apache.spark.ml, kind.split(".")[-2]), kind.split(".")[-1]), len(trees))
+    for i, t in enumerate(trees):
+        out[i] = t
+    return out
+
+
+def collapse(model, min_samples_split: int, weighed: bool = False):
     """A fitted tree or forest whose nodes of fewer than ``min_samples_split`` rows are leaves.
 
     Rows are counted as the fit saw them (in a forest: in each tree's own
@@ -60,23 +87,16 @@ def collapse(model, min_samples_split: int):
     name = j.getClass().getName()
 
     def rebuilt(tree):
-        root = _collapsed(jvm, tree.rootNode(), int(min_samples_split))
+        root = _collapsed(jvm, tree.rootNode(), int(min_samples_split), weighed)
         args = [tree.uid(), root, tree.numFeatures()]
         return args + ([tree.numClasses()] if "Classification" in tree.getClass().getName() else [])
 
-    def make(cls, args):
-        made = getattr(getattr(jvm.org.apache.spark.ml, "classification" if "Classification" in cls else "regression"), cls.split(".")[-1])
-        return made(*args)
     if "RandomForest" in name:
-        old = j.trees()
-        kind = old[0].getClass().getName()
-        trees = sc._gateway.new_array(getattr(getattr(jvm.org.apache.spark.ml, kind.split(".")[-2]), kind.split(".")[-1]), len(old))
-        for i in range(len(old)):
-            trees[i] = make(kind, rebuilt(old[i]))
+        trees = _java_trees(sc, [_java_model(jvm, t.getClass().getName(), rebuilt(t)) for t in j.trees()])
         args = [j.uid(), trees, j.numFeatures()] + ([j.numClasses()] if "Classification" in name else [])
-        new = make(name, args)
+        new = _java_model(jvm, name, args)
     else:
-        new = make(name, rebuilt(j))
+        new = _java_model(jvm, name, rebuilt(j))
     j.copyValues(new, j.extractParamMap())
     return type(model)(new)
 
@@ -86,9 +106,24 @@ def _min_rows(min_samples_split, df: DataFrame) -> int:
     return math.ceil(min_samples_split * df.count()) if isinstance(min_samples_split, float) else int(min_samples_split)
 
 
+def _split_rows(min_samples_split, c: cells.Cells) -> int:
+    return math.ceil(min_samples_split * c.rows) if isinstance(min_samples_split, float) else int(min_samples_split)
+
+
+def _classed(df: DataFrame, label: str) -> DataFrame:
+    """The label with its number of classes noted, so that a draw without the last class has as many."""
+    k = int(df.agg(F.max(label)).first()[0]) + 1
+    return df.withColumn(label, F.col(label).cast("double").alias(label, metadata={"ml_attr": {"type": "nominal", "num_vals": k}}))
+
+
 def fit_tree(df: DataFrame, features="features", label="label", max_depth=None, min_samples_leaf=1, seed=42,
              weight_col=None, min_samples_split=2):
     """Decision tree; ``min_samples_split`` rows (or share of the rows) at least are split."""
+    c = cells.of(df, features, label) if weight_col is None and min_samples_leaf <= LEAST else None
+    if c is not None:
+        est = DecisionTreeClassifier(featuresCol=cells.BINS, labelCol=label, weightCol=cells.ROWS, **_tree_params(max_depth, min_samples_leaf, seed))
+        model, least = est.fit(cells.repeated(c.frame, min_samples_leaf)), _split_rows(min_samples_split, c)
+        return c.model(collapse(model, least, weighed=True) if least > 2 else model)
     est = DecisionTreeClassifier(featuresCol=features, labelCol=label, **_tree_params(max_depth, min_samples_leaf, seed),
                                  **({"weightCol": weight_col} if weight_col else {}))
     model, least = est.fit(df), _min_rows(min_samples_split, df)
@@ -98,6 +133,11 @@ def fit_tree(df: DataFrame, features="features", label="label", max_depth=None,
 def fit_forest(df: DataFrame, features="features", label="label", n_estimators=100, max_depth=None,
                min_samples_leaf=1, balanced=False, seed=42, regression=False, max_features="auto", min_samples_split=2):
     """Random forest classifier / regressor."""
+    countable = min_samples_leaf <= LEAST and (not balanced or regression or min_samples_split == 2)
+    c = cells.of(df, features, label, regression) if countable else None
+    if c is not None:
+        return c.model(_forest_of_cells(c, label, int(n_estimators), balanced and not regression, regression, str(max_features), min_samples_split,
+                                        max_depth, min_samples_leaf, seed))
     weight = None
     if balanced and not regression:
         df, weight = balanced_weights(df, label), "weight"
@@ -110,6 +150,45 @@ def fit_forest(df: DataFrame, features="features", label="label", n_estimators=1
     return collapse(model, least) if least > 2 else model
 
 
+def _forest_of_cells(c: cells.Cells, label: str, n: int, balanced: bool, regression: bool, max_features: str, min_samples_split,
+                     max_depth, min_samples_leaf, seed):
+    """A forest of single trees, each on its own draws of the cells' rows."""
+    frame, share = c.frame, F.lit(1.0)
+    if not regression:
+        frame = _classed(frame, label)
+    if balanced:
+        counts = {r[0]: r[1] for r in frame.groupBy(label).agg(F.sum(cells.ROWS)).collect()}
+        frame, share = balanced_weights(frame, label, "_share", counts), None
+        shares = {r[0]: r[1] for r in frame.select(label, "_share").distinct().collect()}
+        frame = frame.drop("_share")
+        for v, s in shares.items():
+            share = F.when(F.col(label) == v, F.lit(s)) if share is None else share.when(F.col(label) == v, F.lit(s))
+    drawn = cells.bagged(frame, label, n, seed)
+    if not regression:
+        drawn = drawn.withColumn(label, F.col(label).alias(label, metadata=frame.schema[label].metadata))
+    if max_features == "auto" and n > 1:
+        max_features = "onethird" if regression else "sqrt"
+    cls = RandomForestRegressor if regression else RandomForestClassifier
+
+    def one(t):
+        rows = drawn.withColumn(cells.ROWS, F.col("_bag")[t]).where(F.col(cells.ROWS) > 0)
+        rows = cells.repeated(rows, min_samples_leaf).withColumn(cells.ROWS, F.col(cells.ROWS) * share)
+        est = cls(featuresCol=cells.BINS, labelCol=label, weightCol=cells.ROWS, numTrees=1, bootstrap=False, featureSubsetStrategy=max_features,
+                  **_tree_params(max_depth, min_samples_leaf, seed + t))
+        return est.fit(rows.select(cells.BINS, label, cells.ROWS))
+    with ThreadPoolExecutor(AT_ONCE) as ex:
+        models = list(ex.map(one, range(n)))
+    sc, j = SparkContext._active_spark_context, models[0]._java_obj
+    trees = _java_trees(sc, [m._java_obj.trees()[0] for m in models])
+    new = _java_model(sc._jvm, j.getClass().getName(), [j.uid(), trees, j.numFeatures()] + ([] if regression else [j.numClasses()]))
+    j.copyValues(new, j.extractParamMap())
+    new.set(new.getParam("numTrees"), n)
+    new.set(new.getParam("bootstrap"), True)
+    model = type(models[0])(new)
+    least = _split_rows(min_samples_split, c)
+    return collapse(model, least, weighed=True) if least > 2 else model
+
+
 def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100, learning_rate=0.1, max_depth=3,
             subsample=1.0, colsample=None, gamma=None, min_samples_leaf=1, regression=False, loss=None, seed=42,
             max_bins=32):
@@ -125,6 +204,10 @@ def fit_gbt(df: DataFrame, features="features", label="label", n_estimators=100,
         params["lossType"] = loss
     est = cls(featuresCol=features, labelCol=label, maxIter=int(n_estimators), stepSize=float(learning_rate),
               subsamplingRate=float(subsample), **params)
+    c = cells.of(df, features, label, regression, max_bins) if subsample >= 1 and loss != "absolute" and min_samples_leaf <= LEAST else None
+    if c is not None:
+        est = est.copy({est.featuresCol: cells.BINS, est.weightCol: cells.ROWS})
+        return c.model(est.fit(cells.repeated(c.frame, min_samples_leaf).select(cells.BINS, label, cells.ROWS)))
     return est.fit(spread(df.select(features, label)))
 
 
@@ -166,7 +249,10 @@ def fit_adaboost(df: DataFrame, features="features", label="label", n_estimators
     weighted stump, measures its weighted error in one aggregate, and
     re-weights rows with a projection; lineage is cut with a reliable
     checkpoint every ``checkpoint_every`` rounds."""
-    cur = df.select(features, label).withColumn("_w", F.lit(1.0))
+    c = cells.of(df, features, label)
+    if c is not None:
+        df, features = c.frame, cells.BINS
+    cur = df.select(features, label, (F.lit(1.0) if c is None else F.col(cells.ROWS)).alias("_w"))
     stumps, alphas = [], []
     for m in range(int(n_estimators)):
         est = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth,
@@ -198,7 +284,8 @@ def fit_adaboost(df: DataFrame, features="features", label="label", n_estimators
         else:
             cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
         prev.unpersist()
-    return AdaBoostModel(stumps, alphas)
+    model = AdaBoostModel(stumps, alphas)
+    return model if c is None else c.model(model)
 
 
 class RealAdaBoostModel(StateModel):
@@ -243,8 +330,11 @@ def fit_adaboost_real(df: DataFrame, features="features", label="label", n_estim
     exp(-rate (K - 1) / K sum_k code_k log p_k), code 1 for its class and -1 / (K - 1) for the others; weights are kept
     as logarithms, shifted by their maximum (one aggregate a round). A round without errors ends the fit.
     """
+    c = cells.of(df, features, label)
+    if c is not None:
+        df, features, checkpoint_every = c.frame, cells.BINS, 1     # cells are soon written
     k = n_classes or int(df.agg(F.max(label)).first()[0]) + 1
-    cur = df.select(features, F.col(label).cast("double").alias(label)).withColumn("_lw", F.lit(0.0))
+    cur = df.select(features, F.col(label).cast("double").alias(label), (F.lit(0.0) if c is None else F.log(cells.ROWS)).alias("_lw"))
     parts = []
     for m in range(int(n_estimators)):
         weighed = cur.withColumn("_w", F.exp("_lw"))
@@ -264,7 +354,8 @@ def fit_adaboost_real(df: DataFrame, features="features", label="label", n_estim
         cur = moved.select(features, label, (F.col("_lw") - F.lit(st["top"])).alias("_lw"))
         if (m + 1) % checkpoint_every == 0:
             cur = cut_lineage(cur)
-    return RealAdaBoostModel(parts, k)
+    model = RealAdaBoostModel(parts, k)
+    return model if c is None else c.model(model)
 
 
 class AdaBoost(FitEstimator):

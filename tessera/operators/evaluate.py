@@ -19,10 +19,15 @@ def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def _counts(label, pred):
+def _number(cond, weight: str | None = None):
+    """Rows for which ``cond`` holds; with ``weight``, a column of row numbers, the rows they stand for."""
+    return F.count_if(cond) if weight is None else F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("long")
+
+
+def _counts(label, pred, weight=None):
     y, p = F.col(label), F.col(pred)
-    return [F.count_if((y == 1) & (p == 1)).alias("tp"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-            F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 0) & (p == 0)).alias("tn")]
+    return [_number((y == 1) & (p == 1), weight).alias("tp"), _number((y == 0) & (p == 1), weight).alias("fp"),
+            _number((y == 1) & (p == 0), weight).alias("fn"), _number((y == 0) & (p == 0), weight).alias("tn")]
 
 
 def f1_expr(tp="tp", fp="fp", fn="fn"):
@@ -31,9 +36,10 @@ def f1_expr(tp="tp", fp="fp", fn="fn"):
     return F.when(den == 0, F.lit(0.0)).otherwise(2 * F.col(tp) / den)
 
 
-def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", by=()) -> DataFrame:
-    """V1 + V2 (+ precision, recall) per ``by`` group in one aggregate."""
-    g = df.groupBy(*_as_list(by)).agg(F.count(F.lit(1)).alias("n"), *_counts(label, pred))
+def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", by=(), weight: str | None = None) -> DataFrame:
+    """V1 + V2 (+ precision, recall) per ``by`` group in one aggregate; ``weight``: the number of rows a row stands for."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    g = df.groupBy(*_as_list(by)).agg(n.alias("n"), *_counts(label, pred, weight))
     return g.select(*_as_list(by), "n", "tp", "fp", "fn", "tn",
                     ((F.col("tp") + F.col("tn")) / F.col("n")).alias("accuracy"),
                     f1_expr().alias("f1"),
@@ -52,14 +58,14 @@ def f1(df: DataFrame, label="label", pred="prediction", by=()) -> DataFrame:
     return binary_metrics(df, label, pred, by).select(*_as_list(by), "f1")
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by=()) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by=(), weight: str | None = None) -> DataFrame:
     """V3: ROC-AUC with ties counted one half (= Mann-Whitney U / (P N)).
 
     Per distinct score: positives p_s and negatives q_s. AUC =
     sum_s p_s * (negatives below s + q_s / 2) / (P N); NULL with one class."""
     by = _as_list(by)
     g = df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_q"))
+        _number(F.col(label) == 1, weight).alias("_p"), _number(F.col(label) == 0, weight).alias("_q"))
     c = running_sum(g, "_s", ["_q"], partition=by)
     contrib = F.col("_p") * (F.col("_q_cum") - F.col("_q") + F.col("_q") / 2.0)
     a = c.groupBy(*by).agg(F.sum(contrib).alias("_u"), F.sum("_p").alias("_P"), F.sum("_q").alias("_N"))

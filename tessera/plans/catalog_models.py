@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import minmax_score
-from ..models import bayes, boosting, knn, linear, newton, search, stacking, trees
+from ..models import bayes, boosting, cells, knn, linear, newton, search, stacking, trees
 from ..models.score import feature_importance, predict_values, score
 from ..operators import encode, ensemble, evaluate, sampling
 from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, round_doubles, table
@@ -106,14 +106,16 @@ def logistic_grid_search(spark, d):
 @query("random_search_forest")
 def random_search_forest(spark, d):
     """V11 + L6: 3 random candidates of a forest grid, 3 folds."""
-    train, test = _prepared(spark, d, folds=3)
+    train, test = _prepared(spark, d, folds=3, packs=True)
+    train, test, weight = cells.counted(train, test, keep=["fold"])
     grid = {"n_estimators": [10, 30], "max_depth": [4, 8], "min_samples_leaf": [1, 5]}
     cands = search.random_candidates(grid, 3, SEED)
 
     def fit(df, **p):
         return trees.fit_forest(df, balanced=True, **p)
 
-    rec, cv, _ = search.grid_search(fit, train, test, cands, metric="roc_auc", name="RandomForest", parallelism=4, cut=False)
+    rec, cv, _ = search.grid_search(fit, train, test, cands, metric="roc_auc", name="RandomForest", parallelism=4, cut=False,
+                                     weight=weight)
     return _result_view(search.results_frame(spark, [rec]))
 
 
@@ -165,10 +167,11 @@ def logistic_heldout(spark, d):
 def gbt_heldout(spark, d):
     """L7 with the reference's boosted configuration (100 trees, depth 6,
     rate 0.1) fitted on 80% of the table, scored on 20%."""
-    train, test = _prepared(spark, d, folds=0)
+    train, test = _prepared(spark, d, folds=0, packs=True)
+    train, test, weight = cells.counted(train, test)
     return _result_view(search.evaluate_models(
         {"GBT_100x6": lambda df: trees.fit_gbt(df, n_estimators=100, learning_rate=0.1, max_depth=6)},
-        train, test, cut=False))
+        train, test, cut=False, weight=weight))
 
 
 @query("leafwise_boosting_early_stop")
@@ -302,7 +305,8 @@ def in_fold_scaling_lasso_cv(spark, d):
 @query("forest_feature_importance")
 def forest_feature_importance(spark, d):
     """Forest importances, sorted, top 20 (here: all 4 features)."""
-    train, _ = _prepared(spark, d)
+    train, _ = _prepared(spark, d, packs=True)
+    train, _, _ = cells.counted(train)
     rf = trees.fit_forest(train.drop("fold"), n_estimators=30, max_depth=6)
     return round_doubles(feature_importance(rf, MODEL_FEATURES, 20, spark), 4)
 
@@ -310,8 +314,9 @@ def forest_feature_importance(spark, d):
 @query("adaboost_cv_multi_metric")
 def adaboost_cv_multi_metric(spark, d):
     """L8 inside 3-fold CV with accuracy and AUC from one aggregate (V9)."""
-    train, _ = _prepared(spark, d, folds=3)
-    cv = search.cross_validate(lambda df: trees.fit_adaboost(df, n_estimators=10), train, cut=False, parallelism=3)
+    train, _ = _prepared(spark, d, folds=3, packs=True)
+    train, _, weight = cells.counted(train, keep=["fold"])
+    cv = search.cross_validate(lambda df: trees.fit_adaboost(df, n_estimators=10), train, cut=False, parallelism=3, weight=weight)
     return round_doubles(cv.select("fold", "accuracy", "f1", "roc_auc"), 4)
 
 
@@ -327,11 +332,12 @@ def svc_l1_grid_search(spark, d):
 @query("tree_variants_heldout")
 def tree_variants_heldout(spark, d):
     """L5 and L6 with a minimum split size, L8 as SAMME.R."""
-    train, test = _prepared(spark, d, folds=0)
+    train, test = _prepared(spark, d, folds=0, packs=True)
+    train, test, weight = cells.counted(train, test)
     return _result_view(search.evaluate_models({
         "DecisionTree": lambda df: trees.fit_tree(df, max_depth=8, min_samples_split=0.01),
         "RandomForest": lambda df: trees.fit_forest(df, n_estimators=10, max_depth=8, min_samples_split=500),
-        "AdaBoostReal": lambda df: trees.fit_adaboost_real(df, n_estimators=8, n_classes=2)}, train, test, cut=False))
+        "AdaBoostReal": lambda df: trees.fit_adaboost_real(df, n_estimators=8, n_classes=2)}, train, test, cut=False, weight=weight))
 
 
 @query("calibrated_svc_table")
