@@ -81,6 +81,13 @@ def _prepared(spark, d, folds=5, packs=False):
     return prep.prepare(train) if packs else cut_lineage(spread(prep.prepare(train))), prep.prepare(test)
 
 
+def _prepared_cells(spark, d, folds=0):
+    """``_prepared`` for fits of trees alone: (train, test, weight), counted per cell if the table is large (no second copy of the rows is written)."""
+    train, test = _prepared(spark, d, folds, packs=True)
+    a, b, weight = cells.counted(train, test, keep=["fold"] if folds else [])
+    return (a, b, weight) if weight else (cut_lineage(spread(train)), test, None)
+
+
 def _result_view(res):
     """The result rows; a fit that failed fails the query."""
     broken = res.where("status = 'error'").select("model", "error").first()  # one row per model
@@ -106,8 +113,7 @@ def logistic_grid_search(spark, d):
 @query("random_search_forest")
 def random_search_forest(spark, d):
     """V11 + L6: 3 random candidates of a forest grid, 3 folds."""
-    train, test = _prepared(spark, d, folds=3, packs=True)
-    train, test, weight = cells.counted(train, test, keep=["fold"])
+    train, test, weight = _prepared_cells(spark, d, folds=3)
     grid = {"n_estimators": [10, 30], "max_depth": [4, 8], "min_samples_leaf": [1, 5]}
     cands = search.random_candidates(grid, 3, SEED)
 
@@ -167,8 +173,7 @@ def logistic_heldout(spark, d):
 def gbt_heldout(spark, d):
     """L7 with the reference's boosted configuration (100 trees, depth 6,
     rate 0.1) fitted on 80% of the table, scored on 20%."""
-    train, test = _prepared(spark, d, folds=0, packs=True)
-    train, test, weight = cells.counted(train, test)
+    train, test, weight = _prepared_cells(spark, d)
     return _result_view(search.evaluate_models(
         {"GBT_100x6": lambda df: trees.fit_gbt(df, n_estimators=100, learning_rate=0.1, max_depth=6)},
         train, test, cut=False, weight=weight))
@@ -305,8 +310,7 @@ def in_fold_scaling_lasso_cv(spark, d):
 @query("forest_feature_importance")
 def forest_feature_importance(spark, d):
     """Forest importances, sorted, top 20 (here: all 4 features)."""
-    train, _ = _prepared(spark, d, packs=True)
-    train, _, _ = cells.counted(train)
+    train, _, _ = _prepared_cells(spark, d, folds=5)
     rf = trees.fit_forest(train.drop("fold"), n_estimators=30, max_depth=6)
     return round_doubles(feature_importance(rf, MODEL_FEATURES, 20, spark), 4)
 
@@ -314,8 +318,7 @@ def forest_feature_importance(spark, d):
 @query("adaboost_cv_multi_metric")
 def adaboost_cv_multi_metric(spark, d):
     """L8 inside 3-fold CV with accuracy and AUC from one aggregate (V9)."""
-    train, _ = _prepared(spark, d, folds=3, packs=True)
-    train, _, weight = cells.counted(train, keep=["fold"])
+    train, _, weight = _prepared_cells(spark, d, folds=3)
     cv = search.cross_validate(lambda df: trees.fit_adaboost(df, n_estimators=10), train, cut=False, parallelism=3, weight=weight)
     return round_doubles(cv.select("fold", "accuracy", "f1", "roc_auc"), 4)
 
@@ -332,8 +335,7 @@ def svc_l1_grid_search(spark, d):
 @query("tree_variants_heldout")
 def tree_variants_heldout(spark, d):
     """L5 and L6 with a minimum split size, L8 as SAMME.R."""
-    train, test = _prepared(spark, d, folds=0, packs=True)
-    train, test, weight = cells.counted(train, test)
+    train, test, weight = _prepared_cells(spark, d)
     return _result_view(search.evaluate_models({
         "DecisionTree": lambda df: trees.fit_tree(df, max_depth=8, min_samples_split=0.01),
         "RandomForest": lambda df: trees.fit_forest(df, n_estimators=10, max_depth=8, min_samples_split=500),
