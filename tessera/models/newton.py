@@ -58,26 +58,47 @@ def _pair_index(d: int):
     return np.triu_indices(d)
 
 
+#: cells (rows x fits) of one step of a sum: its arrays stay in a core's cache
+CELLS = 32_768
+
+
+def _pieces(block: Block, fits: int):
+    """Rows of one fold and class, in pieces of about ``CELLS`` rows x fits: (fold, class, Block)."""
+    n, code = max(256, CELLS // max(fits, 1)), block.fold.astype(np.int64) * 2 + (block.y > 0)
+    order = np.argsort(code, kind="stable")
+    keys, starts = np.unique(code[order], return_index=True)
+    for k, lo, hi in zip(keys.tolist(), starts, [*starts[1:], len(order)]):
+        for i in range(lo, hi, n):
+            at = order[i:min(i + n, hi)]
+            yield k >> 1, k & 1, Block(block.x[at], block.y[at], block.w[at], block.fold[at])
+
+
 def _sums(block: Block, coefs: np.ndarray, folds: np.ndarray, class_weights: np.ndarray, hinge: bool = False) -> np.ndarray:
-    """Per fit: loss, gradient, upper triangle of the Hessian, over the rows it trains on."""
-    x = np.column_stack([block.x, np.ones(len(block.y))])
-    z = x @ coefs.T
-    y = (block.y > 0)[:, None]
-    w = block.w[:, None] * np.where(y, class_weights[:, 1], class_weights[:, 0])
-    w = np.where(block.fold[:, None] == folds[None, :], 0.0, w)
-    m = np.where(y, z, -z)                                      # the signed margin
-    i, j = _pair_index(x.shape[1])
-    if hinge:
-        short = np.maximum(1 - m, 0)
-        loss = (w * short ** 2).sum(axis=0)
-        grad = (-2 * w * short * np.where(y, 1.0, -1.0)).T @ x
-        hess = (2 * w * (short > 0)).T @ (x[:, i] * x[:, j])
-    else:
-        p = 0.5 * (1 + np.tanh(0.5 * z))
-        loss = (w * (np.maximum(-m, 0) + np.log1p(np.exp(-np.abs(m))))).sum(axis=0)        # log(1 + exp(-m))
-        grad = (w * (p - y)).T @ x
-        hess = (w * p * (1 - p)).T @ (x[:, i] * x[:, j])
-    return np.concatenate([loss[:, None], grad, hess], axis=1).ravel()
+    """Per fit: loss, gradient, upper triangle of the Hessian, over the rows it trains on.
+
+    Rows come by fold and class, so a fit that leaves the fold out is not computed at all and a class weight multiplies sums, not rows.
+    """
+    i, j = _pair_index(coefs.shape[1])
+    out = np.zeros((len(coefs), 1 + coefs.shape[1] + len(i)))
+    for fold, cls, b in _pieces(block, len(coefs)):
+        on = folds != fold
+        if not on.any():
+            continue
+        x, w = np.column_stack([b.x, np.ones(len(b.y))]) * (1.0 if cls else -1.0), b.w[:, None]
+        m = x @ coefs[on].T                                     # the signed margin
+        if hinge:
+            short = np.maximum(1 - m, 0)
+            ws = w * short
+            loss, grad = np.einsum("ij,ij->j", ws, short), -2 * (ws.T @ x)
+            hess = 2 * ((w * (short > 0)).T @ (x[:, i] * x[:, j]))
+        else:
+            t = np.exp(-np.abs(m))
+            p = np.where(m > 0, t, 1.0) / (1 + t)               # probability of the other class
+            loss = (w * (np.maximum(-m, 0) + np.log(1 + t))).sum(axis=0)      # log(1 + exp(-m))
+            wp = w * p
+            grad, hess = -(wp.T @ x), (wp * (1 - p)).T @ (x[:, i] * x[:, j])
+        out[on] += class_weights[on, cls][:, None] * np.concatenate([loss[:, None], grad, hess], axis=1)
+    return out.ravel()
 
 
 def _held(f: Fit, d: int) -> np.ndarray:
@@ -253,10 +274,14 @@ def held_out_counts(blocks: DataFrame, fits: list[Fit]) -> np.ndarray:
     coefs = np.stack([f.w for f in fits])
     folds = np.array([f.fold for f in fits])
 
-    def count(b: Block) -> np.ndarray:
-        hit = (np.column_stack([b.x, np.ones(len(b.y))]) @ coefs.T) > 0
-        mine, y = b.fold[:, None] == folds[None, :], (b.y > 0)[:, None]
-        return np.concatenate([(mine & p & t).sum(axis=0) for p, t in ((hit, y), (hit, ~y), (~hit, y), (~hit, ~y))]).astype(np.float64)
+    def count(block: Block) -> np.ndarray:
+        out = np.zeros((4, len(fits)))
+        for fold, cls, b in _pieces(block, len(fits)):
+            mine = folds == fold
+            hit = ((np.column_stack([b.x, np.ones(len(b.y))]) @ coefs[mine].T) > 0).sum(axis=0)
+            out[0 if cls else 1, mine] += hit
+            out[2 if cls else 3, mine] += len(b.y) - hit
+        return out.ravel()
     return sum_arrays(blocks, count).reshape(4, len(fits)).T
 
 
@@ -269,23 +294,29 @@ METRICS = {"accuracy": lambda tp, fp, fn, tn: _ratio(tp + tn, tp + fp + fn + tn)
 
 
 def logistic_grid_search(train: DataFrame, test: DataFrame | None, grid, metric: str = "f1", fold_col: str = "fold", features="features",
-                         label: str = "label", balanced: bool = False, name: str = "LogisticRegression", loss: str = "logistic"):
+                         label: str = "label", balanced: bool = False, name: str = "LogisticRegression", loss: str = "logistic",
+                         blocks: DataFrame | None = None):
     """V10 for L1 (and, with ``loss='squared_hinge'``, for L2): (record as of ``search.grid_search``, DataFrame (candidate, fold, metrics, params), model of the best candidate).
 
     All candidates on all folds and on all rows are one batch of Newton fits;
     one more aggregate counts the held-out confusions. The best mean
-    ``metric`` (of METRICS) wins, ties go to the first candidate.
+    ``metric`` (of METRICS) wins, ties go to the first candidate. ``blocks``:
+    the packed ``train`` of a caller that searches it more than once (and
+    releases it).
     """
     t0 = time.time()
     cands = as_candidates(grid)
-    blocks = pack(train, features, label, None, fold_col)
+    own = blocks is None
+    if own:
+        blocks = pack(train, features, label, None, fold_col)
     folds = sorted(int(r[0]) for r in train.select(fold_col).distinct().collect() if r[0] is not None)      # k values
     fits = [Fit(**{"balanced": balanced, "loss": loss, **c}, fold=f) for c in cands for f in (*folds, None)]
     models, jobs = fit_blocks(blocks, fits, features)
     left = [f for f in fits if f.fold is not None]
     rows = [(i // len(folds), f.fold, *[m(*map(float, c)) for m in METRICS.values()], candidate_id(cands[i // len(folds)]))
             for i, (f, c) in enumerate(zip(left, held_out_counts(blocks, left)))]
-    release(blocks)
+    if own:
+        release(blocks)
     at = 2 + list(METRICS).index(metric)
     mean = [(-float(np.mean([r[at] for r in rows if r[0] == i])), i, float(np.std([r[at] for r in rows if r[0] == i]))) for i in range(len(cands))]
     best = min(mean)

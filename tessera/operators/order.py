@@ -34,6 +34,8 @@ HASH_SEP = ":"
 ROWS_PER_RANGE = 1_000_000
 #: rows of an offset table (a few numbers each) that may be broadcast
 BROADCAST_ROWS = 500_000
+#: numbers of buckets that may become literals of a filter
+TORN = 200
 
 
 def hash_hex(key: Column | str, seed) -> Column:
@@ -46,16 +48,16 @@ def hash_hex(key: Column | str, seed) -> Column:
 def _hash_buckets(df: DataFrame, key: str, seed, digits: int) -> DataFrame:
     """The md5 order as numbers: ``_hb`` = first ``digits`` hex digits, then
     the remaining digits as two numbers (<= 15 hex digits each, so no
-    overflow); (_hb, _h1, _h2) orders exactly like the 32-char hex text, and
-    numbers sort much faster than strings. A NULL key hashes like an empty
-    one: its rows keep a rank."""
+    overflow of a long; only 1 digit leaves 16, a decimal); (_hb, _h1, _h2)
+    orders exactly like the 32-char hex text, and numbers sort much faster than
+    strings. A NULL key hashes like an empty one: its rows keep a rank."""
     h = hash_hex(F.coalesce(F.col(key).cast("string"), F.lit("")), seed)
     rest = 32 - digits
     n1 = min(15, rest)
     return df.withColumn("_h", h).select(
         "*", F.conv(F.substring("_h", 1, digits), 16, 10).cast("int").alias("_hb"),
         F.conv(F.substring("_h", digits + 1, n1), 16, 10).cast("long").alias("_h1"),
-        F.conv(F.substring("_h", digits + 1 + n1, rest - n1), 16, 10).cast("decimal(20,0)").alias("_h2")
+        F.conv(F.substring("_h", digits + 1 + n1, rest - n1), 16, 10).cast("long" if rest - n1 <= 15 else "decimal(20,0)").alias("_h2")
     ).drop("_h")
 
 
@@ -77,9 +79,10 @@ def hash_rank(df: DataFrame, key: str, seed, strata=(), out: str = "_rank",
     """
     strata = [strata] if isinstance(strata, str) else list(strata)
     d = _hash_buckets(df, key, seed, digits)
-    off = _bucket_offsets(d, strata).drop("_hn")
-    joined = join_null_safe(d, off, [*strata, "_hb"])  # a NULL stratum is a stratum
-    inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
+    off = cut_lineage(_bucket_offsets(d, strata).drop("_hn"))
+    hint = F.broadcast if off.count() <= BROADCAST_ROWS else (lambda x: x)  # the rows are shuffled once, for the window
+    joined = join_null_safe(d, hint(off), [*strata, "_hb"])  # a NULL stratum is a stratum
+    inner = Window.partitionBy("_hb", *strata).orderBy("_h1", "_h2", key)  # a sort compares the first column fastest
     return joined.withColumn(out, (F.col("_hoff") + F.row_number().over(inner)).cast("long")) \
         .drop("_h1", "_h2", "_hb", "_hoff")
 
@@ -88,7 +91,8 @@ def hash_head(df: DataFrame, key: str, seed, quota, strata=(), out: str = "_head
     """Add ``out``: is the row among the first ``quota`` of its stratum in md5
     order? Same rows as ``hash_rank`` <= quota, without moving the table.
 
-    ``quota``: a Column over ``_n_stratum``, or a frame (strata, ``_quota``).
+    ``quota``: a Column over ``_n_stratum``, or a function from the frame
+    (strata, ``_nc`` = rows) to a frame (strata, ``_quota``).
     Bucket counts alone decide every bucket but the one the quota falls into;
     only that bucket's rows (one in 16^digits) are ranked by a window. The
     offset table is broadcast after its size is checked, so the wide rows
@@ -96,15 +100,24 @@ def hash_head(df: DataFrame, key: str, seed, quota, strata=(), out: str = "_head
     strata = [strata] if isinstance(strata, str) else list(strata)
     d = _hash_buckets(df, key, seed, digits)
     off = _bucket_offsets(d, strata)
-    off = join_null_safe(off, quota, strata, "left") if isinstance(quota, DataFrame) else off.withColumn("_quota", quota)
+    if callable(quota):  # the bucket counts give the strata's sizes: no scan of its own
+        off = cut_lineage(off)
+        off = join_null_safe(off, quota(off.groupBy(*strata).agg(F.sum("_hn").alias("_nc"))), strata, "left")
+    else:
+        off = off.withColumn("_quota", quota)
     need = F.col("_quota") - F.col("_hoff")
     off = cut_lineage(off.select(*strata, "_hb", F.when(need >= F.col("_hn"), 1).when(need <= 0, 0).otherwise(2).alias("_state"),
                                  need.alias("_need")))
     hint = F.broadcast if off.count() <= BROADCAST_ROWS else (lambda x: x)
     j = join_null_safe(d, hint(off), [*strata, "_hb"])
-    inner = Window.partitionBy(*strata, "_hb").orderBy("_h1", "_h2", key)
+    inner = Window.partitionBy("_hb", *strata).orderBy("_h1", "_h2", key)
     sure = j.where(F.col("_state") < 2).withColumn(out, F.col("_state") == 1)
-    torn = j.where(F.col("_state") == 2).withColumn(out, F.row_number().over(inner) <= F.col("_need"))
+    cut = [r[0] for r in off.where("_state = 2").select("_hb").distinct().limit(TORN + 1).collect()]
+    if len(cut) <= TORN:  # the bucket alone, a literal, leaves few rows before any other column is computed
+        torn = join_null_safe(d.where(F.col("_hb").isin(cut)), hint(off), [*strata, "_hb"])
+    else:
+        torn = j
+    torn = torn.where(F.col("_state") == 2).withColumn(out, F.row_number().over(inner) <= F.col("_need"))
     return sure.unionByName(torn).drop("_h1", "_h2", "_hb", "_state", "_need")
 
 

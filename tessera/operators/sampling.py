@@ -94,14 +94,17 @@ def train_test_split(df: DataFrame, test_size, seed, key: str, stratify: str | N
     if stratify is None:
         r = hash_head(df, key, seed, _quota_size(F.col("_n_stratum"), test_size), out="_r")
     else:
-        r = hash_head(df, key, seed, class_quotas(df, stratify, test_size), strata=[stratify], out="_r")
+        r = hash_head(df, key, seed, lambda cnt: _quotas(cnt, stratify, test_size), strata=[stratify], out="_r")
     return r.withColumn(tag, F.when(F.col("_r"), "test").otherwise("train")).drop("_r")
 
 
 def class_quotas(df: DataFrame, label: str, size) -> DataFrame:
     """(label, _quota) test rows per class by largest remainder. One row per
     class (a class column is low-cardinality by definition)."""
-    cnt = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
+    return _quotas(df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")), label, size)
+
+
+def _quotas(cnt: DataFrame, label: str, size) -> DataFrame:
     tot = Window.partitionBy()
     n = F.sum("_nc").over(tot)
     t = _quota_size(n, size)

@@ -70,12 +70,16 @@ def _prepared(spark, d, folds=5, packs=False):
     only, stratified folds on train when asked, features assembled. One
     checkpoint (two with folds): what follows it is a projection with the
     scaling as literals, so the fits iterate over a short plan. ``packs``:
-    the fits pack their rows themselves, no second copy is written."""
+    the fits pack their rows themselves, no second copy is written, and the
+    copies hold the features and the label only (beside the key that splits)."""
     m = model_frame(spark, d)
+    if packs:
+        m = m.select("rid", *MODEL_FEATURES, "label")
     s = cut_lineage(sampling.train_test_split(m, 0.2, SEED, "rid", stratify="label"))
     train, test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
     if folds:
-        train = cut_lineage(sampling.assign_folds(train, folds, "rid", "stratified", SEED, label="label"))
+        train = sampling.assign_folds(train, folds, "rid", "stratified", SEED, label="label")
+        train = cut_lineage(train.drop("rid") if packs else train)
     stats = encode.fit_standard(train, MODEL_FEATURES).first().asDict()  # one row
     prep = encode.ScaledModel(None, stats, MODEL_FEATURES)
     return prep.prepare(train) if packs else cut_lineage(spread(prep.prepare(train))), prep.prepare(test)
