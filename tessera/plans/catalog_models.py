@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.scalar import minmax_score
-from ..models import bayes, boosting, cells, knn, linear, newton, search, stacking, trees
+from ..models import bayes, blocks, boosting, cells, knn, linear, moments, newton, search, stacking, trees
 from ..models.score import feature_importance, predict_values, score
 from ..operators import encode, ensemble, evaluate, sampling
 from .frames import MODEL_FEATURES, MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, round_doubles, table
@@ -131,17 +131,14 @@ def random_search_forest(spark, d):
 
 @query("coarse_to_fine_logistic")
 def coarse_to_fine_logistic(spark, d):
-    """A second LR grid around the best C of a first one."""
-    train, test = _prepared(spark, d, folds=3)
-
-    def fit(df, C):
-        return linear.fit_logistic(df, C=C)
-
-    rec1, _, _ = search.grid_search(fit, train, None, {"C": [0.01, 1.0, 100.0]}, name="LR coarse", parallelism=3,
-                                    cut=False)
+    """A second LR grid around the best C of a first one; each grid's candidates and folds are one batch of Newton fits on the same blocks."""
+    train, test = _prepared(spark, d, folds=3, packs=True)
+    packed = blocks.pack(train, fold_col="fold")
+    rec1, _, _ = newton.logistic_grid_search(train, None, {"C": [0.01, 1.0, 100.0]}, name="LR coarse", blocks=packed)
     best_c = float(rec1["params"]["C"])
     fine = search.refine_grid({"C": best_c}, {"C": best_c / 2}, lower={"C": 0})
-    rec2, _, _ = search.grid_search(fit, train, test, fine, name="LR fine", parallelism=3, cut=False)
+    rec2, _, _ = newton.logistic_grid_search(train, test, fine, name="LR fine", blocks=packed)
+    blocks.release(packed)
     return _result_view(search.results_frame(spark, [rec1, rec2]))
 
 
