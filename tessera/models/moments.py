@@ -184,6 +184,63 @@ def fit_moments(df: DataFrame, cols, label: str = "label", kind: str = "ridge",
     return MomentsModel(cols, *SOLVERS[kind](m, **params))
 
 
+class FoldFit:
+    """``fit(df, features=..., label=..., **params)`` of L9 or L10, which ``search.cross_validate`` runs for all folds and candidates from one aggregate.
+
+    Called with a frame it is that fit. ``fold_lines`` gives the lines that the
+    fit finds without each fold: the same least-squares problem, solved on the
+    folds' sums (``kind`` as in SOLVERS). A null or non-finite value is an
+    error, as in the fit.
+    """
+
+    def __init__(self, fit, kind: str, features: str = "features", label: str = "label", **fixed):
+        self.fit, self.kind, self.features, self.label, self.fixed = fit, kind, features, label, fixed
+
+    def __call__(self, df: DataFrame, **params):
+        return self.fit(df, features=self.features, label=self.label, **{**self.fixed, **params})
+
+    def solve(self, m: Moments, params: dict):
+        if m.n <= 0:
+            raise ValueError("no rows to fit on")
+        return SOLVERS[self.kind](m, **{**self.fixed, **params})
+
+    def fold_lines(self, df: DataFrame, fold_col: str, candidates):
+        """(columns x, {(candidate, fold): (w, b)}), the line of a fold's held-out rows; None with too many features for one aggregate."""
+        from .blocks import features_column
+        x = features_column(df, self.features)
+        width = df.select(F.size(x)).first()
+        if width is None or not 0 < width[0] <= COLUMN_SUMS:
+            return None
+        inputs = [F.get(x, F.lit(i)) for i in range(width[0])]
+        folds = strict_moments(df, inputs, self.label, fold_col)
+        total = sum_of(folds)
+        return inputs, {(i, f): self.solve(total - folds[f], c) for i, c in enumerate(candidates) for f in folds}
+
+
+def sum_of(folds: dict) -> Moments:
+    ms = list(folds.values())
+    return sum(ms[1:], ms[0])
+
+
+def strict_moments(df: DataFrame, inputs, label: str, fold_col: str) -> dict:
+    """``fold_moments`` of column expressions, folds in order; a null or non-finite value is an error."""
+    def sure(x):
+        x = x.cast("double")
+        bad = x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+        return F.when(bad, F.raise_error(F.lit("null or non-finite value in a fit")).cast("double")).otherwise(x)
+    names = [f"_x{i}" for i in range(len(inputs))]
+    src = df.select(F.col(f"`{fold_col}`").alias("_fold"), sure(F.col(f"`{label}`")).alias("_y"), *[sure(x).alias(n) for x, n in zip(inputs, names)])
+    found = fold_moments(src, names, "_y", "_fold")
+    return {f: found[f] for f in sorted(found)}
+
+
+def rescaled(m: Moments, mid, width) -> Moments:
+    """The sums of ((x - mid) / width, y) from those of (x, y)."""
+    c, w = np.append(mid, 0.0), np.append(width, 1.0)
+    q = m.q - np.outer(c, m.s) - np.outer(m.s, c) + m.n * np.outer(c, c)
+    return Moments(m.n, (m.s - m.n * c) / w, q / np.outer(w, w))
+
+
 # --- cross-validation -------------------------------------------------------
 
 def cross_validate_moments(folds: dict, candidates, kind: str = "ridge") -> list[dict]:

@@ -125,7 +125,9 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
     (candidate, fold) with every metric (accuracy, f1, auc or rmse ...),
     computed by one aggregate over the union of scored folds. ``weight``
     (classification) names the column of a counted table (``cells``) that
-    holds how many rows a row stands for."""
+    holds how many rows a row stands for. A regression whose fit has
+    ``fold_lines`` (``moments.FoldFit``) takes two passes over ``df``, whatever
+    the number of candidates and folds."""
     candidates = candidates or [{}]
     if weight:
         if task != "classification":
@@ -133,6 +135,9 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
         keep = (*keep, weight)
     if cut:  # every fit iterates over the input: give it a short lineage
         df = cut_lineage(df)
+    lines = fit.fold_lines(df, fold_col, candidates) if task == "regression" and hasattr(fit, "fold_lines") else None
+    if lines is not None:
+        return _metrics(_score_lines(df, *lines, fold_col, label, keep), task, label, ["candidate", fold_col])
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
     jobs = [(ci, f) for ci in range(len(candidates)) for f in folds]
 
@@ -156,6 +161,27 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
     return _metrics(scored, task, label, ["candidate", fold_col], weight)
 
 
+def _score_lines(df: DataFrame, inputs, lines: dict, fold_col: str, label: str, keep) -> DataFrame:
+    """Each row under the lines of its own fold, one row per candidate."""
+    folds, n = list(dict.fromkeys(f for _, f in lines)), 1 + max(i for i, _ in lines)
+
+    def of_fold(value):
+        out = None
+        for f in folds:
+            out = F.when(F.col(fold_col) == f, F.lit(value(f))) if out is None else out.when(F.col(fold_col) == f, F.lit(value(f)))
+        return out
+
+    names = [f"_x{i}" for i in range(len(inputs))]
+    pred = []
+    for i in range(n):
+        y = of_fold(lambda f: float(lines[i, f][1]))  # noqa: B023
+        for j, x in enumerate(names):
+            y = y + of_fold(lambda f: float(lines[i, f][0][j])) * F.col(x)  # noqa: B023
+        pred.append(F.struct(F.lit(i).alias("candidate"), y.alias("prediction")))
+    return df.select(label, *keep, fold_col, *[x.cast("double").alias(c) for x, c in zip(inputs, names)]).select(
+        label, *keep, of_fold(lambda f: f).alias(fold_col), F.explode(F.array(*pred)).alias("_p")).select(label, *keep, fold_col, "_p.*")
+
+
 def grid_search(fit, train: DataFrame, test: DataFrame | None, grid, metric: str = "f1", fold_col: str = "fold",
                 label: str = "label", task: str = "classification", name: str = "model", parallelism: int = 1,
                 higher_is_better: bool = True, cut: bool = True, weight: str | None = None):

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..models import bayes, knn, linear, search
+from ..models import bayes, knn, linear, moments, search
 from ..operators import clean, encode, sampling
 from .catalog_sample import _fold_sql
 from .frames import MODEL_FRAME_SQL, hdigit, hdigit_sql, model_frame, null_if_hash, null_if_hash_sql, round_doubles, table
@@ -261,8 +261,8 @@ FROM m JOIN s ON m.fold = s.fold CROSS JOIN (VALUES {', '.join(f'({i}, {a})' for
 GROUP BY a.candidate, m.fold""")
 def ridge_cross_validate(spark, d):
     """L9 + L13 + V8 for regression: one-feature ridge, in closed form in SQL."""
-    m = encode.assemble(_folded(spark, d), ["q"])
-    cv = search.cross_validate(lambda df, alpha: linear.fit_ridge(df, label="y_reg", alpha=alpha), m, label="y_reg",
+    m = encode.assemble(_folded(spark, d), ["q"]).select("features", "y_reg", "fold")
+    cv = search.cross_validate(moments.FoldFit(linear.fit_ridge, "ridge", label="y_reg"), m, label="y_reg",
                                task="regression", candidates=[{"alpha": a} for a in ALPHAS])
     return round_doubles(cv.select("candidate", "fold", "rmse"), 5)
 
