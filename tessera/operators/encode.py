@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..models.base import StateModel
 from ..session import cut_lineage
 from .order import global_position
-from .quantiles import quantiles
+from .quantiles import quantiles, quantiles_leaving_out
 
 
 def _as_list(x):
@@ -210,13 +210,18 @@ class ScaledModel(StateModel):
     def model(self):
         return self.parts[0]
 
+    @staticmethod
+    def centre(s: dict, c: str, how: str):
+        """(middle, width) of a column."""
+        return (s[f"{c}__mean"], s[f"{c}__std"]) if how == "standard" else \
+            (s[f"{c}__q0_5"], None if s[f"{c}__q0_75"] is None else s[f"{c}__q0_75"] - s[f"{c}__q0_25"])
+
     def prepare(self, df: DataFrame) -> DataFrame:
         a = self.learned
         base = df.drop(a["features"]) if a["features"] in df.columns else df
         s, scaled = a["stats"], {}
         for c in a["cols"]:  # the statistics are literals: no join in the plan of a fit
-            mid, width = (s[f"{c}__mean"], s[f"{c}__std"]) if a["how"] == "standard" else \
-                (s[f"{c}__q0_5"], None if s[f"{c}__q0_75"] is None else s[f"{c}__q0_75"] - s[f"{c}__q0_25"])
+            mid, width = self.centre(s, c, a["how"])
             scaled[c] = (F.col(c) - F.lit(mid).cast("double")) / F.lit(width or 1.0)
         return assemble(base.withColumns(scaled), a["cols"], a["features"])
 
@@ -228,7 +233,8 @@ def with_scaling(fit, cols, how: str = "standard", features: str = "features"):
     """Wrap ``fit(df, **params)`` so that the scaler is fitted on the
     rows the model is fitted on (inside every CV fold), like a
     scaler + model pipeline. ``how``: 'standard' (population std) or
-    'robust' (exact quartiles)."""
+    'robust' (exact quartiles). If ``fit`` is a ``moments.FoldFit``, all folds'
+    scalers come from one pass and so do their fits."""
     cols = _as_list(cols)
 
     def wrapped(df: DataFrame, **params):
@@ -237,4 +243,32 @@ def with_scaling(fit, cols, how: str = "standard", features: str = "features"):
         prepared = ScaledModel(None, stats, cols, how, features).prepare(base)
         return ScaledModel(fit(prepared, **params), stats, cols, how, features)
 
+    def fold_lines(df: DataFrame, fold_col: str, candidates):
+        from ..models import moments
+        if len(cols) > moments.COLUMN_SUMS:
+            return None
+        inputs = [F.col(f"`{c}`").cast("double") for c in cols]
+        folds = moments.strict_moments(df, inputs, fit.label, fold_col)
+        if how == "standard":
+            r = df.agg(*[x.alias(f"{i}:{c}__{n}") for i, f in enumerate(folds) for c in cols for n, x in (
+                ("mean", F.avg(F.when(F.col(fold_col) != f, F.col(f"`{c}`")))), ("std", F.stddev_pop(F.when(F.col(fold_col) != f, F.col(f"`{c}`")))))]).first()
+            stats = [{k.split(":", 1)[1]: v for k, v in r.asDict().items() if k.startswith(f"{i}:")} for i in range(len(folds))]
+        else:
+            stats = quantiles_leaving_out(df, cols, [0.25, 0.5, 0.75], fold_col, list(folds))
+        total, lines = moments.sum_of(folds), {}
+        for f, s in zip(folds, stats):
+            train = total - folds[f]
+            if train.n <= 0:
+                raise ValueError("no rows to fit on")
+            mid, width = zip(*[ScaledModel.centre(s, c, how) for c in cols])
+            mid, width = [float(x) for x in mid], [float(x or 1.0) for x in width]
+            scaled = moments.rescaled(train, mid, width)
+            for i, params in enumerate(candidates):
+                w, b = fit.solve(scaled, params)
+                raw = [x / y for x, y in zip(w, width)]
+                lines[i, f] = (raw, b - sum(x * m for x, m in zip(raw, mid)))
+        return inputs, lines
+
+    if hasattr(fit, "fold_lines"):
+        wrapped.fold_lines = fold_lines
     return wrapped

@@ -27,6 +27,26 @@ def _qname(q: float) -> str:
     return "q" + str(q).replace(".", "_").replace("-", "m")
 
 
+def _picked(counts: DataFrame, part: list, probs, names) -> DataFrame:
+    """Quantiles per ``part`` of a table of counts (``part``, ``_v``, ``_c``)."""
+    cum = running_sum(counts, "_v", ["_c"], partition=part, totals=True)
+    # 0-based rank r is covered by a value row when cum-c <= r < cum
+    aggs = []
+    for i, q in enumerate(probs):
+        pos = (F.col("_c_tot") - 1) * F.lit(float(q))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        start = F.col("_c_cum") - F.col("_c")
+        cover_lo = (start <= lo) & (lo < F.col("_c_cum"))
+        cover_hi = (start <= hi) & (hi < F.col("_c_cum"))
+        aggs += [F.max(F.when(cover_lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(cover_hi, F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(pos - lo).alias(f"_fr{i}")]
+    picked = cum.groupBy(*part).agg(*aggs)
+    return picked.select(*part, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(n)
+        for i, n in enumerate(names)])
+
+
 def group_quantiles(df: DataFrame, column: str, probs: list[float], groups=(),
                     approx: bool = False, names: list[str] | None = None,
                     with_global: bool = False) -> DataFrame:
@@ -60,22 +80,7 @@ def group_quantiles(df: DataFrame, column: str, probs: list[float], groups=(),
         part = ["_level", *groups]
     # the (group, value) count table is read several times below; it was
     # materialised once above (reliable checkpoint), not re-derived per use
-    cum = running_sum(counts, "_v", ["_c"], partition=part, totals=True)
-    # 0-based rank r is covered by a value row when cum-c <= r < cum
-    aggs = []
-    for i, q in enumerate(probs):
-        pos = (F.col("_c_tot") - 1) * F.lit(float(q))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        start = F.col("_c_cum") - F.col("_c")
-        cover_lo = (start <= lo) & (lo < F.col("_c_cum"))
-        cover_hi = (start <= hi) & (hi < F.col("_c_cum"))
-        aggs += [F.max(F.when(cover_lo, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(cover_hi, F.col("_v"))).alias(f"_hi{i}"),
-                 F.max(pos - lo).alias(f"_fr{i}")]
-    picked = cum.groupBy(*part).agg(*aggs)
-    out = picked.select(*part, *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(n)
-        for i, n in enumerate(names)])
+    out = _picked(counts, part, probs, names)
     if groups:
         # groups whose values are all NULL still appear, with NULL quantiles
         keys = all_counts.select(*groups).distinct()
@@ -108,10 +113,28 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], approx: boo
     return wide.select(*names)
 
 
+def quantiles_leaving_out(df: DataFrame, columns: list[str], probs: list[float], fold_col: str, folds: list) -> list[dict]:
+    """Per fold: the row of ``quantiles`` of the rows of every other fold, as a dict.
+
+    One pass counts each value's rows, in all and per fold; the others' counts are differences."""
+    long = df.where(F.col(fold_col).isNotNull()).select(F.col(fold_col).alias("_f"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])).alias("_s")) \
+        .select("_f", "_s.*").where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = long.groupBy("_col", "_v").agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(F.col("_f") == f).alias(f"_n{i}") for i, f in enumerate(folds)])
+    left = F.explode(F.array(*[F.struct(F.lit(i).alias("_out"), (F.col("_n") - F.col(f"_n{i}")).alias("_c")) for i in range(len(folds))]))
+    counts = counts.select("_col", "_v", left.alias("_s")).select("_col", "_v", "_s.*").where("_c > 0")
+    names = [_qname(q) for q in probs]
+    out = [{f"{c}__{n}": None for c in columns for n in names} for _ in folds]
+    for r in _picked(counts, ["_out", "_col"], probs, names).collect():  # folds x columns rows
+        out[r["_out"]].update({f"{r['_col']}__{n}": r[n] for n in names})
+    return out
+
+
 def median_of(df: DataFrame, columns: list[str], approx: bool = False) -> DataFrame:
     """One-row frame ``{col: median}``."""
     q = quantiles(df, columns, [0.5], approx=approx)
     return q.select(*[F.col(f"{c}__{_qname(0.5)}").alias(c) for c in columns])
 
 
-__all__ = ["group_quantiles", "quantiles", "median_of"]
+__all__ = ["group_quantiles", "quantiles", "quantiles_leaving_out", "median_of"]

@@ -301,9 +301,9 @@ def in_fold_scaling_lasso_cv(spark, d):
     """E6 + V8 + L10: robust scaling refitted inside each of 5 unshuffled
     folds together with a lasso (the scaler + model pipeline of the
     house-price script), RMSE per fold."""
-    m = model_frame(spark, d)
-    train = cut_lineage(sampling.assign_folds(m, 5, "rid", "contiguous"))
-    fit = encode.with_scaling(lambda df: linear.fit_lasso(df, label="y_reg", alpha=0.0005), MODEL_FEATURES, "robust")
+    m = model_frame(spark, d).select("rid", *MODEL_FEATURES, "y_reg")
+    train = cut_lineage(sampling.assign_folds(m, 5, "rid", "contiguous").drop("rid"))
+    fit = encode.with_scaling(moments.FoldFit(linear.fit_lasso, "lasso", label="y_reg", alpha=0.0005), MODEL_FEATURES, "robust")
     cv = search.cross_validate(fit, train, label="y_reg", task="regression", cut=False, parallelism=5)
     return round_doubles(cv.select("fold", "n", "rmse"), 4)
 
