@@ -142,6 +142,20 @@ def test_repeats_against_brute_force(spark, docs_of, seed):
         assert sum(b - a for a, b in zip(r.starts, r.ends)) == r.n_removed and len(r.kept) == r.n_bytes - r.n_removed
 
 
+def test_planted_passages_of_over_50_words(spark, docs_of, tmp_path):
+    from tessera.llm.queries import QUERIES
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    long, short = words(60), words(55)      # 419 and 384 bytes
+    rows = [(i, f"{words(40)} {p} {words(40)}") for i, p in enumerate([long] * 3 + [short] * 3 + [words(60) for _ in range(3)])]
+    docs_of(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op5_suffix_array_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows, 400)
+    # the width is in bytes: a shared passage below it stays, whatever its words
+    assert [r.n_removed >= 419 for r in sorted(got)] == [True] * 3 + [False] * 6
+    assert [r.n_removed for r in sorted(got)][3:] == [0] * 6
+
+
 def test_repeats_empty_table(spark, docs_of):
     assert repeats.remove_repeats(docs_of([])).count() == 0
     with pytest.raises(ValueError):
