@@ -65,16 +65,16 @@ def gaussian_nb_scores(spark, d):
 
 
 # ------------------------------------------------------------------ shared prep
-def _prepared(spark, d, folds=5, packs=False):
+def _prepared(spark, d, folds=5, packs=False, target="label"):
     """Split 80/20 stratified on the label, standard scaling fitted on train
     only, stratified folds on train when asked, features assembled. One
     checkpoint (two with folds): what follows it is a projection with the
     scaling as literals, so the fits iterate over a short plan. ``packs``:
     the fits pack their rows themselves, no second copy is written, and the
-    copies hold the features and the label only (beside the key that splits)."""
+    copies hold the features, the label and the fits' ``target`` only (beside the key that splits)."""
     m = model_frame(spark, d)
     if packs:
-        m = m.select("rid", *MODEL_FEATURES, "label")
+        m = m.select("rid", *MODEL_FEATURES, *dict.fromkeys(["label", target]))
     s = cut_lineage(sampling.train_test_split(m, 0.2, SEED, "rid", stratify="label"))
     train, test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
     if folds:
@@ -195,7 +195,7 @@ def leafwise_boosting_early_stop(spark, d):
 @query("huber_boosting_heldout")
 def huber_boosting_heldout(spark, d):
     """L7 with Huber loss on the regression target."""
-    train, test = _prepared(spark, d, folds=0, packs=True)
+    train, test = _prepared(spark, d, folds=0, packs=True, target="y_reg")
 
     def fit(df):
         return boosting.fit_boosting(df, label="y_reg", loss="huber", n_estimators=5, learning_rate=0.5, max_depth=3, num_leaves=8)

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.models import boosting
 from tessera.models.boosting import Settings, fit_boosting
@@ -173,3 +174,16 @@ def test_large_sums_reach_the_driver_as_one_array(spark, monkeypatch):
     few = blocks.sum_arrays(packed, lambda b: b.x.sum(axis=0))
     assert np.allclose(few, x.sum(axis=0))
     blocks.release(packed)
+
+
+def test_huber_query_has_its_target(spark, tmpdir_path):
+    """The narrow copies of the query hold the regression target beside the label that splits them."""
+    import __spark_entry__ as E
+
+    rows = spark.range(400).select((F.col("id") / 4).cast("long").alias("l_orderkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"),
+                                   (F.col("id") % 37).alias("l_partkey"), (F.col("id") % 11).alias("l_suppkey"),
+                                   (F.col("id") % 50 + 1).cast("double").alias("l_quantity"), (F.col("id") % 11 / 100).alias("l_discount"),
+                                   (F.col("id") % 9 / 100).alias("l_tax"), (F.col("id") * 7919 % 90_000 + 900).cast("double").alias("l_extendedprice"))
+    rows.write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    r = E.queries()["huber_boosting_heldout"](spark, tmpdir_path).collect()
+    assert [x["status"] for x in r] == ["ok"] and 0 < r[0]["test_rmse"] < 2
