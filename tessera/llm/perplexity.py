@@ -12,10 +12,13 @@ probability under the *other* half's counts, with joins over distinct runs from
 the lowest order upwards; so no text is scored by counts that it made itself.
 The result is the surprisal of every run, in units of 2**-20 nats.
 
-**Lookup.** If the table of surprisals has at most ``MAX_RUNS`` rows (12 bytes
-each), it is broadcast as sorted hash arrays and texts are scored where they are
-read; beyond that a text's distinct runs are joined with it. Both sum integers,
-so they agree to the last bit.
+**Lookup.** The table of surprisals is broadcast as sorted hash arrays, in slices
+of about ``MAX_RUNS`` rows (12 bytes each), and texts are scored where they are
+read. With one slice a task looks every run up in it; with more it gathers the
+distinct runs of the texts it holds, looks them up in one slice after the other
+(one in memory at a time) and scores the texts by what it found. Beyond
+``MAX_SLICES`` slices a text's distinct runs are joined with the table. All sum
+integers, so they agree to the last bit.
 
 **Bands.** A text's score is ln(surprisal per word), the logarithm of the
 logarithm of its perplexity per word. Per language and length class (octaves of
@@ -44,10 +47,10 @@ from .store import free, materialise, tidy
 from .text import NONSPACE, U, Words, _TABLE, buffers, chunks, mix, ngram_hashes, powers
 
 ORDER = 5
-#: rows of the surprisal table that may be broadcast, languages that may
-MAX_RUNS, MAX_LANGUAGES = 4_000_000, 4096
-#: distinct runs a task gathers before it hands them on
-GATHER = 1 << 21
+#: rows of a broadcast slice of the surprisal table, slices and languages that may be broadcast
+MAX_RUNS, MAX_SLICES, MAX_LANGUAGES = 4_000_000, 64, 4096
+#: distinct runs a task gathers before it hands them on, bytes of text it holds to look up their runs together
+GATHER, HOLD = 1 << 21, 1 << 25
 UNIT = float(1 << 20)
 FENCE, LEAST_WIDTH, MIN_TEXTS = 3.0, 0.05, 50
 #: steps of a score in the histograms that give the quartiles
@@ -192,20 +195,57 @@ class Surprisals:
         return self.s[self.hashes.find(mix(v | (groups << U(8 * self.order))))]
 
 
-def collect(model: DataFrame, order: int = ORDER, max_runs: int = MAX_RUNS) -> Surprisals | None:
-    """The model's arrays, if it has at most ``max_runs`` rows and MAX_LANGUAGES languages; else None."""
+def slice_of(v, n: int):
+    """Which of ``n`` slices holds a run (an array or a column of runs)."""
+    if isinstance(v, np.ndarray):
+        v = v.astype(np.int64)
+        return ((v & 0xFFFFF) * 0x9E3779B1 + (v >> 20) * 0x85EBCA6B >> 20) % n
+    return F.shiftright(v.bitwiseAND(0xFFFFF) * 0x9E3779B1 + F.shiftright(v, 20) * 0x85EBCA6B, 20) % n
+
+
+def share(model: DataFrame, order: int = ORDER, max_runs: int = MAX_RUNS) -> tuple[list, dict]:
+    """The model's arrays as broadcast slices of about ``max_runs`` rows, and the numbers of (language, half).
+
+    No slices if there would be more than MAX_SLICES, or more than MAX_LANGUAGES languages.
+    """
     langs = [r[0] for r in model.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(langs) > MAX_LANGUAGES or model.count() > max_runs:
-        return None
+    rows = model.count()
+    n = max(1, -(-rows // max_runs)) if max_runs > 0 else 1 + rows
+    if len(langs) > MAX_LANGUAGES or n > MAX_SLICES:
+        return [], {}
     code = F.lit(-1)
     for i, x in enumerate(langs):
         code = F.when(F.col("lang").eqNullSafe(F.lit(x)), i).otherwise(code) if len(langs) <= 64 else code
     if len(langs) > 64:                                          # a long CASE is slow: join the numbers instead
         names = model.sparkSession.createDataFrame([(x, i) for i, x in enumerate(langs)], "lang string, code int")
         model, code = join_null_safe(model, names, ["lang"]), F.col("code")
-    t = model.select((2 * code + F.col("half")).cast("int").alias("g"), "v", "s").toArrow()
     index = {(x, h): 2 * i + h for i, x in enumerate(langs) for h in (0, 1)}
-    return Surprisals(index, *(t.column(c).to_numpy() for c in ("g", "v", "s")), order)
+    out = []
+    for i in range(n):                                           # the driver holds one slice at a time
+        part = model if n == 1 else model.where(slice_of(F.col("v"), n) == i)
+        t = part.select((2 * code + F.col("half")).cast("int").alias("g"), "v", "s").toArrow()
+        arrays = Surprisals(index, *(t.column(c).to_numpy() for c in ("g", "v", "s")), order)
+        del t
+        out.append(model.sparkSession.sparkContext.broadcast(arrays))
+    return out, index
+
+
+def _loaded(shared):
+    """A broadcast value that goes when its holder does (``value`` would stay with the worker)."""
+    path = getattr(shared, "_path", None)
+    return shared.value if path is None or hasattr(shared, "_value") else shared.load_from_path(path)
+
+
+def of_slices(keys: np.ndarray, slices: list, order: int) -> Surprisals:
+    """The surprisals of the runs ``keys`` (packed with their group) alone, from one slice after the other."""
+    shift = U(8 * order)
+    g, v = keys >> shift, keys & ((U(1) << shift) - U(1))
+    s, at = np.zeros(len(keys), np.int32), slice_of(v, len(slices))
+    for i, shared in enumerate(slices):
+        mine = np.flatnonzero(at == i)
+        if len(mine):
+            s[mine] = _loaded(shared).of(g[mine], v[mine])
+    return Surprisals({}, g, v, s, order)
 
 
 # --- texts ------------------------------------------------------------------
@@ -258,27 +298,55 @@ def base_counts(data: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _measure_batch(value, order: int):
-    """Base columns, fingerprint and surprisal (null without the broadcast model) of each text."""
+def _gathered(batches, index: dict, order: int):
+    """([(batch, lo, hi, data, offs)], their distinct runs packed with their group) of as many texts as a task holds."""
+    shift = U(8 * order)
+    held, size, keys, fresh = [], 0, np.zeros(0, np.uint64), []
+    for batch in batches:
+        for lo, hi, data, offs in chunks(batch.column("_text")):
+            held.append((batch, lo, hi, data, offs))
+            size += len(data)
+            g = _groups(batch, lo, hi, data, offs, index)
+            fresh.append(np.unique(packed_runs(data, offs, order) | (np.repeat(g, np.diff(offs)) << shift)))
+            if sum(map(len, fresh)) > max(len(keys), 1 << 18):  # merged when they have doubled
+                keys, fresh = np.unique(np.concatenate([keys, *fresh])), []
+            if size > HOLD or len(keys) > GATHER:
+                yield held, np.unique(np.concatenate([keys, *fresh]))
+                held, size, keys, fresh = [], 0, np.zeros(0, np.uint64), []
+    if held:
+        yield held, np.unique(np.concatenate([keys, *fresh]))
+
+
+def _measure_batch(slices: list, index: dict, order: int):
+    """Base columns, fingerprint and surprisal (null without a broadcast model) of each text."""
     import pyarrow as pa
 
+    def one(batch, lo, hi, data, offs, model):
+        m, raw = hi - lo, data.tobytes()
+        cols = base_counts(data, offs)
+        if model is None:
+            total = pa.nulls(m, pa.int64())
+        else:
+            g = _groups(batch, lo, hi, data, offs, dict(index))
+            s = model.of(np.repeat(g, np.diff(offs)), packed_runs(data, offs, order))
+            total = pa.array(np.diff(np.concatenate(([0], np.cumsum(s, dtype=np.int64)))[offs]))
+        print_ = [zlib.crc32(raw[offs[i]:offs[i + 1]]) << 32 | zlib.adler32(raw[offs[i]:offs[i + 1]]) for i in range(m)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_row").slice(lo, m), batch.column("_id").slice(lo, m), batch.column("_lang").slice(lo, m),
+             *[pa.array(cols[c]) for c in BASE], pa.array(np.array(print_, np.uint64).view(np.int64)), total],
+            names=["_row", "_id", "lang", *BASE, "print", "surprisal"])
+
     def run(batches):
-        model = value() if value else None
-        for batch in batches:
-            for lo, hi, data, offs in chunks(batch.column("_text")):
-                m, raw = hi - lo, data.tobytes()
-                cols = base_counts(data, offs)
-                if model is None:
-                    total = pa.nulls(m, pa.int64())
-                else:
-                    g = _groups(batch, lo, hi, data, offs, dict(model.index))
-                    s = model.of(np.repeat(g, np.diff(offs)), packed_runs(data, offs, order))
-                    total = pa.array(np.diff(np.concatenate(([0], np.cumsum(s, dtype=np.int64)))[offs]))
-                print_ = [zlib.crc32(raw[offs[i]:offs[i + 1]]) << 32 | zlib.adler32(raw[offs[i]:offs[i + 1]]) for i in range(m)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_row").slice(lo, m), batch.column("_id").slice(lo, m), batch.column("_lang").slice(lo, m),
-                     *[pa.array(cols[c]) for c in BASE], pa.array(np.array(print_, np.uint64).view(np.int64)), total],
-                    names=["_row", "_id", "lang", *BASE, "print", "surprisal"])
+        if len(slices) < 2:
+            model = slices[0].value if slices else None
+            for batch in batches:
+                for lo, hi, data, offs in chunks(batch.column("_text")):
+                    yield one(batch, lo, hi, data, offs, model)
+            return
+        for held, keys in _gathered(batches, dict(index), order):
+            model = of_slices(keys, slices, order)
+            for part in held:
+                yield one(*part, model)
     return run
 
 
@@ -305,19 +373,14 @@ def measure(docs: DataFrame, model: DataFrame, *, doc_id: str = "doc_id", text_c
             order: int = ORDER, max_runs: int = MAX_RUNS) -> DataFrame:
     """Per row: _id, lang, the base columns, ``print`` and ``score`` (null without words)."""
     tidy(docs.sparkSession)
-    arrays = collect(model, order, max_runs)
+    slices, index = share(model, order, max_runs)
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(f"`{doc_id}`").cast("long").alias("_id"),
                       F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").alias("_text"))
-    value = None
-    if arrays is not None:
-        shared = docs.sparkSession.sparkContext.broadcast(arrays)
-        arrays.hashes = arrays.s = None                         # the driver needs no copy of its own
-        value = lambda: shared.value
-    else:
+    if not slices:
         src = materialise(src)                                   # row numbers used twice
     fields = "_row long, _id long, lang string, " + ", ".join(f"{c} long" for c in BASE) + ", print long, surprisal long"
-    out = src.mapInArrow(_measure_batch(value, order), fields)
-    if arrays is None:
+    out = src.mapInArrow(_measure_batch(slices, index, order), fields)
+    if not slices:
         own = src.select("_row", "_lang", "_text").mapInArrow(_own_runs_batch(order), "_row long, lang string, half int, v long, n long")
         s = join_null_safe(own, model, ["lang", "half", "v"]).groupBy("_row").agg(F.sum(F.col("n") * F.col("s")).alias("surprisal"))
         out = out.drop("surprisal").join(s, "_row", "left")
