@@ -6,7 +6,8 @@ one class in the same bins are one row with their number as weight. ``counted``
 writes these cells once: every row takes part, the counts are exact, and what
 the learner then reads again and again is the cells. A regression label is
 replaced by the cell's mean: the gain of a split and the value of a leaf depend
-on sums of labels only, the spread inside a cell being in no split's power.
+on sums of labels only, the spread inside a cell being in no split's power. It is
+kept as SPREAD (squared deviations from the mean), for the errors of predictions.
 
 With many features there are as many cells as rows and nothing is won, so
 tables of over ``MAX_FEATURES`` features, and tables small enough for the
@@ -35,7 +36,7 @@ CHUNK = 1_000_000
 CELLS_PER_TASK = 16_000
 #: partitions in which cells are drawn for bagging, fixed so that draws repeat on any cluster
 DRAWS = 16
-BINS, CODE, ROWS = "_bins", "_code", "_rows"
+BINS, CODE, ROWS, SPREAD = "_bins", "_code", "_rows", "_spread"
 
 
 def thresholds(values: np.ndarray, max_bins: int) -> np.ndarray:
@@ -77,17 +78,19 @@ def bins_vector(x, edges) -> F.Column:
 
 
 def count_cells(df: DataFrame, features, label: str, edges, keep=(), regression: bool = False) -> DataFrame:
-    """Cells of ``edges``: BINS, CODE, ``label``, ``keep`` and ROWS (a double, the number of rows)."""
+    """Cells of ``edges``: BINS, CODE, ``label``, ``keep`` and ROWS (a double, the number of rows); for a regression also SPREAD."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     widths, keys = [len(e) + 1 for e in edges], [CODE, *([] if regression else [label]), *keep]
     cuts = [np.array(e) for e in edges]
     label_type = T.DoubleType() if regression else df.schema[label].dataType
     fields = [T.StructField(CODE, T.LongType()), T.StructField(label, label_type), *[df.schema[k] for k in keep]]
+    fields += [T.StructField(SPREAD, T.DoubleType())] if regression else []
     schema = T.StructType([*fields, T.StructField(ROWS, T.LongType())])
 
     def summed(held):
-        sums = [(ROWS, "sum")] + ([(label, "sum")] if regression else [])
+        sums = [(ROWS, "sum")] + ([(label, "sum"), (SPREAD, "sum")] if regression else [])
         t = pa.concat_tables(held).group_by(keys, use_threads=False).aggregate(sums)
         t = t.rename_columns([c.removesuffix("_sum") if c != f"{ROWS}_sum" else ROWS for c in t.column_names])
         return t.select([f.name for f in schema.fields]).combine_chunks().to_batches()
@@ -102,6 +105,8 @@ def count_cells(df: DataFrame, features, label: str, edges, keep=(), regression:
             for i, cut in enumerate(cuts):
                 code = code * widths[i] + np.searchsorted(cut, x[:, i], "left")
             cols = {CODE: pa.array(code), ROWS: pa.array(np.ones(b.num_rows, np.int64)), **{c: b.column(c) for c in (label, *keep)}}
+            if regression:                                      # squares until the cell's mean is known
+                cols[SPREAD] = pc.multiply(b.column(label), b.column(label))
             held.append(pa.table(cols))
             rows += b.num_rows
             if rows >= CHUNK:
@@ -111,13 +116,21 @@ def count_cells(df: DataFrame, features, label: str, edges, keep=(), regression:
             yield from summed(held)
 
     src = df.select(features_column(df, features).alias("_x"), F.col(label).cast(label_type).alias(label), *keep)
-    agg = [F.sum(ROWS).cast("double").alias(ROWS)] + ([(F.sum(label) / F.sum(ROWS)).alias(label)] if regression else [])
+    agg = [F.sum(ROWS).cast("double").alias(ROWS)]
+    if regression:
+        agg += [(F.sum(label) / F.sum(ROWS)).alias(label), F.greatest(F.sum(SPREAD) - F.sum(label) * F.sum(label) / F.sum(ROWS), F.lit(0.0)).alias(SPREAD)]
     g = src.mapInArrow(run, schema).groupBy(*keys).agg(*agg)
     stride, digits = 1, []
     for w in reversed(widths):
         digits.insert(0, (F.floor(F.col(CODE) / F.lit(stride)) % w).cast("double"))
         stride *= w
-    return _dealt(cut_lineage(g.select(array_to_vector(F.array(*digits)).alias(BINS), CODE, label, *keep, ROWS)))
+    return _dealt(cut_lineage(g.select(array_to_vector(F.array(*digits)).alias(BINS), CODE, label, *keep, ROWS, *([SPREAD] if regression else []))))
+
+
+def merged(frame: DataFrame, label: str) -> DataFrame:
+    """Cells of a regression counted by fold: one row per cell, whatever its folds."""
+    mean = F.sum(F.col(label) * F.col(ROWS)) / F.sum(ROWS)
+    return _dealt(cut_lineage(frame.groupBy(CODE, BINS).agg(mean.alias(label), F.sum(ROWS).alias(ROWS)).select(BINS, CODE, label, ROWS)))
 
 
 def _dealt(frame: DataFrame) -> DataFrame:
@@ -142,8 +155,8 @@ class BinnedModel(StateModel):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         a = self.learned
-        binned = df.withColumn(BINS, bins_vector(features_column(df, a["features"]), a["edges"]))
-        return self.model.transform(binned).drop(BINS)
+        held = df.withColumn("_x_of_bins", features_column(df, a["features"]))     # the array is made once a row, not once per feature
+        return self.model.transform(held.withColumn(BINS, bins_vector(F.col("_x_of_bins"), a["edges"])).drop("_x_of_bins")).drop(BINS)
 
 
 class Cells:
@@ -160,13 +173,13 @@ class Cells:
         return round(self.frame.agg(F.sum(ROWS)).first()[0])
 
 
-def of(df: DataFrame, features, label: str, regression: bool = False, max_bins: int = 32) -> Cells | None:
+def of(df: DataFrame, features, label: str, regression: bool = False, max_bins: int = 32, keep=()) -> Cells | None:
     """The cells of a large table, or of a table already counted; None if its rows are to be fitted."""
     if is_counted(df):
         return Cells(df)
     rows = df.count()
     edges = bin_thresholds(df, features, rows, max_bins) if rows > COMPACT_ROWS else None
-    return None if edges is None else Cells(count_cells(df, features, label, edges, (), regression), edges, features)
+    return None if edges is None else Cells(count_cells(df, features, label, edges, keep, regression), edges, features)
 
 
 def counted(train: DataFrame, test: DataFrame | None = None, features="features", label: str = "label", keep=(), max_bins: int = 32):

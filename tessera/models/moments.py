@@ -85,12 +85,13 @@ def _matrix_batch(d: int):
     return run
 
 
-def fold_moments(df: DataFrame, cols, label: str, fold_col: str | None = None) -> dict:
-    """{fold: Moments}, one aggregate; folds as text for more than COLUMN_SUMS columns. Without ``fold_col`` one entry, None."""
+def fold_moments(df: DataFrame, cols, label: str, fold_col: str | None = None, clean: bool = True) -> dict:
+    """{fold: Moments}, one aggregate; folds as text for more than COLUMN_SUMS columns. Without ``fold_col`` one entry, None.
+    ``clean=False``: the caller's rows are complete and finite."""
     cols, d = list(cols), len(cols) + 1
     z = [F.col(f"`{c}`").cast("double") for c in (*cols, label)]
     fold = F.col(f"`{fold_col}`") if fold_col else F.lit(None).cast("int")
-    src = _clean(df, cols, label).select(fold.alias("fold"), *[x.alias(f"z{i}") for i, x in enumerate(z)])
+    src = (_clean(df, cols, label) if clean else df).select(fold.alias("fold"), *[x.alias(f"z{i}") for i, x in enumerate(z)])
     out = {}
     if len(cols) <= COLUMN_SUMS:
         pairs = [(i, j) for i in range(d) for j in range(i, d)]
@@ -211,10 +212,11 @@ class FoldFit:
         width = df.select(F.size(x)).first()
         if width is None or not 0 < width[0] <= COLUMN_SUMS:
             return None
-        inputs = [F.get(x, F.lit(i)) for i in range(width[0])]
-        folds = strict_moments(df, inputs, self.label, fold_col)
+        # the array is made once a row, not once in every sum
+        at = lambda a: [F.get(a, F.lit(i)) for i in range(width[0])]
+        folds = strict_moments(df.select(fold_col, self.label, x.alias("_inputs")), at(F.col("_inputs")), self.label, fold_col)
         total = sum_of(folds)
-        return inputs, {(i, f): self.solve(total - folds[f], c) for i, c in enumerate(candidates) for f in folds}
+        return at(x), {(i, f): self.solve(total - folds[f], c) for i, c in enumerate(candidates) for f in folds}
 
 
 def sum_of(folds: dict) -> Moments:
@@ -230,7 +232,7 @@ def strict_moments(df: DataFrame, inputs, label: str, fold_col: str) -> dict:
         return F.when(bad, F.raise_error(F.lit("null or non-finite value in a fit")).cast("double")).otherwise(x)
     names = [f"_x{i}" for i in range(len(inputs))]
     src = df.select(F.col(f"`{fold_col}`").alias("_fold"), sure(F.col(f"`{label}`")).alias("_y"), *[sure(x).alias(n) for x, n in zip(inputs, names)])
-    found = fold_moments(src, names, "_y", "_fold")
+    found = fold_moments(src, names, "_y", "_fold", clean=False)  # a filter on them would compute the inputs anew in each condition
     return {f: found[f] for f in sorted(found)}
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..operators.evaluate import binary_metrics, regression_metrics, roc_auc
 from ..session import cut_lineage
+from .cells import SPREAD
 from .score import score as score_frame
 
 RESULT_SCHEMA = T.StructType([
@@ -115,7 +116,7 @@ def _metrics(scored: DataFrame, task: str, label: str, by, weight: str | None =
         m = binary_metrics(scored, label, "prediction", by=by, weight=weight)
         a = roc_auc(scored, label, "score", by=by, weight=weight)
         return m.join(a, on=by, how="left")
-    return regression_metrics(scored, label, "prediction", by=by)
+    return regression_metrics(scored, label, "prediction", by=by, weight=weight, spread=SPREAD if weight else None)
 
 
 def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "label", task: str = "classification",
@@ -124,15 +125,13 @@ def cross_validate(fit, df: DataFrame, fold_col: str = "fold", label: str = "lab
     and fold f: fit on the other folds, score fold f. Returns one row per
     (candidate, fold) with every metric (accuracy, f1, auc or rmse ...),
     computed by one aggregate over the union of scored folds. ``weight``
-    (classification) names the column of a counted table (``cells``) that
+    names the column of a counted table (``cells``) that
     holds how many rows a row stands for. A regression whose fit has
     ``fold_lines`` (``moments.FoldFit``) takes two passes over ``df``, whatever
     the number of candidates and folds."""
     candidates = candidates or [{}]
     if weight:
-        if task != "classification":
-            raise ValueError("counted rows have metrics for classification only")
-        keep = (*keep, weight)
+        keep = (*keep, weight, *([] if task == "classification" else [SPREAD]))
     if cut:  # every fit iterates over the input: give it a short lineage
         df = cut_lineage(df)
     lines = fit.fold_lines(df, fold_col, candidates) if task == "regression" and hasattr(fit, "fold_lines") else None

@@ -172,11 +172,12 @@ def fit_robust(fit_on: DataFrame, cols, approx: bool = False) -> DataFrame:
     return quantiles(fit_on, _as_list(cols), [0.25, 0.5, 0.75], approx=approx)
 
 
-def robust_scale(df: DataFrame, cols, fit_on: DataFrame | None = None, approx: bool = False) -> DataFrame:
-    """(x - median) / (q75 - q25) with exact quartiles of ``fit_on``;
-    IQR 0 -> 1. (``ml.RobustScaler`` uses approximate quantiles.)"""
+def robust_scale(df: DataFrame, cols, fit_on: DataFrame | None = None, approx: bool = False,
+                 stats: DataFrame | None = None) -> DataFrame:
+    """(x - median) / (q75 - q25) with exact quartiles of ``fit_on`` (or
+    ``stats``, fitted before); IQR 0 -> 1. (``ml.RobustScaler`` uses approximate quantiles.)"""
     cols = _as_list(cols)
-    stats = fit_robust(fit_on if fit_on is not None else df, cols, approx)
+    stats = stats if stats is not None else fit_robust(fit_on if fit_on is not None else df, cols, approx)
     out = df.crossJoin(F.broadcast(stats))  # one row
     scaled = {}
     for c in cols:

@@ -138,15 +138,24 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
 
 
 def regression_metrics(df: DataFrame, label: str = "label", pred: str = "prediction", by=(),
-                       log_target: bool = False) -> DataFrame:
+                       log_target: bool = False, weight: str | None = None, spread: str | None = None) -> DataFrame:
     """V7: RMSE, MSE (the negative MSE is the CV 'score'), MAE; with
-    ``log_target`` on log1p of both sides (RMSLE)."""
+    ``log_target`` on log1p of both sides (RMSLE). ``weight``: the number of rows a
+    row stands for, ``label`` being their mean and ``spread`` their squared
+    deviations from it; what absolute errors they have is not known (MAE is null)."""
     y, p = F.col(label).cast("double"), F.col(pred).cast("double")
     if log_target:
         y, p = F.log1p(y), F.log1p(p)
     e = y - p
-    g = df.groupBy(*_as_list(by)).agg(F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"),
-                                      F.avg(F.abs(e)).alias("mae"))
+    if weight is None:
+        g = df.groupBy(*_as_list(by)).agg(F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse"),
+                                          F.avg(F.abs(e)).alias("mae"))
+    elif log_target:
+        raise ValueError("logarithms of counted rows are not known")
+    else:
+        n = F.sum(weight)
+        g = df.groupBy(*_as_list(by)).agg(n.cast("long").alias("n"), (F.sum(F.col(weight) * e * e + F.col(spread)) / n).alias("mse"),
+                                          F.lit(None).cast("double").alias("mae"))
     return g.withColumn("rmse", F.sqrt("mse")).withColumn("neg_mse", -F.col("mse"))
 
 

@@ -264,52 +264,78 @@ def soft_vote_top_models(spark, d):
 
 
 # fixed values: the regression model set of the house-price workflow
-def _reg_models(cols):
+def _reg_models():
+    """Linear models, trees."""
     return {
-        "Ridge": lambda df: linear.fit_ridge(df, label="y_reg", alpha=10.0),
-        "Lasso": lambda df: linear.fit_lasso(df, label="y_reg", alpha=0.0005),
-        "ElasticNet": lambda df: linear.fit_elastic_net(df, label="y_reg", alpha=0.0005, l1_ratio=0.9),
+        "Ridge": moments.FoldFit(linear.fit_ridge, "ridge", label="y_reg", alpha=10.0),
+        "Lasso": moments.FoldFit(linear.fit_lasso, "lasso", label="y_reg", alpha=0.0005),
+        "ElasticNet": moments.FoldFit(linear.fit_elastic_net, "elastic_net", label="y_reg", alpha=0.0005, l1_ratio=0.9),
+    }, {
         "GBRegressor": lambda df: trees.fit_gbt(df, label="y_reg", regression=True, n_estimators=20, max_depth=4,
                                                 learning_rate=0.1),
         "RFRegressor": lambda df: trees.fit_forest(df, label="y_reg", regression=True, n_estimators=20, max_depth=8),
     }
 
 
+def _regression_rows(spark, d):
+    """(train with features and folds, test with features), robust scaling (E4) fitted on the training rows only, applied to
+    both; of a large table in narrow copies, split and scaled once."""
+    m, stats = model_frame(spark, d), None
+    rows = table(spark, d, "lineitem").count()
+    large = rows - math.ceil(0.2 * rows) > cells.COMPACT_ROWS
+    if large:
+        m = m.select("rid", *MODEL_FEATURES, "y_reg")
+    s = sampling.train_test_split(m, 0.2, SEED, "rid")
+    if large:
+        s = cut_lineage(s)
+    raw_train, raw_test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
+    if large:
+        stats = cut_lineage(encode.fit_robust(raw_train, MODEL_FEATURES))
+    train = encode.robust_scale(raw_train, MODEL_FEATURES, fit_on=raw_train, stats=stats)
+    test = encode.assemble(encode.robust_scale(raw_test, MODEL_FEATURES, fit_on=raw_train, stats=stats), MODEL_FEATURES)
+    if large:
+        folds = cut_lineage(sampling.assign_folds(train, 5, "rid", "contiguous").drop("rid"))
+        return encode.assemble(folds, MODEL_FEATURES), test
+    return cut_lineage(sampling.assign_folds(encode.assemble(train, MODEL_FEATURES), 5, "rid", "contiguous")), cut_lineage(test)
+
+
 @query("regression_cv_blend")
 def regression_cv_blend(spark, d):
     """House-price workflow on the regression target: 5-fold unshuffled
     (contiguous) CV RMSE per model (V8 + A10), kernel ridge via the degree-2
     feature map (L12), leaderboard and inverse-RMSE blend of the top 3 (N5)
-    scored on the held-out rows."""
-    m = model_frame(spark, d)
-    s = sampling.train_test_split(m, 0.2, SEED, "rid")
-    raw_train, raw_test = s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
-    # robust scaling (E4) fitted on the training rows only, applied to both
-    train = encode.assemble(encode.robust_scale(raw_train, MODEL_FEATURES, fit_on=raw_train), MODEL_FEATURES)
-    test = encode.assemble(encode.robust_scale(raw_test, MODEL_FEATURES, fit_on=raw_train), MODEL_FEATURES)
-    train = cut_lineage(sampling.assign_folds(train, 5, "rid", "contiguous"))
-    test = cut_lineage(test)
-    models = _reg_models(MODEL_FEATURES)
-    cv_rows = []
-    for name, fit in models.items():
-        cv = search.cross_validate(lambda df, f=fit: f(df), train, label="y_reg", task="regression", cut=False,
-                                   parallelism=5)
+    scored on the held-out rows. Linear models take one aggregate for all
+    folds; the trees of a large table share the cells of its folds."""
+    train, test = _regression_rows(spark, d)
+    c = cells.of(train, "features", "y_reg", regression=True, keep=["fold"])
+    lines, forests = _reg_models()
+    cv_rows, fitted = [], {}
+    for name, fit in {**lines, **forests}.items():
+        on_cells = c is not None and name in forests
+        one = (lambda df, f=fit: f(cells.merged(df, "y_reg"))) if on_cells else fit
+        cv = search.cross_validate(one, c.frame if on_cells else train, label="y_reg", task="regression", cut=False,
+                                   parallelism=5, weight=cells.ROWS if on_cells else None)
         cv_rows.append(cv.withColumn("model", F.lit(name)))
+        fitted[name] = c.model(one(c.frame)) if on_cells else fit(train.drop("fold"))
     poly_model, mapper = linear.fit_poly_ridge(train.drop("features"), MODEL_FEATURES, label="y_reg", alpha=1.0)
     allcv = cv_rows[0]
-    for c in cv_rows[1:]:
-        allcv = allcv.unionByName(c)
-    res = allcv.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.stddev_pop("rmse").alias("rmse_std"))
-    preds = None
-    for name, fit in models.items():
-        p = predict_values(fit(train.drop("fold")), test, keep=["rid"]).withColumn("model", F.lit(name))
-        preds = p if preds is None else preds.unionByName(p)
-    pp = predict_values(poly_model, mapper(test.drop("features")), keep=["rid"]).withColumn("model", F.lit("PolyKernelRidge"))
-    preds = preds.unionByName(pp)
+    for x in cv_rows[1:]:
+        allcv = allcv.unionByName(x)
+    res = cut_lineage(allcv.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.stddev_pop("rmse").alias("rmse_std")))
+    # each model predicts the held-out rows once, side by side
+    wide = test.select("rid", "y_reg", "features", *MODEL_FEATURES)
+    for name, model in fitted.items():
+        wide = predict_values(model, wide, keep=wide.columns).withColumnRenamed("prediction", f"p_{name}")
+    wide = predict_values(poly_model, mapper(wide.drop("features")), keep=[x for x in wide.columns if x != "features"])
+    wide = cut_lineage(wide.withColumnRenamed("prediction", "p_PolyKernelRidge").drop(*MODEL_FEATURES))
+    names = [*fitted, "PolyKernelRidge"]
+    long = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"p_{n}").alias("prediction")) for n in names])).alias("_p")
+    preds = wide.select("rid", long).select("rid", "_p.*")
     blended = ensemble.blend_inverse_error(preds, res, "rid", "rmse", k=3).withColumn("model", F.lit("Blend"))
-    truth = test.select("rid", "y_reg")
-    allp = preds.unionByName(blended.select("rid", "prediction", "model"))
-    held = evaluate.regression_metrics(allp.join(truth, "rid"), "y_reg", "prediction", by=["model"])
+    truth = wide.select("rid", "y_reg")
+    allp = wide.drop("y_reg").join(truth, "rid").select("y_reg", long).select("y_reg", "_p.*") \
+        .unionByName(blended.join(truth, "rid").select("y_reg", "model", "prediction"))
+    held = evaluate.regression_metrics(allp, "y_reg", "prediction", by=["model"])
     cvres = res.select("model", F.col("rmse").alias("cv_rmse"), "rmse_std")
     return round_doubles(held.select("model", F.col("rmse").alias("test_rmse")).join(cvres, "model", "left"), 4)
 
